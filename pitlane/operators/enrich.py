@@ -6,27 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.functions import rnd
-from pitlane.operators.lookup import join_groups, spread_lookup
-from pitlane.operators.quantiles import group_quantiles
+from pitlane.operators.lookup import spread_lookup
+from pitlane.operators.quantiles import aggregate_with_quantiles
 
 STATS_KEYS = ["category", "brand_type"]
 OUTLIER_THRESHOLD = 5.0
 
 
-def int_price_stats(catalog: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
+def int_price_stats(catalog: DataFrame, **quantile_options) -> DataFrame:
     """Quartiles, mean, deviation and count of known prices per category and brand type."""
-    priced = catalog.where(F.col("price_eur").isNotNull())
-    moments = priced.groupBy(*STATS_KEYS).agg(
+    moments = [
         F.avg("price_eur").alias("avg_price"),
         F.stddev_samp("price_eur").alias("stddev_price"),
         F.count(F.lit(1)).alias("parts_count"),
-    )
-    quartiles = group_quantiles(
-        priced, STATS_KEYS, "price_eur", {"q1": 0.25, "median_price": 0.5, "q3": 0.75}, approx_accuracy
-    )
-    return join_groups(moments, quartiles, STATS_KEYS).select(
-        *STATS_KEYS, "q1", "median_price", "q3", "avg_price", "stddev_price", "parts_count"
-    )
+    ]
+    return aggregate_with_quantiles(
+        catalog.where(F.col("price_eur").isNotNull()), STATS_KEYS, moments, "price_eur",
+        {"q1": 0.25, "median_price": 0.5, "q3": 0.75}, **quantile_options,
+    ).select(*STATS_KEYS, "q1", "median_price", "q3", "avg_price", "stddev_price", "parts_count")
 
 
 def int_source_coverage(catalog: DataFrame) -> DataFrame:

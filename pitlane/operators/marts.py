@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.functions import first_threshold, ratio_pct, rnd
-from pitlane.operators.lookup import join_groups
-from pitlane.operators.quantiles import group_quantiles
+from pitlane.operators.quantiles import aggregate_with_quantiles
 
 
 def _rows() -> Column:
@@ -27,38 +26,40 @@ def _zero(name: str) -> Column:
 PRICING_KEYS = ["category", "brand"]
 
 
-def pricing_catalog_side(enriched: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
-    keys = [*PRICING_KEYS, "brand_type"]
-    priced = enriched.where(F.col("price_eur").isNotNull())
-    sums = priced.groupBy(*keys).agg(
-        _rows().alias("nb_references"),
-        F.count_if("is_available").alias("nb_available"),
-        rnd(F.avg("price_eur"), 2).alias("catalog_avg_price"),
-        rnd(F.min("price_eur"), 2).alias("catalog_min_price"),
-        rnd(F.max("price_eur"), 2).alias("catalog_max_price"),
-        rnd(F.avg("reliability_score"), 3).alias("avg_reliability_score"),
-        F.count_if("is_price_outlier").alias("nb_price_outliers"),
-        F.count_if(F.col("nb_sources") >= 2).alias("nb_multi_source_refs"),
-    )
-    medians = group_quantiles(priced, keys, "price_eur", {"catalog_median_price": 0.5}, approx_accuracy)
-    return join_groups(sums, medians, keys).withColumn("catalog_median_price", rnd("catalog_median_price", 2))
-
-
-def pricing_market_side(listings: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
-    sums = listings.groupBy(*PRICING_KEYS).agg(
-        _rows().alias("nb_listings"),
-        rnd(F.avg("asking_price_eur"), 2).alias("market_avg_asking"),
-        rnd(F.avg("negotiated_price_eur"), 2).alias("market_avg_negotiated"),
-        rnd(F.avg("discount_rate") * 100, 2).alias("avg_discount_pct"),
-        rnd(F.avg("days_to_sell"), 1).alias("avg_days_to_sell"),
-        F.count_if("is_fast_sale").alias("nb_fast_sales"),
-        F.count_if(F.col("condition") == "new").alias("nb_new_condition"),
-        F.count_if(F.col("condition") == "reconditioned").alias("nb_reconditioned"),
-    )
-    medians = group_quantiles(
-        listings, PRICING_KEYS, "asking_price_eur", {"market_median_price": 0.5}, approx_accuracy
-    )
-    return join_groups(sums, medians, PRICING_KEYS).withColumn("market_median_price", rnd("market_median_price", 2))
+def pricing_catalog_side(enriched: DataFrame, **quantile_options) -> DataFrame:
+    return aggregate_with_quantiles(
+        enriched.where(F.col("price_eur").isNotNull()),
+        [*PRICING_KEYS, "brand_type"],
+        [
+            _rows().alias("nb_references"),
+            F.count_if("is_available").alias("nb_available"),
+            rnd(F.avg("price_eur"), 2).alias("catalog_avg_price"),
+            rnd(F.min("price_eur"), 2).alias("catalog_min_price"),
+            rnd(F.max("price_eur"), 2).alias("catalog_max_price"),
+            rnd(F.avg("reliability_score"), 3).alias("avg_reliability_score"),
+            F.count_if("is_price_outlier").alias("nb_price_outliers"),
+            F.count_if(F.col("nb_sources") >= 2).alias("nb_multi_source_refs"),
+        ],
+        "price_eur", {"catalog_median_price": 0.5}, **quantile_options,
+    ).withColumn("catalog_median_price", rnd("catalog_median_price", 2))
+
+
+def pricing_market_side(listings: DataFrame, **quantile_options) -> DataFrame:
+    return aggregate_with_quantiles(
+        listings,
+        PRICING_KEYS,
+        [
+            _rows().alias("nb_listings"),
+            rnd(F.avg("asking_price_eur"), 2).alias("market_avg_asking"),
+            rnd(F.avg("negotiated_price_eur"), 2).alias("market_avg_negotiated"),
+            rnd(F.avg("discount_rate") * 100, 2).alias("avg_discount_pct"),
+            rnd(F.avg("days_to_sell"), 1).alias("avg_days_to_sell"),
+            F.count_if("is_fast_sale").alias("nb_fast_sales"),
+            F.count_if(F.col("condition") == "new").alias("nb_new_condition"),
+            F.count_if(F.col("condition") == "reconditioned").alias("nb_reconditioned"),
+        ],
+        "asking_price_eur", {"market_median_price": 0.5}, **quantile_options,
+    ).withColumn("market_median_price", rnd("market_median_price", 2))
 
 
 def price_gap_pct() -> Column:
@@ -70,12 +71,10 @@ def market_liquidity() -> Column:
     return first_threshold("avg_days_to_sell", [(7, "haute"), (21, "moyenne")], "faible", at_least=False)
 
 
-def mart_market_pricing(
-    enriched: DataFrame, listings: DataFrame, approx_accuracy: int | None = None
-) -> DataFrame:
+def mart_market_pricing(enriched: DataFrame, listings: DataFrame, **quantile_options) -> DataFrame:
     """Catalogue against market prices. Market figures repeat for each brand type of a brand."""
-    joined = pricing_catalog_side(enriched, approx_accuracy).join(
-        pricing_market_side(listings, approx_accuracy), PRICING_KEYS, "full"
+    joined = pricing_catalog_side(enriched, **quantile_options).join(
+        pricing_market_side(listings, **quantile_options), PRICING_KEYS, "full"
     )
     return joined.select(
         *PRICING_KEYS, "brand_type",

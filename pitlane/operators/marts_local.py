@@ -6,38 +6,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.functions import ratio_pct, rnd
-from pitlane.operators.lookup import join_groups
 from pitlane.operators.marts import (
     PRICING_KEYS, SUPPLIER_KEYS, TIERS, VEHICLE_KEYS, coverage_level, market_liquidity, price_gap_pct,
 )
-from pitlane.operators.quantiles import group_quantiles
+from pitlane.operators.quantiles import aggregate_with_quantiles
 
 
-def mart_market_pricing_local(parts: DataFrame, listings: DataFrame) -> DataFrame:
+def mart_market_pricing_local(parts: DataFrame, listings: DataFrame, **quantile_options) -> DataFrame:
     catalog_keys = [*PRICING_KEYS, "brand_type"]
-    priced = parts.where(F.col("price_eur").isNotNull())
-    catalog = join_groups(
-        priced.groupBy(*catalog_keys).agg(
+    catalog = aggregate_with_quantiles(
+        parts.where(F.col("price_eur").isNotNull()),
+        catalog_keys,
+        [
             F.count(F.lit(1)).alias("nb_references"),
             F.count_if("is_available").alias("nb_available"),
             rnd(F.avg("price_eur"), 2).alias("catalog_avg_price"),
             rnd(F.min("price_eur"), 2).alias("catalog_min_price"),
             rnd(F.max("price_eur"), 2).alias("catalog_max_price"),
             rnd(F.avg("quality_score"), 3).alias("avg_quality_score"),
-        ),
-        group_quantiles(priced, catalog_keys, "price_eur", {"catalog_median": 0.5}),
-        catalog_keys,
+        ],
+        "price_eur", {"catalog_median": 0.5}, **quantile_options,
     )
-    market = join_groups(
-        listings.groupBy(*PRICING_KEYS).agg(
+    market = aggregate_with_quantiles(
+        listings,
+        PRICING_KEYS,
+        [
             F.count(F.lit(1)).alias("nb_listings"),
             rnd(F.avg("asking_price_eur"), 2).alias("market_avg_asking"),
             rnd(F.avg("discount_rate") * 100, 2).alias("avg_discount_pct"),
             rnd(F.avg("days_to_sell"), 1).alias("avg_days_to_sell"),
             F.count_if("is_fast_sale").alias("nb_fast_sales"),
-        ),
-        group_quantiles(listings, PRICING_KEYS, "asking_price_eur", {"market_median": 0.5}),
-        PRICING_KEYS,
+        ],
+        "asking_price_eur", {"market_median": 0.5}, **quantile_options,
     )
     zero = {"nb_references": "nb_catalog_references", "nb_available": "nb_catalog_available",
             "nb_listings": "nb_market_listings", "nb_fast_sales": "nb_fast_sales"}

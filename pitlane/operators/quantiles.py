@@ -1,8 +1,10 @@
-"""Exact quantiles per group without holding a group in one task.
+"""Exact quantiles per group, next to ordinary aggregates.
 
 ``percentile`` keeps every distinct value of a group in one task's memory. The
 groups here are few (category x brand type), so that state grows with the
-table. Instead the rank is narrowed down in steps, each a plain aggregation:
+table. It is used only if the files under the input are small, which bounds the
+distinct values they can hold. Beyond that the rank is narrowed down in steps,
+each a plain aggregation:
 
 1. count rows per (group, value), combined before the shuffle;
 2. count per coarse band of values and find the band holding each rank;
@@ -12,7 +14,7 @@ table. Instead the rank is narrowed down in steps, each a plain aggregation:
 Every window below runs over a bounded number of rows: at most 50,000 coarse
 bands per factor e of the value range, 2^18 strips per band, and, since a band
 spans a factor of about 1.00002 and doubles have 2^52 values per octave, some
-400,000 distinct doubles per strip. None of the bounds depends on the number
+700,000 distinct doubles per strip. None of the bounds depends on the number
 of rows, however they are distributed.
 """
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitlane.operators.lookup import join_groups
@@ -29,54 +31,75 @@ _BANDS_PER_E = 50_000.0
 _STRIPS = float(2**18)
 
 
-def group_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], approx_accuracy: int | None = None
+# Files of this size hold at most four million distinct doubles.
+IN_MEMORY_BYTES = 32 * 2**20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files under a frame, or the optimiser's estimate of the frame if that is larger."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(scanned, int(str(plan.stats().sizeInBytes())))
+
+
+def aggregate_with_quantiles(
+    df: DataFrame, keys: list[str], aggregates: list[Column], value: str, probs: dict[str, float],
+    in_memory_bytes: int = IN_MEMORY_BYTES, approx_accuracy: int | None = None,
 ) -> DataFrame:
-    """Quantiles with linear interpolation, one column per entry of ``probs``; nulls are ignored.
+    """``aggregates`` per group and quantiles of ``value`` with linear interpolation, nulls ignored.
 
-    ``approx_accuracy`` opts into one-pass approximate quantiles with that accuracy.
+    ``probs`` names the quantile columns. Inputs above ``in_memory_bytes`` take
+    the stepwise way. ``approx_accuracy`` opts into approximate quantiles.
     """
-    rows = df.where(F.col(value).isNotNull())
+    wanted = list(probs.values())
     if approx_accuracy is not None:
-        return rows.groupBy(*keys).agg(
-            *[F.percentile_approx(value, p, approx_accuracy).alias(name) for name, p in probs.items()]
-        )
+        quantiles = F.percentile_approx(value, wanted, approx_accuracy)
+    elif input_bytes(df) <= in_memory_bytes:
+        quantiles = F.percentile(value, wanted)
+    else:
+        return join_groups(df.groupBy(*keys).agg(*aggregates), quantiles_by_steps(df, keys, value, probs), keys)
+    grouped = df.groupBy(*keys).agg(*aggregates, quantiles.alias("_q"))
+    return grouped.withColumns({name: F.col("_q")[i] for i, name in enumerate(probs)}).drop("_q")
 
-    v = F.col("_v")
-    # Any non-decreasing function of the value serves as a band.
-    band = F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000.0) * _BANDS_PER_E)
-    counts = (
-        rows.groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_band", band)
-    )
 
-    bands = counts.groupBy(*keys, "_band").agg(
-        F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+def quantiles_by_steps(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    rows = df.where(F.col(value).isNotNull())
+    v, n = F.col("_v"), F.sum("_n").alias("_n")
+    counts = rows.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+    # Any non-decreasing function of the value serves as a band.
+    band = F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000.0) * _BANDS_PER_E).alias("_band")
+    banded = counts.select(*keys, "_v", "_n", band)
+    bands = banded.groupBy(*keys, "_band").agg(n, F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    whole = _by(keys, "_band").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bands = bands.select(
+        "*", F.sum("_n").over(whole).alias("_total"), _before(keys, "_band", F.lit(0)).alias("_start")
     )
-    group = Window.partitionBy(*keys)
-    bands = _ranked(bands.withColumn("_total", F.sum("_n").over(group)), keys, "_band", F.lit(0))
-    band_hits = bands.where(_holds_any(probs)).select(*keys, "_band", "_before", "_total", "_lo", "_hi")
+    hit_bands = bands.where(_holds_any(probs)).drop("_n")
 
     width = F.col("_hi") - F.col("_lo")
     strip = F.when(width > 0, F.floor((v - F.col("_lo")) / width * _STRIPS)).otherwise(F.lit(0))
-    in_band = join_groups(counts, band_hits, [*keys, "_band"], "inner").withColumn("_strip", strip)
-
-    strips = in_band.groupBy(*keys, "_band", "_strip").agg(
-        F.sum("_n").alias("_n"), F.max("_before").alias("_start"), F.max("_total").alias("_total")
+    striped = join_groups(banded, hit_bands, [*keys, "_band"], "inner").select(
+        *keys, "_band", strip.alias("_strip"), "_v", "_n", "_start", "_total"
     )
-    strips = _ranked(strips, [*keys, "_band"], "_strip", F.col("_start"))
-    strip_hits = strips.where(_holds_any(probs)).select(*keys, "_band", "_strip", F.col("_before").alias("_start"))
-
-    in_strip = join_groups(in_band.drop("_before"), strip_hits, [*keys, "_band", "_strip"], "inner")
-    values = _ranked(in_strip, [*keys, "_band", "_strip"], "_v", F.col("_start"))
+    strips = striped.groupBy(*keys, "_band", "_strip").agg(
+        n, F.max("_start").alias("_start"), F.max("_total").alias("_total")
+    )
+    in_band = [*keys, "_band"]
+    strips = strips.withColumn("_start", _before(in_band, "_strip", F.col("_start")))
+    hit_strips = strips.where(_holds_any(probs)).drop("_n", "_total")
 
+    in_strip = [*in_band, "_strip"]
+    values = join_groups(striped.drop("_start"), hit_strips, in_strip, "inner").withColumn(
+        "_start", _before(in_strip, "_v", F.col("_start"))
+    )
     ends = values.groupBy(*keys).agg(
-        *[F.max(F.when(_holds(_lower(p)), v)).alias(f"_lower_{n}") for n, p in probs.items()],
-        *[F.max(F.when(_holds(_upper(p)), v)).alias(f"_upper_{n}") for n, p in probs.items()],
+        *[F.max(F.when(_holds(_lower(p)), v)).alias(f"_lower_{name}") for name, p in probs.items()],
+        *[F.max(F.when(_holds(_upper(p)), v)).alias(f"_upper_{name}") for name, p in probs.items()],
         F.max("_total").alias("_total"),
     )
-    return ends.select(*keys, *[_interpolate(n, p).alias(n) for n, p in probs.items()])
+    return ends.select(*keys, *[_interpolate(name, p).alias(name) for name, p in probs.items()])
 
 
 def _position(p: float) -> Column:
@@ -91,14 +114,18 @@ def _upper(p: float) -> Column:
     return F.ceil(_position(p))
 
 
-def _ranked(df: DataFrame, part: list[str], order: str, start: Column) -> DataFrame:
-    """``_before``: number of rows of the group that sort before this entry."""
-    running = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("_before", start + F.sum("_n").over(running) - F.col("_n"))
+def _by(part: list[str], order: str) -> WindowSpec:
+    return Window.partitionBy(*part).orderBy(order)
+
+
+def _before(part: list[str], order: str, start: Column) -> Column:
+    """Number of rows of the group that sort before an entry; ``start`` of them before its part."""
+    running = _by(part, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return start + F.sum("_n").over(running) - F.col("_n")
 
 
 def _holds(rank: Column) -> Column:
-    return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n"))
+    return (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
 
 
 def _holds_any(probs: dict[str, float]) -> Column:

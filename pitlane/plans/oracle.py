@@ -672,9 +672,12 @@ QUERIES: dict[str, str] = {
     "stg_parts": _select("st_parts"),
     "stg_listings": _select("st_listings"),
     "stg_recalls": _select("st_recalls"),
-    "int_price_stats": "select category, brand_type, "
-    + ", ".join(f"{_rnd(c, 6)} as {c}" for c in ("q1", "median_price", "q3", "avg_price", "stddev_price"))
-    + ", parts_count from price_stats",
+    **{
+        name: "select category, brand_type, "
+        + ", ".join(f"{_rnd(c, 6)} as {c}" for c in ("q1", "median_price", "q3", "avg_price", "stddev_price"))
+        + ", parts_count from price_stats"
+        for name in ("int_price_stats", "int_price_stats_by_steps")
+    },
     "int_source_coverage": f"""select * exclude (avg_price_cross_source),
         {_rnd('avg_price_cross_source', 6)} as avg_price_cross_source from source_coverage""",
     "int_source_coverage_multisource": f"""select * exclude (avg_price_cross_source),
@@ -694,6 +697,7 @@ QUERIES: dict[str, str] = {
     "pricing_catalog_side": _select("catalog_side"),
     "pricing_market_side": _select("market_side"),
     "mart_market_pricing": _select("pricing"),
+    "mart_market_pricing_by_steps": _select("pricing"),
     "mart_market_pricing_multisource": _select("pricing_multi"),
     "mart_market_pricing_local": _select("pricing_local"),
     "coverage_by_vehicle": _select("by_vehicle"),

@@ -420,6 +420,13 @@ def int_price_stats(lake: Lake) -> DataFrame:
     return _rounded(stats, 6, "q1", "median_price", "q3", "avg_price", "stddev_price")
 
 
+@_query
+def int_price_stats_by_steps(lake: Lake) -> DataFrame:
+    """The way taken for large inputs."""
+    stats = enrich.int_price_stats(lake.stg_parts(), in_memory_bytes=0)
+    return _rounded(stats, 6, "q1", "median_price", "q3", "avg_price", "stddev_price")
+
+
 @_query
 def int_source_coverage(lake: Lake) -> DataFrame:
     return _rounded(enrich.int_source_coverage(lake.stg_parts()), 6, "avg_price_cross_source")
@@ -480,6 +487,12 @@ def mart_market_pricing(lake: Lake) -> DataFrame:
     return marts.mart_market_pricing(lake.enriched(), lake.stg_listings())
 
 
+@_query
+def mart_market_pricing_by_steps(lake: Lake) -> DataFrame:
+    """The way taken for large inputs."""
+    return marts.mart_market_pricing(lake.enriched(), lake.stg_listings(), in_memory_bytes=0)
+
+
 @_query
 def mart_market_pricing_multisource(lake: Lake) -> DataFrame:
     return marts.mart_market_pricing(lake.enriched_multisource(), lake.stg_listings())
