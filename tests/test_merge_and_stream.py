@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from pitlane.operators import merge
+from pitlane.streaming import feed
+
+DOC = "id string, v int, w string, ingested_at timestamp"
+
+
+def docs(spark, *specs):
+    df = spark.createDataFrame([(i, v, w, t) for i, v, w, t in specs], "id string, v int, w string, t string")
+    return df.select("id", "v", "w", F.to_timestamp("t").alias("ingested_at"))
+
+
+def seen(text: str):
+    return F.lit(text).cast("timestamp")
+
+
+def load(spark, target, *specs, at="2024-01-02 00:00:00"):
+    batch = docs(spark, *specs)
+    target = merge.empty_target(batch) if target is None else target
+    return merge.ingest_upsert(target, batch, "id", seen(at))
+
+
+def state(df):
+    return {r["id"]: (r["v"], r["w"], str(r[merge.FIRST_SEEN])[:10]) for r in df.collect()}
+
+
+def test_insert_update_and_skip(spark):
+    first = load(spark, None, ("a", 1, "x", "2024-01-01"), ("", 9, "x", "2024-01-01"), (None, 9, "x", "2024-01-01"),
+                 at="2024-01-01 00:00:00")
+    second = load(spark, first, ("a", 2, None, "2024-01-02"), ("b", 5, "y", "2024-01-02"))
+    assert state(first) == {"a": (1, "x", "2024-01-01")}
+    assert state(second) == {"a": (2, None, "2024-01-01"), "b": (5, "y", "2024-01-02")}
+
+
+def test_columns_not_sent_stay(spark):
+    first = load(spark, None, ("a", 1, "x", "2024-01-01"), at="2024-01-01 00:00:00")
+    narrow = docs(spark, ("a", 2, None, "2024-01-02"), ("b", 3, None, "2024-01-02")).drop("w")
+    assert state(merge.ingest_upsert(first, narrow, "id", seen("2024-01-02 00:00:00"))) == {
+        "a": (2, "x", "2024-01-01"), "b": (3, None, "2024-01-02")}
+
+
+def test_new_columns_appear(spark):
+    first = load(spark, None, ("a", 1, "x", "2024-01-01"), ("c", 1, "x", "2024-01-01"))
+    wide = docs(spark, ("a", 2, "x", "2024-01-02")).withColumn("extra", F.lit("e"))
+    out = merge.ingest_upsert(first, wide, "id", seen("2024-01-02 00:00:00"))
+    assert {r["id"]: r["extra"] for r in out.collect()} == {"a": "e", "c": None}
+
+
+def test_latest_document_of_a_batch_wins_and_late_ones_do_not(spark):
+    first = load(spark, None, ("a", 1, "x", "2024-01-05"), ("a", 2, "x", "2024-01-07"), ("a", 3, "x", "2024-01-06"))
+    late = load(spark, first, ("a", 4, "x", "2024-01-06"))
+    assert state(first)["a"][0] == 2 and state(late)["a"][0] == 2
+
+
+def test_replay_changes_nothing(spark):
+    specs = [(f"k{i % 5}", i, "x", f"2024-01-{i + 1:02d}") for i in range(20)]
+    once = load(spark, None, *specs, at="2024-01-01 00:00:00")
+    twice = load(spark, once, *specs)
+    assert state(once) == state(twice)
+    stats = merge.ingest_stats(once, docs(spark, *specs), "id", "c").first()
+    assert (stats["inserted"], stats["updated"], stats["total"]) == (0, 0, 20)
+
+
+def test_stats(spark):
+    first = load(spark, None, ("a", 1, "x", "2024-01-01"), ("b", 1, "x", "2024-01-01"), ("c", 1, "x", "2024-01-03"))
+    batch = docs(spark, ("a", 2, "x", "2024-01-02"), ("b", 1, "x", "2024-01-01"), ("c", 7, "x", "2024-01-02"),
+                 ("d", 1, "x", "2024-01-02"), ("", 1, "x", "2024-01-02"))
+    row = merge.ingest_stats(first, batch, "id", "c").first()
+    assert row.asDict() == {"collection": "c", "inserted": 1, "updated": 1, "errors": 0, "total": 5}
+
+
+def test_zero_is_no_key(spark):
+    df = spark.createDataFrame([(0, "2024-01-01"), (1, "2024-01-01")], "id int, ingested_at string")
+    assert [r["id"] for r in df.where(merge.usable_key(df, "id")).collect()] == [1]
+
+
+def test_recall_feed_filters(spark):
+    df = spark.createDataFrame([("A", 2020), ("A", 2021), ("B", 2020)], "make string, model_year int")
+    assert merge.feed_filter(df, ["A"], [2020]).count() == 1
+    assert merge.feed_filter(df).count() == 3
+
+
+def test_summary_skips_absent_collections(spark):
+    out = merge.export_summary({"a": spark.range(3), "b": spark.range(0), "c": None})
+    assert {r["collection"]: r["documents"] for r in out.collect()} == {"a": 3, "b": 0, None: 3}
+
+
+@pytest.fixture
+def landing(tmp_path):
+    return [str(tmp_path / name) for name in ("landing", "log", "checkpoint")]
+
+
+def stream(spark, folders, batch_bytes=1):
+    landing, log, checkpoint = folders
+    source = feed.read_feed(spark, landing, spark.createDataFrame([], DOC).schema, batch_bytes)
+    query = feed.ingest_stream_upsert(source, log, checkpoint, "id", F.col("ingested_at"))
+    query.awaitTermination()
+    return query
+
+
+def land(df, folder, files):
+    df.repartition(files).write.mode("append").option("timestampFormat", feed.TIMESTAMPS).json(folder)
+
+
+def test_stream_equals_batch(spark, landing):
+    specs = [(f"k{i % 7}" if i % 11 else "", i, "x", f"2024-01-{i % 28 + 1:02d} 00:00:{i % 60:02d}") for i in range(400)]
+    everything = docs(spark, *specs)
+    land(everything.where("v < 300"), landing[0], 5)
+    batches = [p["batchId"] for p in stream(spark, landing).recentProgress if p["numInputRows"]]
+    land(everything.where("v >= 300"), landing[0], 2)
+    stream(spark, landing)
+    assert len(batches) > 1
+    streamed = feed.current_state(spark.read.parquet(landing[1]), "id")
+    merged = merge.ingest_upsert(merge.empty_target(everything), everything, "id", F.lit(None).cast("timestamp"))
+    pick = ["id", "v", "w", "ingested_at"]
+    assert sorted(map(tuple, streamed.select(pick).collect())) == sorted(map(tuple, merged.select(pick).collect()))
+    first = {r["id"]: r["t"] for r in everything.groupBy("id").agg(F.min("ingested_at").alias("t")).collect()}
+    assert {r["id"]: r[merge.FIRST_SEEN] for r in streamed.collect()} == {k: t for k, t in first.items() if k}
+
+
+def test_restarted_stream_adds_nothing(spark, landing):
+    land(docs(spark, ("a", 1, "x", "2024-01-01"), ("b", 1, "x", "2024-01-01")), landing[0], 2)
+    stream(spark, landing)
+    stream(spark, landing)
+    assert spark.read.parquet(landing[1]).count() == 2
+
+
+def test_compaction_keeps_the_state(spark, landing, tmp_path):
+    land(docs(spark, ("a", 1, "x", "2024-01-01"), ("a", 2, "x", "2024-01-02"), ("b", 1, "x", "2024-01-01")), landing[0], 3)
+    stream(spark, landing)
+    log = spark.read.parquet(landing[1])
+    compacted = str(tmp_path / "compacted")
+    feed.compact(log, compacted, "id")
+    new_log = spark.read.parquet(compacted)
+    assert new_log.count() == 2
+    assert state(feed.current_state(new_log, "id")) == state(feed.current_state(log, "id"))
