@@ -41,7 +41,8 @@ def silver_parts_local(df: DataFrame) -> DataFrame:
     return latest_by(_stamped(cleaned), ["_fingerprint"], F.col("ingested_at"), ties)
 
 
-def silver_listings_local(df: DataFrame) -> DataFrame:
+def silver_listings_local(df: DataFrame, strip_category: bool = True) -> DataFrame:
+    """The scheduled variant of this pipeline leaves the category as it is."""
     keyed = _stamped(df.where(F.col("listing_id").isNotNull()))
     ties = content_order([c for c in S.SILVER_LISTINGS if c not in ("listing_id", "ingested_at")])
     latest = latest_by(keyed, ["listing_id"], F.col("ingested_at"), ties)
@@ -55,7 +56,7 @@ def silver_listings_local(df: DataFrame) -> DataFrame:
         .withColumns({
             "vehicle_make": title_case(strip_ws("vehicle_make")),
             "brand": title_case(strip_ws("brand")),
-            "category": strip_ws("category"),
+            "category": strip_ws("category") if strip_category else F.col("category"),
             "condition": F.lower(strip_ws("condition")),
             "seller_type": F.lower(strip_ws("seller_type")),
             "discount_rate": rnd_even(F.try_divide(asking - negotiated, asking), 4),

@@ -59,6 +59,10 @@ def _content(*columns: str) -> str:
     return ", ".join(f"{c} asc nulls first" for c in columns)
 
 
+def _newest_content(*columns: str) -> str:
+    return ", ".join(f"{c} desc nulls last" for c in columns)
+
+
 _LISTING_TIES = _content(
     "part_number", "brand", "category", "vehicle_make", "vehicle_model", "vehicle_year", "asking_price_eur",
     "negotiated_price_eur", "seller_type", "seller_region", "condition", "days_to_sell", "source",
@@ -182,8 +186,11 @@ select * exclude (ts, rn) from (
     from (select *, {_DATED} from raw_parts
           where part_id is not null and {_strip('part_number')} <> '')) where rn = 1"""
 
-STEPS["s_listings_local"] = f"""
-select listing_id, part_number, {_title(_strip('brand'))} as brand, {_strip('category')} as category,
+
+
+def _listings_local(category: str) -> str:
+    return f"""
+select listing_id, part_number, {_title(_strip('brand'))} as brand, {category} as category,
     {_title(_strip('vehicle_make'))} as vehicle_make, vehicle_model, vehicle_year, asking_price_eur,
     negotiated_price_eur, lower({_strip('seller_type')}) as seller_type, seller_region,
     lower({_strip('condition')}) as condition, days_to_sell, listing_date, source,
@@ -193,6 +200,10 @@ select listing_id, part_number, {_title(_strip('brand'))} as brand, {_strip('cat
     days_to_sell is not null and days_to_sell <= 7 as is_fast_sale, {_MONTH}
 from latest_listings where asking_price_eur > 0"""
 
+
+STEPS["s_listings_local"] = _listings_local(_strip("category"))
+STEPS["s_listings_scheduled"] = _listings_local("category")
+
 # --- staging ----------------------------------------------------------------
 
 
@@ -508,7 +519,7 @@ select user_id::varchar as user_id, event_id, event_type, value, props, ts as in
 
 def _newest_event(where: str) -> str:
     return f"""
-select * exclude (rn) from (select *, row_number() over (partition by user_id order by ingested_at desc, event_id) as rn
+select * exclude (rn) from (select *, row_number() over (partition by user_id order by ingested_at desc, event_id desc) as rn
     from event_docs where {where}) where rn = 1"""
 
 
@@ -613,23 +624,25 @@ QUERIES: dict[str, str] = {
     "ingest_stream_upsert": f"""
         select d.user_id, d.event_id, d.event_type, d.value, d.props, {_SHOWN.format('d.ingested_at')} as ingested_at,
             {_SHOWN.format('f.first_seen')} as first_seen_at
-        from (select *, row_number() over (partition by user_id order by ingested_at desc, event_id) as rn
+        from (select *, row_number() over (partition by user_id order by ingested_at desc, event_id desc) as rn
               from event_docs) d
         join (select user_id, min(ingested_at) as first_seen from event_docs group by 1) f on d.user_id = f.user_id
         where d.rn = 1""",
     "ingest_feed_parts": _feed("raw_parts", "part_id", "part_number"),
-    "ingest_feed_listings": _feed(
-        "raw_listings", "listing_id", _LISTING_TIES.replace("source asc", "listing_date asc nulls first, source asc")),
+    "ingest_feed_listings": _feed("raw_listings", "listing_id", _newest_content(
+        "part_number", "brand", "category", "vehicle_make", "vehicle_model", "vehicle_year", "asking_price_eur",
+        "negotiated_price_eur", "seller_type", "seller_region", "condition", "days_to_sell", "listing_date", "source")),
     "ingest_feed_recalls": _feed(
         "raw_recalls", "recall_id",
-        _content("manufacturer", "make", "model", "model_year", "component", "summary", "consequence", "remedy",
-                 "report_received_date", "record_creation_date", "potentially_affected", "source", "_raw"),
+        _newest_content("manufacturer", "make", "model", "model_year", "component", "summary", "consequence", "remedy",
+                        "report_received_date", "record_creation_date", "potentially_affected", "source", "_raw"),
         "make in ({}) and model_year in ({})".format(
             ", ".join(f"'{m}'" for m in FEED_MAKES), ", ".join(str(y) for y in FEED_YEARS))),
     "run_log_append": f"""
-        select 'ingestion_1' as run_id, 'ingestion' as dag_id, 'success' as status, total as total_docs, inserted,
-            updated, '{SECOND_LOAD}' as recorded_at from event_stats
-        union all select 'ingestion_2', 'ingestion', 'success', total, 0, 0, '{SECOND_LOAD}' from event_stats""",
+        select 'ingestion_20240304_010000' as run_id, 'ingestion' as dag_id, 'success' as status, total as total_docs,
+            inserted, updated, '{FIRST_LOAD}' as recorded_at from event_stats
+        union all select 'ingestion_20240305_010000', 'ingestion', 'success', total, 0, 0, '{SECOND_LOAD}'
+        from event_stats""",
     "export_summary": """
         select collection, cast(sum(n) as bigint) as documents from (
             select 'parts_catalog' as collection, count(*) as n from raw_parts
@@ -669,6 +682,7 @@ QUERIES: dict[str, str] = {
     "silver_listings": _select("s_listings"),
     "silver_parts_local": _select("s_parts_local"),
     "silver_listings_local": _select("s_listings_local"),
+    "silver_listings_scheduled": _select("s_listings_scheduled"),
     "stg_parts": _select("st_parts"),
     "stg_listings": _select("st_listings"),
     "stg_recalls": _select("st_recalls"),

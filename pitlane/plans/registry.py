@@ -162,9 +162,8 @@ def catalog_register(lake: Lake) -> DataFrame:
         "part_id", "part_number", "brand", "category", "price_eur", "source", "ingested_date", *S.SILVER_PARTITIONS
     )
     tables.silver_write_partitioned(parts, path)
-    table = tables.catalog_register(
-        lake.spark, "silver_parts_catalog", parts.schema, S.SILVER_PARTITIONS, path
-    )
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    table = tables.catalog_register(lake.spark, name, parts.schema, S.SILVER_PARTITIONS, path)
     return table.withColumn("ingested_date", F.col("ingested_date").cast("string"))
 
 
@@ -244,11 +243,10 @@ def run_log_append(lake: Lake) -> DataFrame:
     log = lake.path("pipeline_runs")
     target, batch = _event_loads(lake)
     merged = merge.ingest_upsert(target, batch, "user_id", _ts(SECOND_LOAD))
-    for run_id, table in (("ingestion_1", target), ("ingestion_2", merged)):
+    for started, table in ((FIRST_LOAD, target), (SECOND_LOAD, merged)):
         stats = merge.ingest_stats(table, batch, "user_id", "events")
-        tables.run_log_append(
-            merge.run_record(stats, run_id, "ingestion", "success", _ts(SECOND_LOAD)).to(S.RUN_LOG), log
-        )
+        record = merge.run_record(stats, merge.run_id(_ts(started)), "ingestion", "success", _ts(started))
+        tables.run_log_append(record.to(S.RUN_LOG), log)
     runs = lake.spark.read.schema(S.RUN_LOG).parquet(log)
     return runs.select(
         "run_id", "dag_id", "status", "total_docs",
@@ -396,6 +394,11 @@ def silver_listings_local(lake: Lake) -> DataFrame:
     return _iso(silver_local.silver_listings_local(lake.raw_flat("market_listings")))
 
 
+@_query
+def silver_listings_scheduled(lake: Lake) -> DataFrame:
+    return _iso(silver_local.silver_listings_local(lake.raw_flat("market_listings"), strip_category=False))
+
+
 # --- staging, enrichment, marts ---------------------------------------------
 
 

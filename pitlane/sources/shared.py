@@ -7,12 +7,16 @@ outlives any executor.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_OWN: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,23 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{_SETTING} must name a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="pitlane-")
-    spark.conf.set(_SETTING, local)
-    return local
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{_SETTING} must name a folder shared by all executors")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pitlane-"))
+        configured = spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/")
+
+
+def _remove(fs: JavaObject, folder: JavaObject) -> None:
+    try:
+        fs.delete(folder, True)
+    except (Py4JError, OSError):
+        pass  # The JVM went first; the folder is left to the cluster's clean-up.
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop_path.getParent())
-    fs.deleteOnExit(hadoop_path)
-    return path
+    """A fresh path in the application's own part of the shared folder, which is removed at exit."""
+    own = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        _OWN.add(own)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+        atexit.register(_remove, folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

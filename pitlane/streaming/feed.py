@@ -2,8 +2,8 @@
 
 Each micro-batch costs what it carries; nothing already stored is rewritten. The
 file sink commits a batch once, also after a restart from its checkpoint. The
-state is an aggregation combined before its shuffle, so neither a long log nor a
-key with very many versions gathers in one task. ``compact`` replaces the log by
+state is one aggregation combined before its shuffle, so neither a long log nor
+a key with very many versions gathers in one task. ``compact`` replaces the log by
 its state when reading it becomes expensive.
 """
 
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pitlane.operators.dedup import content_order, latest_by
-from pitlane.operators.lookup import join_groups
 from pitlane.operators.merge import FIRST_SEEN, usable_key
 
 # Landing files keep microseconds; the JSON writer's default cuts them.
@@ -47,11 +45,12 @@ def ingest_stream_upsert(
 
 def current_state(log: DataFrame, id_field: str, newest: str = "ingested_at") -> DataFrame:
     """Latest version of every key with the earliest time it was seen."""
-    versions = log.drop(FIRST_SEEN)
-    ties = content_order([c for c in versions.columns if c not in (id_field, newest)])
-    latest = latest_by(versions, [id_field], F.col(newest), ties)
-    seen = log.groupBy(id_field).agg(F.min(FIRST_SEEN).alias(FIRST_SEEN))
-    return join_groups(latest, seen, [id_field])
+    fields = [c for c in log.columns if c not in (id_field, FIRST_SEEN)]
+    rank = F.struct(newest, *[c for c in fields if c != newest])
+    latest = log.groupBy(id_field).agg(
+        F.max_by(F.struct(*fields), rank).alias("_latest"), F.min(FIRST_SEEN).alias(FIRST_SEEN)
+    )
+    return latest.select(id_field, *[F.col(f"_latest.{c}").alias(c) for c in fields], FIRST_SEEN)
 
 
 def compact(log: DataFrame, out: str, id_field: str, newest: str = "ingested_at") -> None:
