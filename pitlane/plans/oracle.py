@@ -546,6 +546,48 @@ from (select *, row_number() over (partition by {key} order by ts desc nulls las
       from (select *, {_DATED} from {raw} where {where})) where rn = 1"""
 
 
+def _run(raw: str, collection: str, key: str, ties: str, where: str = "true") -> str:
+    """Statistics of an earlier and a later load of one feed."""
+    columns = f"{key}, ts, {ties.replace(' desc nulls last', '')}"
+    return f"""
+select '{collection}' as collection, first_total, first_inserted, second_total, second_inserted, second_updated from (
+    with docs as (select *, {_DATED}, ingested_at < '{SPLIT}' as early from {raw} where {where}),
+    newest as (select * from (select *, row_number() over (partition by early, {key} order by ts desc, {ties}) as rn
+        from docs) where rn = 1),
+    a as (select {columns} from newest where early),
+    b as (select {columns} from newest where not early)
+    select (select count(*) from docs where early) as first_total, (select count(*) from a) as first_inserted,
+        (select count(*) from docs where not early) as second_total,
+        (select count(*) from b where {key} not in (select {key} from a)) as second_inserted,
+        (select count(*) from b join a using ({key}) where b.ts >= a.ts and ({_pairs('b', columns)})
+            is distinct from ({_pairs('a', columns)})) as second_updated)"""
+
+
+def _pairs(side: str, columns: str) -> str:
+    return ", ".join(f"{side}.{c.strip()}" for c in columns.split(","))
+
+
+_PART_CONTENT = _newest_content(
+    "part_number", "part_number_source", "brand", "brand_type", "category", "sub_category", "description",
+    "price_eur", "currency", "stock_quantity", "availability", "vehicle_compatibility", "supplier", "source",
+    "quality_score", "last_updated", "_fingerprint",
+)
+_LISTING_CONTENT = _newest_content(
+    "part_number", "brand", "category", "vehicle_make", "vehicle_model", "vehicle_year", "asking_price_eur",
+    "negotiated_price_eur", "seller_type", "seller_region", "condition", "days_to_sell", "listing_date", "source",
+)
+_RECALL_CONTENT = _newest_content(
+    "manufacturer", "make", "model", "model_year", "component", "summary", "consequence", "remedy",
+    "report_received_date", "record_creation_date", "potentially_affected", "source", "_raw",
+)
+_FEED_MAKES = ", ".join(f"'{m}'" for m in FEED_MAKES)
+
+STEPS["runs"] = " union all ".join(f"select * from ({sql})" for sql in (
+    _run("raw_parts", "parts_catalog", "part_id", _PART_CONTENT),
+    _run("raw_listings", "market_listings", "listing_id", _LISTING_CONTENT),
+    _run("raw_recalls", "vehicle_recalls", "recall_id", _RECALL_CONTENT, f"make in ({_FEED_MAKES})"),
+))
+
 # --- queries ----------------------------------------------------------------
 
 _DAY = f"{int(RUN_DATE[:4])} as {{0}}year, {int(RUN_DATE[5:7])} as {{0}}month, {int(RUN_DATE[8:])} as {{0}}day"
@@ -609,6 +651,11 @@ QUERIES: dict[str, str] = {
     "gold_materialize": f"select *, '{RUN_TS.replace('T', ' ')}' as updated_at from pricing",
     "gold_export_parquet": _select("suppliers_local"),
     "gold_read_mart": _select("coverage_loc"),
+    "local_run": _select("pricing_local"),
+    "gold_run": " union all ".join(
+        f"select '{mart}' as mart, count(*) as n_rows from {step}" for mart, step in (
+            ("mart_market_pricing", "pricing"), ("mart_catalog_coverage", "coverage"),
+            ("mart_supplier_performance", "suppliers"), ("mart_recall_impact", "impact"))),
     "catalog_register": """select part_id, part_number, brand, category, price_eur, source,
         left(ingested_at, 10) as ingested_date, ingested_year, ingested_month from s_parts""",
     "ingest_upsert": f"""
@@ -629,15 +676,16 @@ QUERIES: dict[str, str] = {
         join (select user_id, min(ingested_at) as first_seen from event_docs group by 1) f on d.user_id = f.user_id
         where d.rn = 1""",
     "ingest_feed_parts": _feed("raw_parts", "part_id", "part_number"),
-    "ingest_feed_listings": _feed("raw_listings", "listing_id", _newest_content(
-        "part_number", "brand", "category", "vehicle_make", "vehicle_model", "vehicle_year", "asking_price_eur",
-        "negotiated_price_eur", "seller_type", "seller_region", "condition", "days_to_sell", "listing_date", "source")),
+    "ingest_feed_listings": _feed("raw_listings", "listing_id", _LISTING_CONTENT),
     "ingest_feed_recalls": _feed(
-        "raw_recalls", "recall_id",
-        _newest_content("manufacturer", "make", "model", "model_year", "component", "summary", "consequence", "remedy",
-                        "report_received_date", "record_creation_date", "potentially_affected", "source", "_raw"),
-        "make in ({}) and model_year in ({})".format(
-            ", ".join(f"'{m}'" for m in FEED_MAKES), ", ".join(str(y) for y in FEED_YEARS))),
+        "raw_recalls", "recall_id", _RECALL_CONTENT,
+        f"make in ({_FEED_MAKES}) and model_year in ({', '.join(str(y) for y in FEED_YEARS)})"),
+    "ingest_run": """
+        select 'ingestion_20240304_010000' as run_id, 'success' as status,
+            cast(sum(first_total) over () as bigint) as total_docs, collection, first_inserted as inserted,
+            0::bigint as updated, 0::bigint as errors, first_total as total from runs
+        union all select 'ingestion_20240305_010000', 'success', cast(sum(second_total) over () as bigint), collection,
+            second_inserted, second_updated, 0, second_total from runs""",
     "run_log_append": f"""
         select 'ingestion_20240304_010000' as run_id, 'ingestion' as dag_id, 'success' as status, total as total_docs,
             inserted, updated, '{FIRST_LOAD}' as recorded_at from event_stats

@@ -1,13 +1,16 @@
-"""The medallion run: bronze JSON to silver to gold tables."""
+"""The scheduled steps: ingest, bronze export, silver, gold, and the single-machine variant of the last two."""
 
 from __future__ import annotations
 
 import logging
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.operators import enrich, marts, quality, staging
+from pitlane import schemas as S
+from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, staging
 from pitlane.operators.silver import CLEANERS
 from pitlane.sources import bronze, shared, tables
 
@@ -16,6 +19,47 @@ log = logging.getLogger(__name__)
 GOLD = ["mart_market_pricing", "mart_catalog_coverage", "mart_supplier_performance", "mart_recall_impact"]
 
 
+LOCAL_GOLD = ["mart_market_pricing_local", "mart_catalog_coverage_local", "mart_supplier_performance_local"]
+
+
+def ingest_run(
+    spark: SparkSession, landing: dict[str, DataFrame], root: str, run_log: str, started: datetime,
+    makes: list[str] | None = None, model_years: list[int] | None = None,
+) -> None:
+    """Merge landed documents into their tables and log the run.
+
+    Every run rewrites the tables it touches, as a new version; feeds too large
+    for that go through ``streaming.feed``.
+    """
+    version = started.strftime("%Y%m%d_%H%M%S")
+    now = F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+    stats = []
+    for name, documents in landing.items():
+        typed = documents.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
+        if name == "vehicle_recalls":
+            typed = merge.feed_filter(typed, makes, model_years)
+        target = tables.latest_version(spark, f"{root}/{name}")
+        if target is None:
+            target = merge.empty_target(typed)
+        tables.write_version(merge.ingest_feed(target, typed, name, now), f"{root}/{name}", version)
+        stats.append(merge.ingest_stats(target, typed, S.ID_FIELDS[name], name))
+    record = merge.run_record(reduce(DataFrame.unionByName, stats), merge.run_id(now), "ingestion", "success", now)
+    tables.run_log_append(record.to(S.RUN_LOG), run_log)
+
+
+def export_run(
+    spark: SparkSession, source: str, bronze_root: str, collections: list[str], run_date: str,
+    format: str = "json", **options: str,
+) -> dict[str, int]:
+    """Export the given collections as one day of bronze JSON; returns documents per collection."""
+    return {
+        name: bronze.bronze_export_json(
+            bronze.bronze_read_documents(spark, source, name, format, **options), bronze_root, name, run_date
+        )
+        for name in collections
+    }
+
+
 def silver_run(
     spark: SparkSession, bronze_root: str, silver_root: str, datasets: list[str], run_date: str | None = None
 ) -> dict[str, int]:
@@ -74,11 +118,29 @@ def gold_run(
     validate(spark, gold_root)
 
 
-def validate(spark: SparkSession, gold_root: str) -> None:
+def local_run(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str, run_ts: Column | None = None) -> None:
+    """Flat bronze tables to silver to three marts, by the single-machine pipeline's rules."""
+    parts = tables.scan_parquet(spark, f"{bronze_root}/parts_catalog")
+    listings = tables.scan_parquet(spark, f"{bronze_root}/market_listings")
+    tables.silver_write_flat(silver_local.silver_parts_local(parts), f"{silver_root}/parts_catalog")
+    tables.silver_write_flat(silver_local.silver_listings_local(listings), f"{silver_root}/market_listings")
+    parts = tables.scan_parquet(spark, f"{silver_root}/parts_catalog")
+    listings = tables.scan_parquet(spark, f"{silver_root}/market_listings")
+    built = {
+        "mart_market_pricing_local": marts_local.mart_market_pricing_local(parts, listings),
+        "mart_catalog_coverage_local": marts_local.mart_catalog_coverage_local(listings),
+        "mart_supplier_performance_local": marts_local.mart_supplier_performance_local(parts),
+    }
+    for name, mart in built.items():
+        tables.gold_materialize(mart, gold_root, name, run_ts)
+    validate(spark, gold_root, "_local")
+
+
+def validate(spark: SparkSession, gold_root: str, suffix: str = "") -> None:
     """The report has one row per check, so reading it here is bounded."""
     report = quality.dq_gold_validate(
-        tables.gold_read_mart(spark, gold_root, "mart_market_pricing", ordered=False),
-        tables.gold_read_mart(spark, gold_root, "mart_catalog_coverage", ordered=False),
+        tables.gold_read_mart(spark, gold_root, f"mart_market_pricing{suffix}", ordered=False),
+        tables.gold_read_mart(spark, gold_root, f"mart_catalog_coverage{suffix}", ordered=False),
     )
     broken = report.where("failures > 0").collect()
     if broken:

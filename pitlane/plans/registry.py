@@ -7,6 +7,7 @@ them, since sums of doubles depend on their order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -155,6 +156,30 @@ def gold_read_mart(lake: Lake) -> DataFrame:
     return tables.gold_read_mart(lake.spark, root, "mart_catalog_coverage_local").drop("updated_at")
 
 
+@_query
+def local_run(lake: Lake) -> DataFrame:
+    """The single-machine pipeline from flat bronze tables to its pricing mart."""
+    root, out, gold = lake.path("bronze-flat"), lake.path("silver-flat"), lake.path("gold-local")
+    for name in ("parts_catalog", "market_listings"):
+        bronze.bronze_write_parquet(lake.raw(name), root, name)
+    pipeline.local_run(lake.spark, root, out, gold, _ts(RUN_TS))
+    return tables.gold_read_mart(lake.spark, gold, "mart_market_pricing_local").drop("updated_at")
+
+
+@_query
+def gold_run(lake: Lake) -> DataFrame:
+    """All marts from stored silver; rows per mart."""
+    silver_root, gold = lake.path("silver"), lake.path("gold")
+    for name in S.BRONZE:
+        tables.silver_write_partitioned(lake.silver(name), f"{silver_root}/{name}")
+    pipeline.gold_run(lake.spark, silver_root, gold, _ts(RUN_TS))
+    return reduce(DataFrame.unionByName, [
+        lake.spark.read.parquet(f"{gold}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("mart"), "n_rows")
+        for name in pipeline.GOLD
+    ])
+
+
 @_query
 def catalog_register(lake: Lake) -> DataFrame:
     path = lake.path("silver-external")
@@ -256,6 +281,20 @@ def run_log_append(lake: Lake) -> DataFrame:
     )
 
 
+@_query
+def ingest_run(lake: Lake) -> DataFrame:
+    """Two scheduled loads of all three feeds; the run log with one row per run and feed."""
+    root, log = lake.path("tables"), lake.path("pipeline_runs")
+    early = F.col("ingested_at") < SPLIT
+    for started, where in ((FIRST_LOAD, early), (SECOND_LOAD, ~early)):
+        landed = {name: lake.raw(name).where(where) for name in S.BRONZE}
+        pipeline.ingest_run(lake.spark, landed, root, log, datetime.fromisoformat(started), makes=FEED_MAKES)
+    runs = lake.spark.read.schema(S.RUN_LOG).parquet(log)
+    return runs.select("run_id", "status", "total_docs", F.explode("results").alias("collection", "stats")).select(
+        "run_id", "status", "total_docs", "collection", "stats.*"
+    )
+
+
 @_query
 def export_summary(lake: Lake) -> DataFrame:
     return merge.export_summary({**{name: lake.raw(name) for name in S.BRONZE}, "complaints": None})

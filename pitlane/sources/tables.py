@@ -76,6 +76,19 @@ def catalog_register(
     return spark.table(name)
 
 
+def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest completely written version of a table kept as one folder per version."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = sorted(status.getPath().getParent().toString() for status in fs.globStatus(pattern) or [])
+    return spark.read.parquet(done[-1]) if done else None
+
+
+def write_version(df: DataFrame, root: str, version: str) -> None:
+    """A new version next to the one being read; a repeated run replaces its own."""
+    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+
+
 def run_log_append(record: DataFrame, path: str) -> None:
     """Append one run's audit row."""
     record.write.mode("append").parquet(path)

@@ -10,7 +10,7 @@ def part(**fields) -> dict:
         "part_id": "p1", "part_number": "BOS-FR-000001", "part_number_source": "BOS-FR-000001", "brand": "Bosch",
         "brand_type": "OEM", "category": "Freinage", "sub_category": "Disques", "description": "d",
         "price_eur": 50.0, "currency": "EUR", "stock_quantity": 3, "availability": "in_stock",
-        "vehicle_compatibility": [], "supplier": "AutoStock", "source": "edi_feed", "quality_score": 0.8,
+        "vehicle_compatibility": [], "supplier": "Acme", "source": "edi_feed", "quality_score": 0.8,
         "ingested_at": "2024-03-01T10:00:00", "last_updated": "2024-03-01T10:00:00", "_fingerprint": "f1", **fields,
     }
 
