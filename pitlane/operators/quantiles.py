@@ -11,11 +11,12 @@ each a plain aggregation:
 3. cut those bands into equal strips and find the strip;
 4. walk the distinct values of that strip.
 
-Every window below runs over a bounded number of rows: at most 50,000 coarse
-bands per factor e of the value range, 2^18 strips per band, and, since a band
-spans a factor of about 1.00002 and doubles have 2^52 values per octave, some
-700,000 distinct doubles per strip. None of the bounds depends on the number
-of rows, however they are distributed.
+Every window below runs over a bounded number of rows: 4,096 coarse bands per
+factor e of the value range, 2^20 strips per band, and, since a strip spans a
+factor of about 1 + 2^-32 and doubles have at most 2^53 values per factor e,
+some two million distinct doubles per strip. None of the bounds depends on the
+number of rows, however they are distributed. (Values nearer to zero than
+10^-6, which no price is, share a band: still exact, but not split further.)
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from pitlane.operators.lookup import join_groups
 
-_BANDS_PER_E = 50_000.0
-_STRIPS = float(2**18)
+_BANDS_PER_E = 4096.0
+_STRIPS = float(2**20)
 
 
 # Files of this size hold at most four million distinct doubles.
