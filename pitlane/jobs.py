@@ -7,6 +7,7 @@ import logging
 from datetime import datetime, timezone
 
 from pitlane import schemas as S
+from pitlane.operators import silver, staging
 from pitlane.plans import pipeline
 from pitlane.session import build_session
 from pitlane.sources import bronze
@@ -34,15 +35,16 @@ def _parser() -> argparse.ArgumentParser:
     export.add_argument("--collections", nargs="+", default=everything, choices=everything)
     export.add_argument("--run-date", default=today)
 
-    silver = steps.add_parser("silver", help="clean bronze into silver")
-    silver.add_argument("--bronze", required=True)
-    silver.add_argument("--silver", required=True)
-    silver.add_argument("--datasets", nargs="+", default=everything)
-    silver.add_argument("--run-date", help="read this exported day only (default: all)")
+    clean = steps.add_parser("silver", help="clean bronze into silver")
+    clean.add_argument("--bronze", required=True)
+    clean.add_argument("--silver", required=True)
+    clean.add_argument("--datasets", nargs="+", default=everything)
+    clean.add_argument("--run-date", help="read this exported day only (default: all)")
 
     gold = steps.add_parser("gold", help="build and validate the marts")
     gold.add_argument("--silver", required=True)
     gold.add_argument("--gold", required=True)
+    gold.add_argument("--quotes-from", metavar="BRONZE", help="count a part's sources over all its quotes in bronze")
 
     local = steps.add_parser("local", help="flat bronze to silver to marts by the single-machine rules")
     for folder in ("--bronze", "--silver", "--gold"):
@@ -69,7 +71,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "silver":
         log.info("silver rows %s", pipeline.silver_run(spark, args.bronze, args.silver, args.datasets, args.run_date))
     elif args.step == "gold":
-        pipeline.gold_run(spark, args.silver, args.gold)
+        quotes = None
+        if args.quotes_from:
+            raw = bronze.bronze_read_json(spark, args.quotes_from, "parts_catalog")
+            quotes = staging.stg_parts(silver.clean_parts(raw))
+        pipeline.gold_run(spark, args.silver, args.gold, coverage_input=quotes)
     else:
         pipeline.local_run(spark, args.bronze, args.silver, args.gold)
 

@@ -54,7 +54,8 @@ _SUB = """case l_partkey % 7 when 0 then 'Plaquettes' when 1 then 'Filtre à hui
     when 3 then 'Batterie' when 4 then 'Radiateur' when 5 then 'Été 205/55R16' when 6 then 'Embrayage' end"""
 _SHIP = "strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')"
 _ORDERED = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')"
-_BRAND = "case l_linenumber when 1 then upper(p_brand) when 2 then p_brand || ' ' else p_brand end"
+_BRAND = "case l_linenumber when 1 then upper({0}) when 2 then {0} || ' ' else {0} end"
+_SOLD_AS = "if(p_brand = 'Brand#7', 'Marque#7', p_brand)"
 _DATED = "try_cast(ingested_at as timestamp) as ts"
 _MONTH = "cast(year(ts) as integer) as ingested_year, cast(month(ts) as integer) as ingested_month"
 
@@ -87,7 +88,7 @@ select 'P-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_li
          when l_linenumber = 5 then lower({_NUMBER})
          else {_NUMBER} end as part_number,
     case when l_linenumber = 3 then replace({_NUMBER}, '-', ' ') else {_NUMBER} end as part_number_source,
-    {_BRAND} as brand,
+    {_BRAND.format('p_brand')} as brand,
     case when p_size % 2 = 0 then 'OEM' else 'COMPAT' end as brand_type,
     {_CATEGORY} as category, {_SUB} as sub_category,
     p_brand || ' ' || {_SUB} || ' pour Make ' || (l_suppkey % 25) as description,
@@ -103,11 +104,11 @@ select 'P-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_li
         when 2 then 'marketplace_scraper ' else 'EDI_FEED' end as source,
     case when l_quantity <> 17 then 1.05::double - l_discount * 8 - l_tax end as quality_score,
     {_SHIP} as ingested_at, {_SHIP} as last_updated, md5(p_brand || ':' || p_partkey) as _fingerprint
-from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
-where p_brand <> 'Brand#9'"""
+from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey"""
 
 STEPS["raw_listings"] = f"""
-select (l_orderkey // 2) || '-' || l_linenumber as listing_id, {_NUMBER} as part_number, {_BRAND} as brand,
+select (l_orderkey // 2) || '-' || l_linenumber as listing_id, {_NUMBER} as part_number,
+    {_BRAND.format(_SOLD_AS)} as brand,
     {_CATEGORY} || case when l_linenumber = 3 then ' ' else '' end as category,
     case l_linenumber % 3 when 0 then lower(n_name) when 1 then n_name || ' ' else n_name end as vehicle_make,
     p_name || ' ' || (c_custkey % 9) as vehicle_model, cast(year(o_orderdate) as integer) as vehicle_year,
@@ -121,8 +122,7 @@ from (select *, l_extendedprice / 100 * case when l_linenumber = 7 and l_quantit
         date_diff('day', o_orderdate, l_shipdate) as days, cast(substr(p_brand, 7) as integer) as brand_no
       from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey
       join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-      join region on n_regionkey = r_regionkey
-      where p_brand <> 'Brand#7')"""
+      join region on n_regionkey = r_regionkey)"""
 
 STEPS["raw_recalls"] = f"""
 select 'R' || (l_orderkey // 2) as recall_id, ' ' || n_name || ' Motors' as manufacturer, lower(n_name) as make,
@@ -138,8 +138,7 @@ select 'R' || (l_orderkey // 2) as recall_id, ' ' || n_name || ' Motors' as manu
         then cast(floor(o_totalprice / pow(10, l_linenumber % 4)) as integer) end as potentially_affected,
     'nhtsa_api' as source, {_SHIP} as ingested_at, '{{"order":' || l_orderkey || '}}' as _raw
 from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
-join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey
-where l_suppkey % 4 = 0"""
+join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey"""
 
 # --- silver -----------------------------------------------------------------
 
@@ -528,12 +527,12 @@ from (select *, row_number() over (partition by {key} order by ts desc nulls las
       from (select *, {_DATED} from {raw} where {where})) where rn = 1"""
 
 
-def _run(raw: str, collection: str, key: str, ties: str, where: str = "true") -> str:
+def _run(raw: str, collection: str, key: str, ties: str) -> str:
     """Statistics of an earlier and a later load of one feed."""
     columns = f"{key}, ts, {ties.replace(' desc nulls last', '')}"
     return f"""
 select '{collection}' as collection, first_total, first_inserted, second_total, second_inserted, second_updated from (
-    with docs as (select *, {_DATED}, ingested_at < '{SPLIT}' as early from {raw} where {where}),
+    with docs as (select *, {_DATED}, ingested_at < '{SPLIT}' as early from {raw}),
     newest as (select * from (select *, row_number() over (partition by early, {key} order by ts desc, {ties}) as rn
         from docs) where rn = 1),
     a as (select {columns} from newest where early),
@@ -562,12 +561,11 @@ _RECALL_CONTENT = _newest_content(
     "manufacturer", "make", "model", "model_year", "component", "summary", "consequence", "remedy",
     "report_received_date", "record_creation_date", "potentially_affected", "source", "_raw",
 )
-_FEED_MAKES = ", ".join(f"'{m}'" for m in FEED_MAKES)
 
 STEPS["runs"] = " union all ".join(f"select * from ({sql})" for sql in (
     _run("raw_parts", "parts_catalog", "part_id", _PART_CONTENT),
     _run("raw_listings", "market_listings", "listing_id", _LISTING_CONTENT),
-    _run("raw_recalls", "vehicle_recalls", "recall_id", _RECALL_CONTENT, f"make in ({_FEED_MAKES})"),
+    _run("raw_recalls", "vehicle_recalls", "recall_id", _RECALL_CONTENT),
 ))
 
 # --- queries ----------------------------------------------------------------
@@ -661,7 +659,7 @@ QUERIES: dict[str, str] = {
     "ingest_feed_listings": _feed("raw_listings", "listing_id", _LISTING_CONTENT),
     "ingest_feed_recalls": _feed(
         "raw_recalls", "recall_id", _RECALL_CONTENT,
-        f"make in ({_FEED_MAKES}) and model_year in ({', '.join(str(y) for y in FEED_YEARS)})"),
+        f"make in ({', '.join(repr(m) for m in FEED_MAKES)}) and model_year in ({', '.join(str(y) for y in FEED_YEARS)})"),
     "ingest_run": """
         select 'ingestion_20240304_010000' as run_id, 'success' as status,
             cast(sum(first_total) over () as bigint) as total_docs, collection, first_inserted as inserted,
@@ -706,7 +704,7 @@ QUERIES: dict[str, str] = {
             case when value > 15 then cast(floor(value) as integer) else 0 end as injuries, 0 as deaths,
             strftime(ts, '%d/%m/%Y') as date_of_incident, '' as date_added, 'nhtsa_api' as source,
             '{RUN_TS}' as ingested_at
-        from events where event_type = 'error'""",
+        from events""",
     "silver_parts": _select("s_parts"),
     "silver_recalls": _select("s_recalls"),
     "silver_listings": _select("s_listings"),

@@ -288,7 +288,7 @@ def ingest_run(lake: Lake) -> DataFrame:
     early = F.col("ingested_at") < SPLIT
     for started, where in ((FIRST_LOAD, early), (SECOND_LOAD, ~early)):
         landed = {name: lake.raw(name).where(where) for name in S.BRONZE}
-        pipeline.ingest_run(lake.spark, landed, root, log, datetime.fromisoformat(started), makes=FEED_MAKES)
+        pipeline.ingest_run(lake.spark, landed, root, log, datetime.fromisoformat(started))
     runs = lake.spark.read.schema(S.RUN_LOG).parquet(log)
     return runs.select("run_id", "status", "total_docs", F.explode("results").alias("collection", "stats")).select(
         "run_id", "status", "total_docs", "collection", "stats.*"
@@ -380,8 +380,7 @@ def recall_normalize(lake: Lake) -> DataFrame:
 
 
 def _complaints(lake: Lake) -> DataFrame:
-    errors = lake.table("events").where("event_type = 'error'")
-    return errors.select(
+    return lake.table("events").select(
         F.concat(F.lit("MAKE "), (F.col("user_id") % 10).cast("string")).alias("make"),
         F.concat(F.lit("Model "), (F.col("user_id") % 7).cast("string")).alias("model"),
         F.year("ts").alias("model_year"),

@@ -56,7 +56,7 @@ def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = (
         _lineitem(spark, sf_dir)
-        .join(_table(spark, sf_dir, "part").where("p_brand <> 'Brand#9'"), F.expr("l_partkey = p_partkey"))
+        .join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(_table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
     )
     return joined.selectExpr(
@@ -87,10 +87,14 @@ def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line item is one marketplace listing; two orders share their listing ids."""
+    """One line item is one marketplace listing; two orders share their listing ids.
+
+    One brand goes by another name here, so that the market and the catalogue
+    each have a brand the other lacks.
+    """
     joined = (
         _lineitem(spark, sf_dir)
-        .join(_table(spark, sf_dir, "part").where("p_brand <> 'Brand#7'"), F.expr("l_partkey = p_partkey"))
+        .join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(_table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
         .join(_table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(_table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
@@ -101,11 +105,12 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "days": F.expr("datediff(l_shipdate, o_orderdate)"),
         "brand_no": F.expr("cast(substring(p_brand, 7) AS int)"),
+        "sold_as": F.expr("CASE p_brand WHEN 'Brand#7' THEN 'Marque#7' ELSE p_brand END"),
     })
     return joined.selectExpr(
         "concat(l_orderkey div 2, '-', l_linenumber) AS listing_id",
         "concat(p_brand, '-', lpad(cast(p_partkey AS string), 6, '0')) AS part_number",
-        "CASE l_linenumber WHEN 1 THEN upper(p_brand) WHEN 2 THEN concat(p_brand, ' ') ELSE p_brand END AS brand",
+        "CASE l_linenumber WHEN 1 THEN upper(sold_as) WHEN 2 THEN concat(sold_as, ' ') ELSE sold_as END AS brand",
         f"concat({_category()}, CASE WHEN l_linenumber = 3 THEN ' ' ELSE '' END) AS category",
         "CASE l_linenumber % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN concat(n_name, ' ') ELSE n_name END AS vehicle_make",
         "concat(p_name, ' ', cast(c_custkey % 9 AS string)) AS vehicle_model",
@@ -127,7 +132,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_recalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
-        _lineitem(spark, sf_dir).where("l_suppkey % 4 = 0")
+        _lineitem(spark, sf_dir)
         .join(_table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
         .join(_table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(_table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))

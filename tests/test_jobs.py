@@ -30,6 +30,18 @@ def test_scheduled_steps(spark, folder):
     assert (pricing["nb_catalog_references"], pricing["nb_market_listings"]) == (2, 2)
 
 
+def test_sources_over_all_quotes(spark, folder):
+    quotes = rows.parts(spark, {"source": "a"}, {"part_id": "p2", "source": "b"}, {"part_id": "p3", "source": "c"})
+    quotes.write.mode("overwrite").json(folder("landing/parts_catalog"))
+    jobs.main(["export", "--source", folder("landing"), "--bronze", folder("bronze"), "--run-date", "2024-03-05"])
+    jobs.main(["silver", "--bronze", folder("bronze"), "--silver", folder("silver")])
+    found = []
+    for extra in ([], ["--quotes-from", folder("bronze")]):
+        jobs.main(["gold", "--silver", folder("silver"), "--gold", folder("gold"), *extra])
+        found.append(spark.read.parquet(folder("gold/int_parts_enriched")).first()["nb_sources"])
+    assert found == [1, 3]
+
+
 def test_ingest_step(spark, folder):
     command = ["ingest", "--landing", folder("landing"), "--tables", folder("tables"), "--run-log", folder("runs"),
                "--collections", "parts_catalog", "vehicle_recalls", "--makes", "FIAT"]
