@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitlane.operators.lookup import join_groups
+from pitlane.operators.sizes import input_bytes
 
 _BANDS_PER_E = 4096.0
 _STRIPS = float(2**20)
@@ -36,14 +37,6 @@ _STRIPS = float(2**20)
 IN_MEMORY_BYTES = 32 * 2**20
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files under a frame, or the optimiser's estimate of the frame if that is larger."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return max(scanned, int(str(plan.stats().sizeInBytes())))
-
-
 def aggregate_with_quantiles(
     df: DataFrame, keys: list[str], aggregates: list[Column], value: str, probs: dict[str, float],
     in_memory_bytes: int = IN_MEMORY_BYTES, approx_accuracy: int | None = None,

@@ -1,0 +1,22 @@
+"""What the optimiser knows about a frame before anything runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The estimated size of a frame; of a stored table, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files under a frame, or the estimate of the frame if that is larger."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(scanned, plan_bytes(df))
+
+
+def broadcast_bytes(df: DataFrame) -> int:
+    """The session's limit for broadcasting a side of a join; negative if switched off."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import rows
 from pitlane.operators import enrich, marts, marts_local, quality, serving, silver, silver_local, staging
+from pitlane.sources import shared
 from rows import by
 
 
@@ -100,11 +101,14 @@ def test_sources_are_counted_before_the_dedup_if_asked(spark):
     assert (multi["d"]["nb_sources"], multi["d"]["price_spread_ratio"]) == (1, None)
 
 
-def test_enrichment_keeps_every_row_of_a_hot_group(spark):
-    df = catalog(spark, *[{"price_eur": float(i % 50 + 1), "category": "Pneus"} for i in range(400)])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_enrichment_keeps_every_row_of_a_hot_group(spark, threshold):
+    df = shared.store(catalog(spark, *[{"price_eur": float(i % 50 + 1), "category": "Pneus"} for i in range(400)]), "c")
+    stats = shared.store(enrich.int_price_stats(df), "stats")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        out = enrich.int_parts_enriched(df)
+        out = enrich.int_parts_enriched(df, price_stats=stats)
+        assert ("_salt" in out._jdf.queryExecution().optimizedPlan().toString()) == (threshold == "-1")
         assert out.count() == 400 and out.where("category_median_price IS NULL").isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitlane.operators.quantiles import aggregate_with_quantiles, input_bytes, quantiles_by_steps
+from pitlane.operators.quantiles import aggregate_with_quantiles, quantiles_by_steps
+from pitlane.operators.sizes import input_bytes
 
 PROBS = {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99, "q4": 1.0}
 RNG = np.random.default_rng(7)
