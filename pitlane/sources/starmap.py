@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlane.operators.sizes import input_bytes
+
 # Category names and a sub-category of each.
 CATEGORIES = [
     ("Freinage", "Plaquettes"),
@@ -21,6 +23,7 @@ CATEGORIES = [
     ("Transmission", "Embrayage"),
 ]
 
+_SMALL_SPLIT = 16 * 2**20
 _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -38,10 +41,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, spread out only if their files give fewer tasks than there are cores."""
+    """Line items; files so small that they would be read by a task or two are spread over the cores."""
     rows = _table(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
+    if input_bytes(rows) < cores * _SMALL_SPLIT:
         rows = rows.repartition(cores, "l_orderkey", "l_linenumber")
     return rows
 
