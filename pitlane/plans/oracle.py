@@ -47,7 +47,8 @@ def _count(condition: str) -> str:
     return f"count(*) filter (where {condition})"
 
 
-_NUMBER = "p_brand || '-' || lpad(p_partkey::varchar, 6, '0')"
+_KEY = "lpad(p_partkey::varchar, greatest(6, length(p_partkey::varchar))::integer, '0')"
+_NUMBER = f"p_brand || '-' || {_KEY}"
 _CATEGORY = """case l_partkey % 7 when 0 then 'Freinage' when 1 then 'Moteur' when 2 then 'Suspension'
     when 3 then 'Électricité' when 4 then 'Refroidissement' when 5 then 'Pneus' when 6 then 'Transmission' end"""
 _SUB = """case l_partkey % 7 when 0 then 'Plaquettes' when 1 then 'Filtre à huile' when 2 then 'Rotule'
@@ -580,8 +581,7 @@ def _select(step: str) -> str:
 
 _FACTS = """lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
     join nation on c_nationkey = n_nationkey"""
-_MADE = """upper(left(p_name, 3)) || '-' || upper(left(p_type, 2)) || '-'
-    || lpad(p_partkey::varchar, greatest(6, length(p_partkey::varchar))::integer, '0')"""
+_MADE = f"upper(left(p_name, 3)) || '-' || upper(left(p_type, 2)) || '-' || {_KEY}"
 _PARTS_REPORT = f"select p_partkey, p_brand as brand, p_type as category, {_MADE} as part_number from part"
 
 

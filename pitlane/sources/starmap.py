@@ -25,6 +25,8 @@ CATEGORIES = [
 
 _SMALL_SPLIT = 16 * 2**20
 _ISO = "yyyy-MM-dd'T'HH:mm:ss"
+_KEY = "cast(p_partkey AS string)"
+_NUMBER = f"concat(p_brand, '-', lpad({_KEY}, greatest(6, length({_KEY})), '0'))"
 
 
 def _pick(index: str, values: list[str]) -> str:
@@ -51,7 +53,6 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line item is one supplier's quote of a part."""
-    number = "concat(p_brand, '-', lpad(cast(p_partkey AS string), 6, '0'))"
     vehicle = (
         "named_struct('make', concat('Make ', cast(l_suppkey % 25 AS string)), "
         "'model', concat('Model ', cast(l_partkey % 9 + i AS string)), "
@@ -66,10 +67,10 @@ def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('P-', l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber) AS part_id",
         f"""CASE WHEN l_linenumber = 7 AND l_quantity = 50 THEN ''
                  WHEN l_linenumber = 4 AND l_quantity = 49 THEN '   '
-                 WHEN l_linenumber = 6 THEN concat(' ', {number})
-                 WHEN l_linenumber = 5 THEN lower({number})
-                 ELSE {number} END AS part_number""",
-        f"CASE WHEN l_linenumber = 3 THEN translate({number}, '-', ' ') ELSE {number} END AS part_number_source",
+                 WHEN l_linenumber = 6 THEN concat(' ', {_NUMBER})
+                 WHEN l_linenumber = 5 THEN lower({_NUMBER})
+                 ELSE {_NUMBER} END AS part_number""",
+        f"CASE WHEN l_linenumber = 3 THEN translate({_NUMBER}, '-', ' ') ELSE {_NUMBER} END AS part_number_source",
         "CASE l_linenumber WHEN 1 THEN upper(p_brand) WHEN 2 THEN concat(p_brand, ' ') ELSE p_brand END AS brand",
         "CASE WHEN p_size % 2 = 0 THEN 'OEM' ELSE 'COMPAT' END AS brand_type",
         f"{_category()} AS category",
@@ -112,7 +113,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     return joined.selectExpr(
         "concat(l_orderkey div 2, '-', l_linenumber) AS listing_id",
-        "concat(p_brand, '-', lpad(cast(p_partkey AS string), 6, '0')) AS part_number",
+        f"{_NUMBER} AS part_number",
         "CASE l_linenumber WHEN 1 THEN upper(sold_as) WHEN 2 THEN concat(sold_as, ' ') ELSE sold_as END AS brand",
         f"concat({_category()}, CASE WHEN l_linenumber = 3 THEN ' ' ELSE '' END) AS category",
         "CASE l_linenumber % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN concat(n_name, ' ') ELSE n_name END AS vehicle_make",
