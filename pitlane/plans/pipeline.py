@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,21 +28,26 @@ def ingest_run(
     """Merge landed documents into their tables and log the run.
 
     Every run rewrites the tables it touches, as a new version; feeds too large
-    for that go through ``streaming.feed``.
+    for that go through ``streaming.feed``. Outcomes are counted in the writing
+    stage, so the merge runs once.
     """
     version = started.strftime("%Y%m%d_%H%M%S")
     now = F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     stats = []
     for name, documents in landing.items():
-        typed = documents.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
+        batch = documents.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
         if name == "vehicle_recalls":
-            typed = merge.feed_filter(typed, makes, model_years)
+            batch = merge.feed_filter(batch, makes, model_years)
         target = tables.latest_version(spark, f"{root}/{name}")
         if target is None:
-            target = merge.empty_target(typed)
-        tables.write_version(merge.ingest_feed(target, typed, name, now), f"{root}/{name}", version)
-        stats.append(merge.ingest_stats(target, typed, S.ID_FIELDS[name], name))
-    record = merge.run_record(reduce(DataFrame.unionByName, stats), merge.run_id(now), "ingestion", "success", now)
+            target = merge.empty_target(batch)
+        outcomes = Observation()
+        merged = merge.merge_outcomes(target, batch, S.ID_FIELDS[name], now)
+        counted = merged.observe(outcomes, *merge.outcome_counts()).drop(merge.OUTCOME)
+        tables.write_version(counted, f"{root}/{name}", version)
+        stats.append((name, outcomes.get["inserted"], outcomes.get["updated"], 0, batch.count()))
+    run = spark.createDataFrame(stats, "collection string, inserted long, updated long, errors long, total long")
+    record = merge.run_record(run, merge.run_id(now), "ingestion", "success", now)
     tables.run_log_append(record.to(S.RUN_LOG), run_log)
 
 
@@ -73,12 +77,8 @@ def silver_run(
         if name not in CLEANERS:
             log.warning("unknown dataset %s, skipped", name)
             continue
-        rows = Observation(f"silver_{name}")
         cleaned = CLEANERS[name](bronze.bronze_read_json(spark, bronze_root, name, run_date))
-        tables.silver_write_partitioned(
-            cleaned.observe(rows, F.count(F.lit(1)).alias("n")), f"{silver_root}/{name}"
-        )
-        written[name] = rows.get["n"]
+        written[name] = tables.silver_write_partitioned(cleaned, f"{silver_root}/{name}")
     return written
 
 

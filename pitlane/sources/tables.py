@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,23 +14,27 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def silver_write_partitioned(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
-    """Replace a silver table, partitioned by month of ingestion.
+def silver_write_partitioned(df: DataFrame, path: str, partitions: list[str] | None = None) -> int:
+    """Replace a silver table, partitioned by month of ingestion; returns the rows written.
 
     The rebalance keeps each month in few files and lets adaptive execution
     split a month that holds most of the rows. The whole table is replaced:
     the surviving row of a key can move to another month, so replacing only the
-    months written would leave its older version behind.
+    months written would leave its older version behind. Rows are counted in
+    the writing stage itself, where a task repeated after a loss counts once.
     """
     partitions = partitions or S.SILVER_PARTITIONS
+    rows = Observation()
     (
         df.hint("rebalance", *partitions)
+        .observe(rows, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .partitionBy(*partitions)
         .parquet(path)
     )
+    return rows.get["n"]
 
 
 def silver_write_flat(df: DataFrame, path: str) -> None:
