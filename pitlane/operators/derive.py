@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def parts_compatibility_build(fits: DataFrame, part_key: str = "part_number") -> DataFrame:
@@ -19,17 +20,22 @@ def parts_compatibility_build(fits: DataFrame, part_key: str = "part_number") ->
     return ranges.groupBy(part_key).agg(F.array_sort(F.collect_list(vehicle)).alias("vehicle_compatibility"))
 
 
-def _text(field: str, default: str | Column = "") -> Column:
-    value = F.get_json_object("_raw", f"$.{field}")
-    return F.coalesce(value, F.lit(default) if isinstance(default, str) else default)
+def _parsed(raw: DataFrame, *fields: str) -> DataFrame:
+    """The JSON text in ``_raw`` read once, each field as text; unreadable text has no fields."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    return raw.withColumn("_doc", F.from_json("_raw", schema))
+
+
+def _text(field: str, default: Column | None = None) -> Column:
+    return F.coalesce(F.col("_doc")[field], F.lit("") if default is None else default)
 
 
 def _int(field: str) -> Column:
-    return F.coalesce(F.get_json_object("_raw", f"$.{field}").try_cast("int"), F.lit(0))
+    return F.coalesce(F.col("_doc")[field].try_cast("int"), F.lit(0))
 
 
 def _flag(field: str) -> Column:
-    return F.coalesce(F.get_json_object("_raw", f"$.{field}").try_cast("boolean"), F.lit(False))
+    return F.coalesce(F.col("_doc")[field].try_cast("boolean"), F.lit(False))
 
 
 def recall_normalize(raw: DataFrame, run_ts: str) -> DataFrame:
@@ -38,14 +44,17 @@ def recall_normalize(raw: DataFrame, run_ts: str) -> DataFrame:
     Absent fields get a default. The consequence is read from its accented
     spelling first.
     """
-    accented = F.get_json_object("_raw", "$['Conséquence']")
-    return raw.select(
+    parsed = _parsed(
+        raw, "NHTSACampaignNumber", "Manufacturer", "Component", "Summary", "Conséquence", "Consequence", "Remedy",
+        "ReportReceivedDate", "RecordCreationDate", "PotentialNumberOfUnitsAffected",
+    )
+    return parsed.select(
         _text("NHTSACampaignNumber").alias("recall_id"),
         _text("Manufacturer", F.col("make")).alias("manufacturer"),
         "make", "model", "model_year",
         _text("Component").alias("component"),
         _text("Summary").alias("summary"),
-        F.coalesce(accented, _text("Consequence")).alias("consequence"),
+        _text("Conséquence", _text("Consequence")).alias("consequence"),
         _text("Remedy").alias("remedy"),
         _text("ReportReceivedDate").alias("report_received_date"),
         _text("RecordCreationDate").alias("record_creation_date"),
@@ -57,7 +66,11 @@ def recall_normalize(raw: DataFrame, run_ts: str) -> DataFrame:
 
 
 def complaint_normalize(raw: DataFrame, run_ts: str) -> DataFrame:
-    return raw.select(
+    parsed = _parsed(
+        raw, "odiNumber", "components", "complaint", "crash", "fire", "numberOfInjuries", "numberOfDeaths",
+        "dateOfIncident", "dateAdded",
+    )
+    return parsed.select(
         _text("odiNumber").alias("complaint_id"),
         "make", "model", "model_year",
         _text("components").alias("component"),

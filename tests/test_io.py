@@ -98,11 +98,11 @@ def test_store_uses_the_configured_folder(spark):
 def test_recall_defaults(spark):
     raw = spark.createDataFrame([
         ('{"NHTSACampaignNumber":"24V1","Conséquence":"feu","Consequence":"fire","PotentialNumberOfUnitsAffected":12}',),
-        ('{"Consequence":"fire","Manufacturer":"R SA"}',), ("{}",),
+        ('{"Consequence":"fire","Manufacturer":"R SA"}',), ("{}",), ("not json",), (None,),
     ], "_raw string").selectExpr("_raw", "'RENAULT' AS make", "'CLIO' AS model", "2020 AS model_year")
     out = derive.recall_normalize(raw, "2024-01-01T00:00:00").collect()
     assert [(r["recall_id"], r["manufacturer"], r["consequence"], r["potentially_affected"]) for r in out] == [
-        ("24V1", "RENAULT", "feu", 12), ("", "R SA", "fire", 0), ("", "RENAULT", "", 0)]
+        ("24V1", "RENAULT", "feu", 12), ("", "R SA", "fire", 0), *[("", "RENAULT", "", 0)] * 3]
 
 
 def test_complaint_defaults(spark):
