@@ -26,18 +26,23 @@ def rnd_even(c: Column | str, digits: int) -> Column:
     return F.bround(_col(c).try_cast(_EXACT), digits).cast("double")
 
 
+# The characters Python's str.strip removes.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_MARK = "\x01 "
+
+
 def strip_ws(c: Column | str) -> Column:
     """Strip every kind of whitespace, where ``trim`` strips spaces only."""
-    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def title_case(c: Column | str) -> Column:
-    """Capitalise after every non-letter (``initcap`` does it after blanks only)."""
-    runs = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    cased = F.transform(
-        runs, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, F.lit(2), F.length(w))))
-    )
-    return F.array_join(cased, "")
+    """Capitalise after every non-letter (``initcap`` does it after blanks only, so each gets a marked blank)."""
+    marked = F.regexp_replace(_col(c), r"([^\p{Lu}\p{Ll}\p{Lt}])", f"$1{_MARK}")
+    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
 def parse_ts(c: Column | str) -> Column:

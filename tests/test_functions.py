@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pitlane.functions import keys, rnd, rnd_even, strip_ws, title_case
+from pitlane.functions.scalars import WHITESPACE
 from pitlane.functions import clamp_unit, first_threshold, parse_ts, ratio_pct
 
 
@@ -30,7 +31,7 @@ def test_rounding_out_of_range_is_null(spark):
     assert column(spark, [1e35, math.inf, math.nan], "double", lambda c: rnd(c, 2)) == [None, None, None]
 
 
-TITLES = ["mercedes-benz", "citroën c4", "d'or 3x", "RENAULT", "a_b c", "  x", "", "été 205/55r16", "o'neill-smith"]
+TITLES = ["mercedes-benz", "citroën c4", "d'or 3x", "RENAULT", "a_b c", "  x", "", "été 205/55r16", "o'neill-smith", "a\x01 b\x01c", "東京ab"]
 
 
 def test_title_case_follows_python(spark):
@@ -50,6 +51,10 @@ def test_strip_follows_python(spark, words):
     assert column(spark, words, "string", strip_ws) == [w.strip() for w in words]
 
 
+def test_whitespace_is_what_python_strips():
+    assert set(WHITESPACE) == {c for c in map(chr, range(0x110000)) if c.isspace()}
+
+
 def test_clamp_turns_unknown_into_one(spark):
     assert column(spark, [-0.5, 0.4, 1.7, None], "double", clamp_unit) == [0.0, 0.4, 1.0, 1.0]
 
