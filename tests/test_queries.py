@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as entry
 import compare
 from conftest import SF_DIR
+from pitlane.plans import oracle, registry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {name: run for name, run in entry.queries().items() if name in registry.QUERIES}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in oracle.QUERIES}
 
 
 @pytest.fixture(scope="module")
