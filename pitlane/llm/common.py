@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch. Whole texts travel in them, so a batch is also bounded in bytes.
 BATCH_ROWS = 256
@@ -32,12 +32,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def map_batches(df: DataFrame, schema: str, start: Callable[[], Work]) -> DataFrame:
+def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Work]) -> DataFrame:
     """``df`` through Python, a bounded batch at a time; ``start`` runs once in each task."""
     small_batches(df.sparkSession)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(_parse_datatype_string(schema))
         work = start()
         for batch in batches:
             yield pa.RecordBatch.from_pydict(work(batch), schema=arrow)
