@@ -7,10 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import bpe, token_counts
+from pitlane.llm import bpe, line_quality, secret_scan, sharding, token_counts
 from pitlane.llm.common import table
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.line_quality(table(spark, sf_dir, "documents"))
+
+
+def op4_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op6_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -21,7 +33,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op7_token_counts, op10_bpe)
+    for f in (op2_line_quality, op4_slot_sharding, op6_secret_markov, op7_token_counts, op10_bpe)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_line_quality": line_quality.SQL}
