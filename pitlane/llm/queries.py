@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import bpe, line_quality, secret_scan, sharding, token_counts
+from pitlane.llm import bpe, line_quality, secret_scan, sharding, text_quality, token_counts, toxicity
 from pitlane.llm.common import table
 
 
@@ -15,10 +15,20 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(documents, toxicity.trained(documents, table(spark, sf_dir, "labels")))
+
+
 def op4_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op5_text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return text_quality.quality(documents, text_quality.trained(documents, table(spark, sf_dir, "labels")))
+
+
 def op6_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -33,7 +43,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_line_quality, op4_slot_sharding, op6_secret_markov, op7_token_counts, op10_bpe)
+    for f in (
+        op2_line_quality, op3_toxicity, op4_slot_sharding, op5_text_quality, op6_secret_markov, op7_token_counts,
+        op10_bpe,
+    )
 }
 
 SQL: dict[str, str] = {"op2_line_quality": line_quality.SQL}
