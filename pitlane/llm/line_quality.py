@@ -10,7 +10,8 @@ them is left for deduplication. What is compared in hashes is 64 bits wide: a
 line is wrongly taken out only if it collides with one of the few frequent
 lines.
 
-Only built-in expressions run. Nothing but hashes and counts is shuffled: lines
+Only built-in expressions run. Line hashes are stored once in the shared
+folder, as they are read three times. Nothing but hashes and counts is shuffled: lines
 are counted by partial aggregates, so a frequent line costs one row per task,
 and the frequent lines are looked up in ``SALTS`` shares of each key.
 
@@ -27,7 +28,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import SPACES, WORD
+from pitlane.llm.common import WORD
+from pitlane.sources import shared
 
 #: A line is frequent from so many documents of a host on, if they are also this share (in thousandths) of the host's.
 MIN_DOCUMENTS, MIN_THOUSANDTHS = 10, 10
@@ -38,7 +40,6 @@ MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = "#*$%&|<>"
 SALTS = 32
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = WORD.replace("^", "")
 
 
@@ -86,13 +87,12 @@ def _repeated_words(words: Column) -> Column:
 def base_rules(documents: DataFrame) -> DataFrame:
     """``documents`` with the counts of the base rules and ``base_failed``; needs ``text``."""
     text = F.coalesce("text", F.lit(""))
-    without = lambda chars: F.length(F.translate(text, chars, ""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     counted = documents.withColumn("_words", F.array_remove(F.split(text, _BLANKS, -1), "")).withColumns({
         "_lines": lines,
         "n_words": F.size("_words").cast("bigint"),
-        "word_chars": without(SPACES).cast("bigint"),
-        "n_symbols": (F.length(text) - without(SYMBOLS)).cast("bigint"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("bigint"),
     })
     return counted.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
@@ -105,14 +105,14 @@ def base_rules(documents: DataFrame) -> DataFrame:
 
 def normal_lines(text: Column) -> Column:
     """The lines that are left of a text in lower case, with 0 for any number and one space for any white space."""
-    plain = F.regexp_replace(F.translate(text, UPPER, LOWER), "[0-9]+", "0")
-    return F.array_remove(F.split(F.regexp_replace(plain, "[\\x20\\x09\\x0B-\\x0D]+", " "), " ?\n ?", -1), "")
+    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
+    spaced = F.regexp_replace(plain, "[\\x20\\x09\\x0B-\\x0D]{2,}|[\\x09\\x0B-\\x0D]", " ")
+    return F.array_remove(F.transform(F.split(spaced, "\n", -1), F.trim), "")
 
 
 def _hashed_lines(documents: DataFrame) -> DataFrame:
     """One row per line: who it belongs to, its place, hash and words, and the document's identity."""
-    lines = F.filter(F.transform(normal_lines(F.col("text")), F.trim), lambda line: line != "")
-    listed = documents.select("doc_id", "host", "text_key", _let(lines, lambda found: F.struct(
+    listed = documents.select("doc_id", "host", "text_key", _let(normal_lines(F.col("text")), lambda found: F.struct(
         F.xxhash64(
             F.array_max(F.transform(found, lambda x: F.struct(F.length(x).alias("n"), x.alias("line"))))["line"]
         ).alias("identity"),
@@ -143,7 +143,7 @@ def _salted(small: DataFrame) -> DataFrame:
 
 def lost_words(documents: DataFrame) -> DataFrame:
     """``doc_id, text_key, lost``: the words that stood in frequent lines, for documents that have any."""
-    lines = _hashed_lines(documents)
+    lines = shared.store(_hashed_lines(documents), "line_hashes")
     salted = lines.withColumn("salt", F.pmod("text_key", F.lit(SALTS)).cast("int"))
     hit = salted.join(_salted(frequent_lines(lines)), ["host", "line", "salt"])
     return hit.select("doc_id", "text_key", "place", "words").distinct().groupBy("doc_id", "text_key").agg(
@@ -189,7 +189,7 @@ dups as (
     where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by rid
 ),
 lines as (
-    select rid, host, trim(regexp_replace(regexp_replace(translate(line, '{UPPER}', '{LOWER}'), '[0-9]+', '0', 'g'),
+    select rid, host, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
         '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') as line
     from raw_lines join d using (rid)
 ),
