@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -222,17 +223,28 @@ def encode_and_decode(documents: DataFrame, path: str) -> DataFrame:
 
 
 def encoded(documents: DataFrame, path: str) -> DataFrame:
-    """The ids themselves: ``doc_id, ids array<int>, decoded string``."""
+    """One row per document: ``doc_id, n_tokens, ids array<int>, decoded_sha256``."""
     definition = documents.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
     def start() -> common.Work:
         model = of_worker(definition.value)
 
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
-            ids = [model.encode(text) for text in common.texts(batch)]
-            return {"doc_id": batch.column("doc_id"), "ids": ids, "decoded": [model.decode(i) for i in ids]}
+            packed, decoded = [], []
+            for text in common.texts(batch):
+                parts = list(model.parts(text))
+                packed.append(b"".join([ids for part in parts for ids, _ in part]))
+                strings = " ".join([strings for part in parts for _, strings in part])
+                decoded.append(hashlib.sha256(strings.encode()).hexdigest())
+            sizes = np.array([len(p) // 4 for p in packed], np.int64)
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            ids = np.frombuffer(b"".join(packed), "<i4").astype(np.int32)
+            return {
+                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(sizes),
+                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), "decoded_sha256": decoded,
+            }
 
         return work
 
     read = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return common.map_batches(read, "doc_id bigint, ids array<int>, decoded string", start)
+    return common.map_batches(read, "doc_id bigint, n_tokens bigint, ids array<int>, decoded_sha256 string", start)

@@ -85,7 +85,7 @@ def _repeated_words(words: Column) -> Column:
 
 
 def base_rules(documents: DataFrame) -> DataFrame:
-    """``documents`` with the counts of the base rules and ``base_failed``; needs ``text``."""
+    """``documents`` with the counts of the base rules and ``base_failed`` in place of ``text``."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     counted = documents.withColumn("_words", F.array_remove(F.split(text, _BLANKS, -1), "")).withColumns({
@@ -100,7 +100,7 @@ def base_rules(documents: DataFrame) -> DataFrame:
     }).withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
-    ).drop("_words", "_lines")
+    ).drop("_words", "_lines", "text")
 
 
 def normal_lines(text: Column) -> Column:
@@ -151,23 +151,42 @@ def lost_words(documents: DataFrame) -> DataFrame:
     )
 
 
-def line_quality(documents: DataFrame) -> DataFrame:
-    """One row per document: the base counts, ``n_lost_words``, ``base_failed`` and ``kept``."""
-    read = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[
-        F.coalesce("source", F.lit("")).alias("host")
-    ]).withColumn("text_key", F.xxhash64("text"))
-    based = base_rules(read.select("doc_id", "text", "text_key")).drop("text")
-    lost = lost_words(read).withColumnsRenamed({"doc_id": "lost_id", "text_key": "lost_key"})
+def _judged(documents: DataFrame) -> DataFrame:
+    """``documents`` (``doc_id, host, text, text_key`` and any others) with all counts and ``kept``."""
+    lost = lost_words(documents.select("doc_id", "host", "text", "text_key")).withColumnsRenamed(
+        {"doc_id": "lost_id", "text_key": "lost_key"}
+    )
+    based = base_rules(documents)
     joined = based.join(
         lost, based.doc_id.eqNullSafe(lost.lost_id) & (based.text_key == lost.lost_key), "left"
     ).withColumn("n_lost_words", F.coalesce("lost", F.lit(0)).cast("bigint"))
-    return joined.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost_words", "base_failed",
-        (~F.col("base_failed") & (100 * F.col("n_lost_words") <= MAX_LOST * F.col("n_words"))).alias("kept"),
+    return joined.withColumn(
+        "kept", ~F.col("base_failed") & (100 * F.col("n_lost_words") <= MAX_LOST * F.col("n_words"))
+    )
+
+
+def _read(documents: DataFrame, *others: Column) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"),
+        text.alias("text"), F.xxhash64(text).alias("text_key"), *others,
     )
 
 
+def line_quality(documents: DataFrame) -> DataFrame:
+    """One row per document: the base counts, ``n_lost_words``, ``base_failed`` and ``kept``."""
+    return _judged(_read(documents)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost_words", "base_failed",
+        "kept",
+    )
+
+
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """The documents that all rules keep, with all their columns."""
+    whole = F.struct(*documents.columns).alias("whole")
+    return _judged(_read(documents, whole)).filter("kept").select("whole.*")
+
+
 SQL = f"""
 with d as (
     select row_number() over () as rid, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents

@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import bpe, line_quality, secret_scan, sharding, text_quality, token_counts, toxicity
+from pitlane.llm import bpe, decontaminate, license_scan, line_quality, neardup, secret_scan, sharding, text_quality, token_counts, toxicity
 from pitlane.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -44,9 +56,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_line_quality, op3_toxicity, op4_slot_sharding, op5_text_quality, op6_secret_markov, op7_token_counts,
-        op10_bpe,
+        op1_license_scan, op2_line_quality, op3_toxicity, op4_slot_sharding, op5_text_quality, op6_secret_markov, op7_token_counts,
+        op8_decontamination, op9_near_duplicates, op10_bpe,
     )
 }
 
-SQL: dict[str, str] = {"op2_line_quality": line_quality.SQL}
+SQL: dict[str, str] = {"op2_line_quality": line_quality.SQL, "op9_near_duplicates": neardup.SQL}
