@@ -36,8 +36,8 @@ from pitlane.llm.zstd_models import LETTERS, Logistic, fit, held_out, lengths, t
 SAMPLES = 4_500, 2_250
 #: Bytes of ordinary words in both dictionaries, and of those in which they differ.
 SHARED_BYTES, OWN_BYTES = 16_384, 4_096
-#: A letter group is toxic from so many documents on, and at so many times the ordinary share.
-GROUP, GROUP_DOCUMENTS, GROUP_TIMES = 5, 5, 5
+#: Letters of a group, and the likelihood ratio statistic from which on it tells of toxicity.
+GROUP, EVIDENCE = 5, 15.0
 CACHE_ENTRIES = 200_000
 #: Longest word that is a window; longer ones are cut into pieces of this length.
 WORD_CHARS = 64
@@ -113,20 +113,26 @@ def _packed(words: list[str], size: int) -> tuple[bytes, int]:
     return b"".join(reversed(taken)), len(taken)
 
 
+def _evidence(toxic: int, ordinary: int, of_toxic: int, of_ordinary: int) -> float:
+    """The likelihood ratio statistic of a letter group that is commoner in toxic documents; else 0."""
+    if toxic * of_ordinary <= ordinary * of_toxic:
+        return 0.0
+    share = (toxic + ordinary) / (of_toxic + of_ordinary)
+    return 2 * (toxic * np.log(toxic / (of_toxic * share))
+                + (ordinary * np.log(ordinary / (of_ordinary * share)) if ordinary else 0.0))
+
+
 def dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
     words = [[windows(t) for t in texts] for texts in (ordinary, toxic)]
     groups = [Counter(g for w in side for g in _groups(w)) for side in words]
-    telling = {
-        g for g, n in groups[1].items()
-        if n >= GROUP_DOCUMENTS and n / len(toxic) >= GROUP_TIMES * (groups[0][g] + 1) / max(len(ordinary), 1)
-    }
-    weight = Counter()
-    for word, n in Counter(w for side in words[1] for w in side).items():
-        if hits := len(_groups({word}) & telling):
-            weight[word] = n * hits
+    telling = {g: e for g, n in groups[1].items() if (e := _evidence(n, groups[0][g], len(toxic), len(ordinary))) >= EVIDENCE}
+    weight = {}
+    for word in set().union(*words[1]):
+        if hits := _groups({word}) & telling.keys():
+            weight[word] = sum(telling[g] for g in hits) / (len(word) + 1)
     often, picked = Counter(), []
     for word, _ in sorted(weight.items(), key=lambda x: (-x[1], x[0])):
-        new = [g for g in _groups({word}) & telling if often[g] < 3]
+        new = [g for g in _groups({word}) & telling.keys() if often[g] < 3]
         if new:
             often.update(new)
             picked.append(word)
