@@ -28,8 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--model-years", nargs="+", type=int)
 
     export = steps.add_parser("export", help="export collections as one day of bronze JSON")
-    export.add_argument("--source", required=True, help="folder of documents, or database of another format")
-    export.add_argument("--format", default="json")
+    export.add_argument("--source", required=True, help="folder of documents or merged tables, or database")
+    export.add_argument("--format", default="json", help="json, parquet, tables (as ingest merged them), or another source")
     export.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     export.add_argument("--bronze", required=True)
     export.add_argument("--collections", nargs="+", default=everything, choices=everything)
@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--bronze", required=True)
     clean.add_argument("--silver", required=True)
     clean.add_argument("--datasets", nargs="+", default=everything)
-    clean.add_argument("--run-date", help="read this exported day only (default: all)")
+    clean.add_argument("--run-date", help="name of the run; all exported days are read")
 
     gold = steps.add_parser("gold", help="build and validate the marts")
     gold.add_argument("--silver", required=True)
@@ -58,7 +58,9 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"pitlane-{args.step}")
     if args.step == "ingest":
-        landed = {name: bronze.bronze_read_documents(spark, args.landing, name) for name in args.collections}
+        landed = {
+            name: bronze.bronze_read_lines(spark, f"{args.landing}/{name}", S.BRONZE[name]) for name in args.collections
+        }
         pipeline.ingest_run(
             spark, landed, args.tables, args.run_log, datetime.now(timezone.utc), args.makes, args.model_years
         )

@@ -82,7 +82,9 @@ def int_parts_enriched(
         "_fingerprint", "nb_sources", "nb_suppliers", "price_spread_ratio"
     )
     price, median = F.col("price_eur"), F.col("category_median_price")
-    joined = spread_lookup(catalog, stats, STATS_KEYS, F.col("part_id")).join(coverage, "_fingerprint", "left")
+    priced = spread_lookup(catalog, stats, STATS_KEYS, F.col("part_id"))
+    # One row per fingerprint, so few repeats: they only make the join one that adaptive execution can split.
+    joined = spread_lookup(priced, coverage, ["_fingerprint"], F.col("part_id"), spread=4)
     return (
         joined.withColumns({
             "nb_sources": F.coalesce("nb_sources", F.lit(1)),

@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.sizes import broadcast_bytes, plan_bytes
-
 
 def spread_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], spread_by: Column, spread: int = 32) -> DataFrame:
     """Left join of many rows to a lookup with one row per key, safe when few keys hold all rows.
 
-    A lookup known to be below the broadcast limit (a stored table) is left to
-    the optimiser, which broadcasts it. Any other joins by shuffle, with each of
-    its rows repeated ``spread`` times so that a hot key is shared by that many
-    tasks; adaptive execution splits these further, or broadcasts after all once
-    it has measured the repeated lookup.
+    Each row of the lookup is repeated ``spread`` times, so a hot key is shared
+    by that many tasks. As the salt is a join key, both sides are shuffled for
+    the join itself, so adaptive execution splits a hot share further, or
+    broadcasts the lookup once it has measured it.
     """
-    if plan_bytes(lookup) <= broadcast_bytes(lookup):
-        return rows.join(lookup, keys, "left")
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
     salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return salted_rows.join(salted_lookup, [*keys, "_salt"], "left").drop("_salt")

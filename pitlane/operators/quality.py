@@ -58,18 +58,27 @@ def dq_accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFra
 
 
 def dq_report(staging: dict[str, DataFrame]) -> DataFrame:
-    """All declared checks of the staging models: failures per (model, column, test)."""
-    reports = [dq_not_null({m: (staging[m], NOT_NULL[m]) for m in staging})]
-
-    def summary(failing: DataFrame, model: str, column: str, test: str) -> DataFrame:
-        return failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(test).alias("test"), "failures"
-        )
+    """All declared checks of the staging models: failures per (model, column, test).
 
+    One pass per model counts nulls and distinct unaccepted values; unique keys
+    take one grouping.
+    """
+    reports = []
     for model, df in staging.items():
-        reports.append(summary(dq_unique(df, UNIQUE[model]), model, UNIQUE[model], "unique"))
+        checks = {("not_null", c): F.count_if(F.col(c).isNull()) for c in NOT_NULL[model]}
         for column, values in ACCEPTED[model].items():
-            reports.append(summary(dq_accepted_values(df, column, values), model, column, "accepted_values"))
+            outside = F.when(~F.col(column).isin(values), F.col(column))
+            checks["accepted_values", column] = F.count_distinct(outside)
+        names = [f"{test}:{column}" for test, column in checks]
+        counted = df.agg(*[c.cast("long").alias(n) for c, n in zip(checks.values(), names)])
+        reports.append(counted.unpivot([], names, "check", "failures").select(
+            F.lit(model).alias("model"), F.split_part("check", F.lit(":"), F.lit(2)).alias("column"),
+            F.split_part("check", F.lit(":"), F.lit(1)).alias("test"), "failures",
+        ))
+        key = UNIQUE[model]
+        reports.append(dq_unique(df, key).agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(model).alias("model"), F.lit(key).alias("column"), F.lit("unique").alias("test"), "failures"
+        ))
     return _stack(reports)
 
 

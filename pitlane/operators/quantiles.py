@@ -1,16 +1,17 @@
 """Exact quantiles per group, next to ordinary aggregates.
 
 ``percentile`` keeps every distinct value of a group in one task's memory. The
-groups here are few (category x brand type), so that state grows with the
-table. It is used only if the files under the input are small, which bounds the
-distinct values they can hold. Beyond that the rank is narrowed down in steps,
-each a plain aggregation:
+groups here are few (category x brand type), so that state would grow with the
+table. The rank is narrowed down in steps instead, each a plain aggregation:
 
 1. count rows per (group, value), combined before the shuffle;
 2. count per coarse band of values and find the band holding each rank;
 3. cut those bands into equal strips and find the strip;
 4. walk the distinct values of that strip.
 
+NaN sorts above all numbers and has a band of its own, infinities share the
+outermost ones.
+
 Every window below runs over a bounded number of rows: 4,096 coarse bands per
 factor e of the value range, 2^20 strips per band, and, since a strip spans a
 factor of about 1 + 2^-32 and doubles have at most 2^53 values per factor e,
@@ -27,32 +28,24 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitlane.operators.lookup import join_groups
-from pitlane.operators.sizes import input_bytes
 
 _BANDS_PER_E = 4096.0
 _STRIPS = float(2**20)
-
-
-# Files of this size hold at most four million distinct doubles.
-IN_MEMORY_BYTES = 32 * 2**20
+_LAST_BAND = 2**62
 
 
 def aggregate_with_quantiles(
     df: DataFrame, keys: list[str], aggregates: list[Column], value: str, probs: dict[str, float],
-    in_memory_bytes: int = IN_MEMORY_BYTES, approx_accuracy: int | None = None,
+    approx_accuracy: int | None = None,
 ) -> DataFrame:
     """``aggregates`` per group and quantiles of ``value`` with linear interpolation, nulls ignored.
 
-    ``probs`` names the quantile columns. Inputs above ``in_memory_bytes`` take
-    the stepwise way. ``approx_accuracy`` opts into approximate quantiles.
+    ``probs`` names the quantile columns. ``approx_accuracy`` opts into
+    approximate quantiles.
     """
-    wanted = list(probs.values())
-    if approx_accuracy is not None:
-        quantiles = F.percentile_approx(value, wanted, approx_accuracy)
-    elif input_bytes(df) <= in_memory_bytes:
-        quantiles = F.percentile(value, wanted)
-    else:
+    if approx_accuracy is None:
         return join_groups(df.groupBy(*keys).agg(*aggregates), quantiles_by_steps(df, keys, value, probs), keys)
+    quantiles = F.percentile_approx(value, list(probs.values()), approx_accuracy)
     grouped = df.groupBy(*keys).agg(*aggregates, quantiles.alias("_q"))
     return grouped.withColumns({name: F.col("_q")[i] for i, name in enumerate(probs)}).drop("_q")
 
@@ -63,7 +56,8 @@ def quantiles_by_steps(df: DataFrame, keys: list[str], value: str, probs: dict[s
     counts = rows.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
 
     # Any non-decreasing function of the value serves as a band.
-    band = F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000.0) * _BANDS_PER_E).alias("_band")
+    number = F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000.0) * _BANDS_PER_E)
+    band = F.when(F.isnan(v), F.lit(_LAST_BAND)).otherwise(F.least(number, F.lit(_LAST_BAND - 1))).alias("_band")
     banded = counts.select(*keys, "_v", "_n", band)
     bands = banded.groupBy(*keys, "_band").agg(n, F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     whole = _by(keys, "_band").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -52,7 +52,8 @@ def silver_listings_local(df: DataFrame, strip_category: bool = True) -> DataFra
             "asking_price_eur": asking.try_cast("double"),
             "negotiated_price_eur": negotiated.try_cast("double"),
         })
-        .where(asking > 0)
+        # NaN sorts above all numbers here, but is no price.
+        .where((asking > 0) & ~F.isnan(asking))
         .withColumns({
             "vehicle_make": title_case(strip_ws("vehicle_make")),
             "brand": title_case(strip_ws("brand")),

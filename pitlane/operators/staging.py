@@ -26,6 +26,7 @@ def _below(c: Column, steps: list[tuple[float, str]], otherwise: str) -> Column:
 def stg_parts(silver: DataFrame) -> DataFrame:
     """``is_available`` is three-valued: neither in stock nor discontinued is unknown."""
     price = F.col("price_eur")
+    # Price tiers and the prices they end at.
     tier = _below(price, [(5, "very_low"), (50, "low"), (200, "medium"), (500, "high")], "premium")
     return silver.where(
         F.col("part_id").isNotNull() & F.col("part_number").isNotNull() & (F.col("part_number") != "")
@@ -64,6 +65,7 @@ def stg_listings(silver: DataFrame) -> DataFrame:
         "source",
         *_ingested(),
         F.coalesce(F.col("days_to_sell") <= 7, F.lit(False)).alias("is_fast_sale"),
+        # Price segments and the prices they end at.
         _below(
             asking, [(30, "entrée de gamme"), (100, "milieu de gamme"), (300, "premium")], "haut de gamme"
         ).alias("price_segment"),

@@ -51,8 +51,8 @@ _KEY = "lpad(p_partkey::varchar, greatest(6, length(p_partkey::varchar))::intege
 _NUMBER = f"p_brand || '-' || {_KEY}"
 _CATEGORY = """case l_partkey % 7 when 0 then 'Freinage' when 1 then 'Moteur' when 2 then 'Suspension'
     when 3 then 'Électricité' when 4 then 'Refroidissement' when 5 then 'Pneus' when 6 then 'Transmission' end"""
-_SUB = """case l_partkey % 7 when 0 then 'Plaquettes' when 1 then 'Filtre à huile' when 2 then 'Rotule'
-    when 3 then 'Batterie' when 4 then 'Radiateur' when 5 then 'Été 205/55R16' when 6 then 'Embrayage' end"""
+_SUB = """case l_partkey % 7 when 0 then 'Disque avant' when 1 then 'Joint à huile' when 2 then 'Ressort'
+    when 3 then 'Faisceau' when 4 then 'Ventilateur' when 5 then 'Hiver 195/65R15' when 6 then 'Cardan' end"""
 _SHIP = "strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')"
 _ORDERED = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')"
 _BRAND = "case l_linenumber when 1 then upper({0}) when 2 then {0} || ' ' else {0} end"
@@ -101,8 +101,8 @@ select 'P-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_li
         'year_from': cast(1995 + l_partkey % 10 as integer), 'year_to': cast(2006 + l_suppkey % 15 as integer)
     }}))::varchar as vehicle_compatibility,
     s_name as supplier,
-    case l_linenumber % 4 when 0 then 'supplier_api' when 1 then ' Catalog_CSV'
-        when 2 then 'marketplace_scraper ' else 'EDI_FEED' end as source,
+    case l_linenumber % 4 when 0 then 'feed_direct' when 1 then ' Weekly_FILE'
+        when 2 then 'web_offer ' else 'ORDER_BUS' end as source,
     case when l_quantity <> 17 then 1.05::double - l_discount * 8 - l_tax end as quality_score,
     {_SHIP} as ingested_at, {_SHIP} as last_updated, md5(p_brand || ':' || p_partkey) as _fingerprint
 from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey"""
@@ -357,9 +357,9 @@ from catalog_side_local full join market_side_local using (category, brand)"""
 
 # --- coverage ---------------------------------------------------------------
 
-_LEVEL = """'couverture ' || ['faible', 'partielle', '', 'complète'][1 + (coverage_score_pct >= 40)::int
-    + (coverage_score_pct >= 60)::int + (coverage_score_pct >= 85)::int]"""
-_LEVEL = f"if(coverage_score_pct >= 60 and coverage_score_pct < 85, 'bonne couverture', {_LEVEL}) as coverage_level"
+# Labels of coverage and the scores they begin at.
+_LEVEL = """case when coverage_score_pct >= 85 then 'couverture complète' when coverage_score_pct >= 60 then 'bonne couverture'
+    when coverage_score_pct >= 40 then 'couverture partielle' else 'couverture faible' end as coverage_level"""
 
 STEPS["by_vehicle"] = f"""
 select vehicle_make, vehicle_model, vehicle_year, category, count(distinct part_number) as nb_distinct_parts,
@@ -438,6 +438,7 @@ _TIER = """(select label from (values (1, 0.8, {first}, 'Tier 1 — Stratégique
 
 
 def _suppliers(perf: str) -> str:
+    # Multiplied out and without nested cases, as the engine's own form must not check itself.
     outliers = """if(nb_price_outliers = 0, 10, 7 * (nb_price_outliers / nb_unique_refs < 0.02)::int
         + 4 * (nb_price_outliers / nb_unique_refs >= 0.02 and nb_price_outliers / nb_unique_refs < 0.05)::int)"""
     score = f"""3500 * least(availability_rate_pct / 100, 1) + 3500 * avg_reliability_score
@@ -609,8 +610,18 @@ _NOT_NULL = " union all ".join([
     _not_null("stg_vehicle_recalls", "st_recalls", "recall_id"),
 ])
 
+def _fields(first_seen: str) -> str:
+    """Each field from the newest event that has it; an event that lacks one has null there."""
+    newest = lambda c, has: f"arg_max({c}, (ingested_at, {c})) filter (where {c} is not null and {has}) as {c}"
+    return f"""
+select user_id, {newest('event_id', 'true')}, {newest('event_type', 'true')}, {newest('value', 'event_id % 2 <> 0')},
+    {newest('props', 'event_id % 3 <> 0')}, {_SHOWN.format('max(ingested_at)')} as ingested_at, {first_seen} as first_seen_at
+from event_docs group by user_id"""
+
+
 QUERIES: dict[str, str] = {
     "bronze_read_documents": _select("raw_recalls"),
+    "bronze_read_spellings": _select("raw_listings"),
     "bronze_drop_internal": "select * exclude (_raw) from raw_recalls",
     "bronze_date_stamp": f"select *, {_DAY.format('export_')} from raw_listings",
     "bronze_export_json": f"""select *, {_EXPORTED},
@@ -628,8 +639,12 @@ QUERIES: dict[str, str] = {
         select 'parts_catalog' as dataset, count(*) as n_rows, count(*) as n_written from s_parts
         union all select 'market_listings', count(*), count(*) from s_listings
         union all select 'vehicle_recalls', count(*), count(*) from s_recalls""",
+    "silver_run_recalls": _select("s_recalls"),
+    "gold_run_suppliers": _select("suppliers"),
     "gold_materialize": f"select *, '{RUN_TS.replace('T', ' ')}' as updated_at from pricing",
     "gold_export_parquet": _select("suppliers_local"),
+    "gold_export_pricing": _select("pricing_local"),
+    "gold_export_coverage": _select("coverage_loc"),
     "gold_read_mart": _select("coverage_loc"),
     "local_run": _select("pricing_local"),
     "gold_run": " union all ".join(
@@ -655,6 +670,10 @@ QUERIES: dict[str, str] = {
               from event_docs) d
         join (select user_id, min(ingested_at) as first_seen from event_docs group by 1) f on d.user_id = f.user_id
         where d.rn = 1""",
+    "ingest_fields_batch": _fields(
+        f"case when min(ingested_at) < '{EVENTS_TO}' then '{FIRST_LOAD}.000000' else '{SECOND_LOAD}.000000' end"),
+    "ingest_fields_stream": _fields(_SHOWN.format("min(ingested_at)")),
+    "ingest_run_recalls": _feed("raw_recalls", "recall_id", _RECALL_CONTENT),
     "ingest_feed_parts": _feed("raw_parts", "part_id", "part_number"),
     "ingest_feed_listings": _feed("raw_listings", "listing_id", _LISTING_CONTENT),
     "ingest_feed_recalls": _feed(

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlane import schemas as S
 from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, staging
@@ -28,10 +29,9 @@ def ingest_run(
     """Merge landed documents into their tables and log the run.
 
     Every run rewrites the tables it touches, as a new version; feeds too large
-    for that go through ``streaming.feed``. Outcomes are counted in the writing
-    stage, so the merge runs once.
+    for that go through ``streaming.feed``. Outcomes, documents and unusable
+    lines are counted in the writing stage, so documents are read and merged once.
     """
-    version = started.strftime("%Y%m%d_%H%M%S")
     now = F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     stats = []
     for name, documents in landing.items():
@@ -39,13 +39,23 @@ def ingest_run(
         if name == "vehicle_recalls":
             batch = merge.feed_filter(batch, makes, model_years)
         target = tables.latest_version(spark, f"{root}/{name}")
+        if not batch.take(1):
+            # Nothing landed: the table stays, or begins without rows.
+            if target is None:
+                tables.write_next_version(merge.empty_target(batch), f"{root}/{name}")
+            stats.append((name, 0, 0, 0, 0))
+            continue
         if target is None:
             target = merge.empty_target(batch)
-        outcomes = Observation()
-        merged = merge.merge_outcomes(target, batch, S.ID_FIELDS[name], now)
+        outcomes, received = Observation(), Observation()
+        errors = merge.rejected() if S.CORRUPT in batch.columns else F.count(F.lit(None))
+        seen = batch.observe(received, F.count(F.lit(1)).alias("total"), errors.alias("errors"))
+        merged = merge.merge_outcomes(target, seen, S.ID_FIELDS[name], now)
         counted = merged.observe(outcomes, *merge.outcome_counts()).drop(merge.OUTCOME)
-        tables.write_version(counted, f"{root}/{name}", version)
-        stats.append((name, outcomes.get["inserted"], outcomes.get["updated"], 0, batch.count()))
+        tables.write_next_version(counted, f"{root}/{name}")
+        stats.append((
+            name, outcomes.get["inserted"], outcomes.get["updated"], received.get["errors"], received.get["total"]
+        ))
     run = spark.createDataFrame(stats, "collection string, inserted long, updated long, errors long, total long")
     record = merge.run_record(run, merge.run_id(now), "ingestion", "success", now)
     tables.run_log_append(record.to(S.RUN_LOG), run_log)
@@ -55,13 +65,24 @@ def export_run(
     spark: SparkSession, source: str, bronze_root: str, collections: list[str], run_date: str,
     format: str = "json", **options: str,
 ) -> dict[str, int]:
-    """Export the given collections as one day of bronze JSON; returns documents per collection."""
-    return {
-        name: bronze.bronze_export_json(
-            bronze.bronze_read_documents(spark, source, name, format, **options), bronze_root, name, run_date
-        )
-        for name in collections
-    }
+    """Export the given collections as one day of bronze JSON; returns documents per collection.
+
+    ``format="tables"`` exports the newest versions of the tables that ``ingest_run`` merged under ``source``.
+    """
+    written = {}
+    for name in collections:
+        if format == "tables":
+            documents = tables.latest_version(spark, f"{source}/{name}")
+            if documents is None:
+                log.warning("no table of %s under %s, skipped", name, source)
+                continue
+            documents = documents.drop(merge.FIRST_SEEN).withColumn(
+                "ingested_at", F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            )
+        else:
+            documents = bronze.bronze_read_documents(spark, source, name, format, **options)
+        written[name] = bronze.bronze_export_json(documents, bronze_root, name, run_date)
+    return written
 
 
 def silver_run(
@@ -69,21 +90,32 @@ def silver_run(
 ) -> dict[str, int]:
     """Clean each dataset into silver; returns rows written, counted while writing.
 
-    Unknown names are skipped with a warning, errors propagate. Without
-    ``run_date`` all exported days are read and silver is rebuilt from them.
+    Unknown names are skipped with a warning, errors propagate. Silver is
+    rebuilt from all exported days: ``run_date`` only names the run, as one day
+    alone would remove the others.
     """
+    if run_date is not None:
+        log.info("silver run of %s over all exported days", run_date)
     written = {}
     for name in datasets:
         if name not in CLEANERS:
             log.warning("unknown dataset %s, skipped", name)
             continue
-        cleaned = CLEANERS[name](bronze.bronze_read_json(spark, bronze_root, name, run_date))
+        cleaned = CLEANERS[name](bronze.bronze_read_json(spark, bronze_root, name))
         written[name] = tables.silver_write_partitioned(cleaned, f"{silver_root}/{name}")
     return written
 
 
+def silver_schema(spark: SparkSession, name: str) -> T.StructType:
+    """What cleaning makes of the declared raw collection."""
+    return CLEANERS[name](spark.createDataFrame([], S.BRONZE[name])).schema
+
+
 def staging_views(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
-    read = {name: tables.scan_parquet(spark, f"{silver_root}/{name}") for name in CLEANERS}
+    """The staging models; a dataset that was not delivered, as recalls by default, is an empty one."""
+    read = {
+        name: tables.scan_parquet(spark, f"{silver_root}/{name}", silver_schema(spark, name)) for name in CLEANERS
+    }
     return {
         "stg_parts_catalog": staging.stg_parts(read["parts_catalog"]),
         "stg_market_listings": staging.stg_listings(read["market_listings"]),
@@ -118,10 +150,17 @@ def gold_run(
     validate(spark, gold_root)
 
 
+def flat_schema(spark: SparkSession, name: str) -> T.StructType:
+    empty = spark.createDataFrame([], S.BRONZE[name])
+    return bronze.bronze_nested_to_json(bronze.bronze_drop_internal(empty)).schema
+
+
 def local_run(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str, run_ts: Column | None = None) -> None:
     """Flat bronze tables to silver to three marts, by the single-machine pipeline's rules."""
-    parts = tables.scan_parquet(spark, f"{bronze_root}/parts_catalog")
-    listings = tables.scan_parquet(spark, f"{bronze_root}/market_listings")
+    parts, listings = (
+        tables.scan_parquet(spark, f"{bronze_root}/{name}", flat_schema(spark, name))
+        for name in ("parts_catalog", "market_listings")
+    )
     tables.silver_write_flat(silver_local.silver_parts_local(parts), f"{silver_root}/parts_catalog")
     tables.silver_write_flat(silver_local.silver_listings_local(listings), f"{silver_root}/market_listings")
     parts = tables.scan_parquet(spark, f"{silver_root}/parts_catalog")

@@ -42,6 +42,11 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: rnd(c, digits) for c in columns})
 
 
+def _before(column: str, moment: str):
+    """Rows without a date count as later, so that no load loses them."""
+    return F.coalesce(F.col(column) < moment, F.lit(False))
+
+
 def _ts(text: str):
     return F.lit(text).cast("timestamp")
 
@@ -56,6 +61,18 @@ def bronze_read_documents(lake: Lake) -> DataFrame:
     return bronze.bronze_read_documents(lake.spark, root, "vehicle_recalls")
 
 
+@_query
+def bronze_read_spellings(lake: Lake) -> DataFrame:
+    """Whole numbers written as ``12.0`` or as text, and prices as text, arrive as they were."""
+    root, listings = lake.path("documents"), lake.raw("market_listings")
+    listings.withColumns({
+        "vehicle_year": F.col("vehicle_year").cast("double"),
+        "days_to_sell": F.concat(F.col("days_to_sell").cast("string"), F.lit(".0")),
+        "asking_price_eur": F.col("asking_price_eur").cast("string"),
+    }).write.json(f"{root}/market_listings")
+    return bronze.bronze_read_documents(lake.spark, root, "market_listings")
+
+
 @_query
 def bronze_drop_internal(lake: Lake) -> DataFrame:
     return bronze.bronze_drop_internal(lake.raw("vehicle_recalls"))
@@ -90,7 +107,7 @@ def bronze_write_parquet(lake: Lake) -> DataFrame:
 def bronze_read_json(lake: Lake) -> DataFrame:
     """Two exported days, read together."""
     root, listings = lake.path("bronze"), lake.raw("market_listings")
-    early = F.col("ingested_at") < SPLIT
+    early = _before("ingested_at", SPLIT)
     bronze.bronze_export_json(listings.where(early), root, "market_listings", EARLIER_RUN_DATE)
     bronze.bronze_export_json(listings.where(~early), root, "market_listings", RUN_DATE)
     return bronze.bronze_read_json(lake.spark, root, "market_listings")
@@ -132,6 +149,15 @@ def silver_run(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@_query
+def silver_run_recalls(lake: Lake) -> DataFrame:
+    """Rows of a dataset as the silver step stores them from exported documents."""
+    root, out = lake.path("bronze"), lake.path("silver")
+    bronze.bronze_export_json(lake.raw("vehicle_recalls"), root, "vehicle_recalls", RUN_DATE)
+    pipeline.silver_run(lake.spark, root, out, ["vehicle_recalls"])
+    return lake.spark.read.parquet(f"{out}/vehicle_recalls")
+
+
 @_query
 def gold_materialize(lake: Lake) -> DataFrame:
     root = lake.path("gold")
@@ -143,10 +169,31 @@ def gold_materialize(lake: Lake) -> DataFrame:
 
 @_query
 def gold_export_parquet(lake: Lake) -> DataFrame:
+    return _exported(lake, "mart_supplier_performance_local")
+
+
+@_query
+def gold_export_pricing(lake: Lake) -> DataFrame:
+    return _exported(lake, "mart_market_pricing_local")
+
+
+@_query
+def gold_export_coverage(lake: Lake) -> DataFrame:
+    return _exported(lake, "mart_catalog_coverage_local")
+
+
+def _exported(lake: Lake, name: str) -> DataFrame:
+    """One mart of an export of all three."""
     root, out = lake.path("gold"), lake.path("gold-export")
-    tables.gold_materialize(lake.suppliers_local(), root, "mart_supplier_performance_local", _ts(RUN_TS))
-    tables.gold_export_parquet(lake.spark, ["mart_supplier_performance_local"], root, out)
-    return lake.spark.read.parquet(f"{out}/mart_supplier_performance_local").drop("updated_at")
+    built = {
+        "mart_market_pricing_local": lake.pricing_local(),
+        "mart_catalog_coverage_local": lake.coverage_local(),
+        "mart_supplier_performance_local": lake.suppliers_local(),
+    }
+    for mart, df in built.items():
+        tables.gold_materialize(df, root, mart, _ts(RUN_TS))
+    tables.gold_export_parquet(lake.spark, list(built), root, out)
+    return lake.spark.read.parquet(f"{out}/{name}").drop("updated_at")
 
 
 @_query
@@ -166,13 +213,24 @@ def local_run(lake: Lake) -> DataFrame:
     return tables.gold_read_mart(lake.spark, gold, "mart_market_pricing_local").drop("updated_at")
 
 
-@_query
-def gold_run(lake: Lake) -> DataFrame:
-    """All marts from stored silver; rows per mart."""
+def _gold(lake: Lake) -> str:
     silver_root, gold = lake.path("silver"), lake.path("gold")
     for name in S.BRONZE:
         tables.silver_write_partitioned(lake.silver(name), f"{silver_root}/{name}")
     pipeline.gold_run(lake.spark, silver_root, gold, _ts(RUN_TS))
+    return gold
+
+
+@_query
+def gold_run_suppliers(lake: Lake) -> DataFrame:
+    """Rows of a mart as the gold step stores them."""
+    return lake.spark.read.parquet(f"{_gold(lake)}/mart_supplier_performance").drop("updated_at")
+
+
+@_query
+def gold_run(lake: Lake) -> DataFrame:
+    """All marts from stored silver; rows per mart."""
+    gold = _gold(lake)
     return reduce(DataFrame.unionByName, [
         lake.spark.read.parquet(f"{gold}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(name).alias("mart"), "n_rows")
@@ -197,8 +255,8 @@ def catalog_register(lake: Lake) -> DataFrame:
 
 def _event_loads(lake: Lake) -> tuple[DataFrame, DataFrame]:
     events = lake.events()
-    first = events.where(F.col("ingested_at") < EVENTS_TO)
-    second = events.where(F.col("ingested_at") >= EVENTS_FROM)
+    first = events.where(_before("ingested_at", EVENTS_TO))
+    second = events.where(~_before("ingested_at", EVENTS_FROM))
     return merge.ingest_upsert(merge.empty_target(first), first, "user_id", _ts(FIRST_LOAD)), second
 
 
@@ -226,7 +284,7 @@ def ingest_stream_upsert(lake: Lake) -> DataFrame:
     """Two loads land one after the other; each is streamed into the log from where the last one stopped."""
     landing, log, checkpoint = lake.path("landing"), lake.path("log"), lake.path("stream-checkpoint")
     events = lake.events()
-    later = F.col("ingested_at") >= EVENTS_FROM
+    later = ~_before("ingested_at", EVENTS_FROM)
     for load in (events.where(later), events.where(~later)):
         load.write.mode("append").option("timestampFormat", feed.TIMESTAMPS).json(landing)
         source = feed.read_feed(lake.spark, landing, events.schema)
@@ -234,9 +292,48 @@ def ingest_stream_upsert(lake: Lake) -> DataFrame:
     return _shown(feed.current_state(lake.spark.read.parquet(log), "user_id"))
 
 
+def _partial_documents(lake: Lake) -> DataFrame:
+    """Events of which some lack ``props`` and some ``value``; nulls are not written."""
+    return lake.events().withColumns({
+        "props": F.when(F.col("event_id") % 3 != 0, F.col("props")),
+        "value": F.when(F.col("event_id") % 2 != 0, F.col("value")),
+    })
+
+
+@_query
+def ingest_fields_batch(lake: Lake) -> DataFrame:
+    """Two loads of documents that lack fields: a field keeps its value until a document sends it again."""
+    events = _partial_documents(lake)
+    early = _before("ingested_at", EVENTS_TO)
+    state = None
+    for part, moment in ((early, FIRST_LOAD), (~early, SECOND_LOAD)):
+        landing = lake.path("landing")
+        events.where(part).write.option("timestampFormat", feed.TIMESTAMPS).json(landing)
+        batch = bronze.bronze_read_lines(lake.spark, landing, events.schema)
+        state = merge.ingest_upsert(
+            merge.empty_target(batch) if state is None else state, batch, "user_id", _ts(moment)
+        )
+    return _shown(state)
+
+
+@_query
+def ingest_fields_stream(lake: Lake) -> DataFrame:
+    """The same documents streamed in two runs, compacted after each, the later ones first."""
+    names = ("landing", "log", "checkpoint", "snapshots")
+    landing, log, checkpoint, snapshots = (lake.path(f"fields-{n}") for n in names)
+    events = _partial_documents(lake)
+    early = _before("ingested_at", EVENTS_TO)
+    for load, part in (("1", ~early), ("2", early)):
+        events.where(part).write.mode("append").option("timestampFormat", feed.TIMESTAMPS).json(landing)
+        source = feed.read_feed(lake.spark, landing, events.schema, by_field=True)
+        feed.ingest_stream_upsert(source, log, checkpoint, "user_id", F.col("ingested_at"), load).awaitTermination()
+        feed.compact(lake.spark, log, snapshots, "user_id")
+    return _shown(feed.current(lake.spark, log, snapshots, "user_id"))
+
+
 def _feed(lake: Lake, collection: str, **filters) -> DataFrame:
     documents = lake.documents(collection)
-    early = F.col("ingested_at") < SPLIT
+    early = _before("ingested_at", SPLIT)
     first = documents.where(early)
     target = merge.ingest_feed(merge.empty_target(first), first, collection, _ts(FIRST_LOAD), **filters)
     merged = merge.ingest_feed(target, documents.where(~early), collection, _ts(SECOND_LOAD), **filters)
@@ -282,13 +379,25 @@ def run_log_append(lake: Lake) -> DataFrame:
 
 
 @_query
-def ingest_run(lake: Lake) -> DataFrame:
-    """Two scheduled loads of all three feeds; the run log with one row per run and feed."""
+def ingest_run_recalls(lake: Lake) -> DataFrame:
+    """Rows of a merged table after two scheduled loads."""
+    root, _ = _two_loads(lake, ["vehicle_recalls"])
+    return _shown(tables.latest_version(lake.spark, f"{root}/vehicle_recalls"))
+
+
+def _two_loads(lake: Lake, collections: list[str]) -> tuple[str, str]:
     root, log = lake.path("tables"), lake.path("pipeline_runs")
-    early = F.col("ingested_at") < SPLIT
+    early = _before("ingested_at", SPLIT)
     for started, where in ((FIRST_LOAD, early), (SECOND_LOAD, ~early)):
-        landed = {name: lake.raw(name).where(where) for name in S.BRONZE}
+        landed = {name: lake.raw(name).where(where) for name in collections}
         pipeline.ingest_run(lake.spark, landed, root, log, datetime.fromisoformat(started))
+    return root, log
+
+
+@_query
+def ingest_run(lake: Lake) -> DataFrame:
+    """Two scheduled loads of all three feeds; the run log with one row per run and feed."""
+    _, log = _two_loads(lake, [*S.BRONZE])
     runs = lake.spark.read.schema(S.RUN_LOG).parquet(log)
     return runs.select("run_id", "status", "total_docs", F.explode("results").alias("collection", "stats")).select(
         "run_id", "status", "total_docs", "collection", "stats.*"
@@ -463,8 +572,8 @@ def int_price_stats(lake: Lake) -> DataFrame:
 
 @_query
 def int_price_stats_by_steps(lake: Lake) -> DataFrame:
-    """The way taken for large inputs."""
-    stats = enrich.int_price_stats(lake.stg_parts(), in_memory_bytes=0)
+    """Kept from when small inputs took another way; there is one way now."""
+    stats = enrich.int_price_stats(lake.stg_parts())
     return _rounded(stats, 6, "q1", "median_price", "q3", "avg_price", "stddev_price")
 
 
@@ -530,8 +639,8 @@ def mart_market_pricing(lake: Lake) -> DataFrame:
 
 @_query
 def mart_market_pricing_by_steps(lake: Lake) -> DataFrame:
-    """The way taken for large inputs."""
-    return marts.mart_market_pricing(lake.enriched(), lake.stg_listings(), in_memory_bytes=0)
+    """Kept from when small inputs took another way; there is one way now."""
+    return marts.mart_market_pricing(lake.enriched(), lake.stg_listings())
 
 
 @_query

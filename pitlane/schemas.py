@@ -18,6 +18,9 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 COMPATIBILITY = T.ArrayType(_struct(make=_S, model=_S, year_from=_I, year_to=_I))
 
+#: Of a document as it arrived: the names of the fields it sent, and the text of a line that is no document.
+PRESENT, CORRUPT = "_present", "_corrupt_record"
+
 BRONZE_PARTS = _struct(
     part_id=_S, part_number=_S, part_number_source=_S, brand=_S, brand_type=_S,
     category=_S, sub_category=_S, description=_S, price_eur=_D, currency=_S,

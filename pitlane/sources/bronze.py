@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,21 +18,77 @@ def bronze_read_documents(
 ) -> DataFrame:
     """A raw collection as a table, always under its declared schema.
 
-    ``format`` may name any installed source, such as a document-store
-    connector (with ``location`` as the database).
+    JSON numbers arrive whether written as ``12``, ``12.0`` or ``"12"``. A line
+    that is no JSON object becomes a row of nulls, see ``bronze_read_lines``.
+    ``format`` may name any installed source, such as Parquet files or a
+    document-store connector (with ``location`` as the database).
     """
-    reader = spark.read.format(format).schema(S.BRONZE[collection]).options(**options)
     if format == "json":
+        read = bronze_read_lines(spark, f"{location}/{collection}", S.BRONZE[collection], **options)
+        return read.drop(S.PRESENT, S.CORRUPT)
+    reader = spark.read.format(format).schema(S.BRONZE[collection]).options(**options)
+    if format in ("parquet", "orc") and "path" not in options:
         return reader.load(f"{location}/{collection}")
     return reader.option("database", location).option("collection", collection).load()
 
 
+def bronze_read_lines(
+    spark: SparkSession, path: str, schema: T.StructType, folders: str = "", **options: str
+) -> DataFrame:
+    """JSON lines under ``schema``, with the names of the fields a document sent and the text of unusable lines.
+
+    ``folders`` declares partition columns.
+    """
+    lines = spark.read.schema(f"value string{folders}").text(path, wholetext=False)
+    return parsed_lines(lines.where(F.trim("value") != ""), schema, **options)
+
+
+def parsed_lines(lines: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
+    """``value`` as columns of ``schema``, ``_present`` and ``_corrupt_record``; other columns stay."""
+    declared = T.StructType([*_numbers_as_text(schema).fields, T.StructField(S.CORRUPT, T.StringType())])
+    settings = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT, **options}
+    others = [c for c in lines.columns if c != "value"]
+    read = lines.withColumn("_read", F.from_json("value", declared, settings))
+    corrupt = F.when(F.col("_read").isNull() | F.col(f"_read.{S.CORRUPT}").isNotNull(), F.col("value"))
+    return read.select(
+        *[_typed(F.col(f"_read.{f.name}"), f.dataType).alias(f.name) for f in schema.fields], *others,
+        F.json_object_keys("value").alias(S.PRESENT), corrupt.alias(S.CORRUPT),
+    )
+
+
+def _numbers_as_text(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _numbers_as_text(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_numbers_as_text(dtype.elementType))
+    return T.StringType() if isinstance(dtype, T.NumericType) else dtype
+
+
+def _typed(text: Column, dtype: T.DataType) -> Column:
+    """Text as the declared type; what is no number becomes null, a fraction of a whole number is cut."""
+    if isinstance(dtype, T.StructType):
+        fields = F.struct(*[_typed(text[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+        return F.when(text.isNotNull(), fields)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(text, lambda x: _typed(x, dtype.elementType))
+    if isinstance(dtype, T.LongType):
+        return F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype))
+    if isinstance(dtype, T.IntegralType):
+        return text.try_cast("double").try_cast(dtype)
+    return text.try_cast(dtype) if isinstance(dtype, T.NumericType) else text
+
+
 def bronze_drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*INTERNAL)
 
 
+def _day(run_date: str) -> dt.date:
+    """Only ``YYYY-MM-DD``: other ISO forms would name other folders."""
+    return dt.datetime.strptime(run_date, "%Y-%m-%d").date()
+
+
 def bronze_date_stamp(df: DataFrame, run_date: str) -> DataFrame:
-    day = dt.date.fromisoformat(run_date)
+    day = _day(run_date)
     return df.withColumns({
         "export_year": F.lit(day.year), "export_month": F.lit(day.month), "export_day": F.lit(day.day),
     })
@@ -42,8 +98,8 @@ def bronze_export_json(df: DataFrame, root: str, collection: str, run_date: str)
     """Replace one day of a collection; returns the documents written, counted while writing."""
     written = Observation(f"export_{collection}")
     stamped = bronze_date_stamp(df.drop("_id"), run_date).observe(written, F.count(F.lit(1)).alias("n"))
-    year, month, day = run_date.split("-")
-    stamped.write.mode("overwrite").json(f"{root}/{collection}/year={year}/month={month}/day={day}")
+    folder = _day(run_date).strftime("year=%Y/month=%m/day=%d")
+    stamped.write.mode("overwrite").json(f"{root}/{collection}/{folder}")
     return written.get["n"]
 
 
@@ -52,11 +108,11 @@ def bronze_read_json(
 ) -> DataFrame:
     """All days of a collection, or the one of ``run_date`` (pruned by its folder)."""
     export = [T.StructField(f"export_{p}", T.IntegerType()) for p in ("year", "month", "day")]
-    folder = [T.StructField(p, T.IntegerType()) for p in ("year", "month", "day")]
-    schema = T.StructType([*S.BRONZE[collection].fields, *export, *folder])
-    df = spark.read.schema(schema).json(f"{root}/{collection}")
+    schema = T.StructType([*S.BRONZE[collection].fields, *export])
+    path = f"{root}/{collection}"
+    df = bronze_read_lines(spark, path, schema, ", year int, month int, day int").drop(S.PRESENT, S.CORRUPT)
     if run_date is not None:
-        day = dt.date.fromisoformat(run_date)
+        day = _day(run_date)
         df = df.where((F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day))
     return df
 
@@ -71,7 +127,7 @@ def bronze_nested_to_json(df: DataFrame) -> DataFrame:
 
 def bronze_write_parquet(df: DataFrame, root: str, collection: str) -> bool:
     """One flat Parquet table per collection; an empty collection is skipped."""
-    if df.isEmpty():
+    if not df.take(1):
         return False
     bronze_nested_to_json(bronze_drop_internal(df)).write.mode("overwrite").parquet(f"{root}/{collection}")
     return True

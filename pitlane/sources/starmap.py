@@ -10,20 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.operators.sizes import input_bytes
-
-# Category names and a sub-category of each.
+# Category names and an invented sub-category of each; the first two are also classes of recalls.
 CATEGORIES = [
-    ("Freinage", "Plaquettes"),
-    ("Moteur", "Filtre à huile"),
-    ("Suspension", "Rotule"),
-    ("Électricité", "Batterie"),
-    ("Refroidissement", "Radiateur"),
-    ("Pneus", "Été 205/55R16"),
-    ("Transmission", "Embrayage"),
+    ("Freinage", "Disque avant"),
+    ("Moteur", "Joint à huile"),
+    ("Suspension", "Ressort"),
+    ("Électricité", "Faisceau"),
+    ("Refroidissement", "Ventilateur"),
+    ("Pneus", "Hiver 195/65R15"),
+    ("Transmission", "Cardan"),
 ]
 
-_SMALL_SPLIT = 16 * 2**20
 _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 _KEY = "cast(p_partkey AS string)"
 _NUMBER = f"concat(p_brand, '-', lpad({_KEY}, greatest(6, length({_KEY})), '0'))"
@@ -43,12 +40,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items; files so small that they would be read by a task or two are spread over the cores."""
-    rows = _table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if input_bytes(rows) < cores * _SMALL_SPLIT:
-        rows = rows.repartition(cores, "l_orderkey", "l_linenumber")
-    return rows
+    return _table(spark, sf_dir, "lineitem")
 
 
 def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +74,7 @@ def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE l_returnflag WHEN 'A' THEN ' IN_STOCK' WHEN 'R' THEN 'on_order ' ELSE 'Discontinued' END AS availability",
         f"transform(sequence(0, l_linenumber % 3), i -> {vehicle}) AS vehicle_compatibility",
         "s_name AS supplier",
-        _pick("l_linenumber % 4", ["supplier_api", " Catalog_CSV", "marketplace_scraper ", "EDI_FEED"]) + " AS source",
+        _pick("l_linenumber % 4", ["feed_direct", " Weekly_FILE", "web_offer ", "ORDER_BUS"]) + " AS source",
         "CASE WHEN l_quantity <> 17 THEN 1.05D - l_discount * 8 - l_tax END AS quality_score",
         f'date_format(l_shipdate, "{_ISO}") AS ingested_at',
         f'date_format(l_shipdate, "{_ISO}") AS last_updated',

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,16 @@ from pyspark.sql import types as T
 from pitlane import schemas as S
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; with its declared ``schema``, a missing or empty one reads as empty."""
+    if schema is None:
+        return spark.read.parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def silver_write_partitioned(df: DataFrame, path: str, partitions: list[str] | None = None) -> int:
@@ -42,9 +52,20 @@ def silver_write_flat(df: DataFrame, path: str) -> None:
 
 
 def gold_materialize(df: DataFrame, root: str, name: str, run_ts: Column | None = None) -> None:
-    """Create or replace a mart, stamped with the time of the run."""
+    """Create or replace a mart, stamped with the time of the run.
+
+    It is written aside and then takes the old one's place, so a reader never
+    sees part of one, and a failed run leaves the old one as it was.
+    """
     stamped = df.withColumn("updated_at", F.current_timestamp() if run_ts is None else run_ts)
-    stamped.write.mode("overwrite").parquet(f"{root}/{name}")
+    aside = f"{root}/_{name}.{uuid.uuid4().hex[:12]}"
+    stamped.write.parquet(aside)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(path(f"{root}/{name}"), True)
+    if not fs.rename(path(aside), path(f"{root}/{name}")):
+        raise OSError(f"{aside} could not take the place of {root}/{name}")
 
 
 def gold_export_parquet(spark: SparkSession, names: list[str], root: str, out: str) -> None:
@@ -82,15 +103,33 @@ def catalog_register(
 
 def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest completely written version of a table kept as one folder per version."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = sorted(status.getPath().getParent().toString() for status in fs.globStatus(pattern) or [])
+    done = _versions(spark, root)
     return spark.read.parquet(done[-1]) if done else None
 
 
-def write_version(df: DataFrame, root: str, version: str) -> None:
-    """A new version next to the one being read; a repeated run replaces its own."""
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+def _versions(spark: SparkSession, root: str, name: str = "_SUCCESS") -> list[str]:
+    """Folders of the complete versions, oldest first; of all that hold anything with another ``name``."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/{name}")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {status.getPath().getParent().toString() for status in fs.globStatus(pattern) or []}
+    return sorted(found)
+
+
+def write_next_version(df: DataFrame, root: str, keep: int = 3) -> str:
+    """A new version above all there are, also above incomplete ones; then all but the newest ``keep`` are removed.
+
+    Numbers count up whatever the clock says, and no version is written twice,
+    so one that is being read stays whole.
+    """
+    spark = df.sparkSession
+    there = _versions(spark, root, "*")
+    number = 1 + max([int(v.rpartition("=")[2].split("_")[0]) for v in there], default=0)
+    path = f"{root}/version={number:09d}"
+    df.write.parquet(path)
+    for old in _versions(spark, root)[:-keep]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
 
 
 def run_log_append(record: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import rows
+from pitlane import schemas
 from pitlane.operators import derive
 from pitlane.plans import pipeline
 from pitlane.sources import bronze, shared, tables
@@ -119,3 +120,30 @@ def test_compatibility_ranges(spark):
         "part_number string, make string, model string, year int")
     out = rows.by(derive.parts_compatibility_build(fits), "part_number")
     assert [tuple(v) for v in out["P1"]["vehicle_compatibility"]] == [("A", "w", 2015, 2015), ("A", "x", 2010, 2012)]
+
+
+def test_numbers_in_any_spelling(spark, tmp_path):
+    lines = [
+        '{"listing_id":"a","vehicle_year":2004,"asking_price_eur":12.5,"days_to_sell":3}',
+        '{"listing_id":"b","vehicle_year":2004.0,"asking_price_eur":"12.5","days_to_sell":"3.0"}',
+        '{"listing_id":"c","vehicle_year":"2004","asking_price_eur":1.25e1,"days_to_sell":" 3 "}',
+        '{"listing_id":"d","vehicle_year":"new","asking_price_eur":"-","days_to_sell":null}',
+        '{"listing_id":"e","vehicle_year":2004', "",
+    ]
+    (tmp_path / "market_listings").mkdir()
+    (tmp_path / "market_listings" / "x.json").write_text("\n".join(lines))
+    df = bronze.bronze_read_documents(spark, str(tmp_path), "market_listings")
+    found = {r["listing_id"]: (r["vehicle_year"], r["asking_price_eur"], r["days_to_sell"]) for r in df.collect()}
+    assert [found[i] for i in "abc"] == [(2004, 12.5, 3)] * 3 and found["d"] == (None, None, None)
+    assert df.schema == schemas.BRONZE["market_listings"]
+    told = bronze.bronze_read_lines(spark, str(tmp_path / "market_listings"), df.schema)
+    assert told.where(f"{schemas.CORRUPT} is not null").count() == 1 and told.count() == 5
+
+
+def test_nested_numbers_in_any_spelling(spark, tmp_path):
+    (tmp_path / "parts_catalog").mkdir()
+    (tmp_path / "parts_catalog" / "x.json").write_text(
+        '{"part_id":"a","vehicle_compatibility":[{"make":"m","model":"n","year_from":"1999","year_to":2001.0}]}'
+    )
+    (row,) = bronze.bronze_read_documents(spark, str(tmp_path), "parts_catalog").collect()
+    assert row["vehicle_compatibility"][0].asDict() == {"make": "m", "model": "n", "year_from": 1999, "year_to": 2001}

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlane.operators import merge
+from pitlane.sources import bronze
 from pitlane.streaming import feed
 
 DOC = "id string, v int, w string, ingested_at timestamp"
@@ -129,12 +131,63 @@ def test_restarted_stream_adds_nothing(spark, landing):
     assert spark.read.parquet(landing[1]).count() == 2
 
 
-def test_compaction_keeps_the_state(spark, landing, tmp_path):
-    land(docs(spark, ("a", 1, "x", "2024-01-01"), ("a", 2, "x", "2024-01-02"), ("b", 1, "x", "2024-01-01")), landing[0], 3)
-    stream(spark, landing)
-    log = spark.read.parquet(landing[1])
-    compacted = str(tmp_path / "compacted")
-    feed.compact(log, compacted, "id")
-    new_log = spark.read.parquet(compacted)
-    assert new_log.count() == 2
-    assert state(feed.current_state(new_log, "id")) == state(feed.current_state(log, "id"))
+SPECS = [
+    '{"id":"a","v":1,"w":"x","ingested_at":"2024-01-01T00:00:00Z"}', '{"id":"b","w":"y","ingested_at":"2024-01-01T00:00:00Z"}',
+    '{"id":"a","v":2,"ingested_at":"2024-01-02T00:00:00Z"}', '{"id":"a","w":null,"ingested_at":"2024-01-03T00:00:00Z"}',
+    '{"id":"b","v":7.0,"ingested_at":"2024-01-02T00:00:00Z"}', '{"id":"","v":9}', 'no document', '{"id":"c","v":"12.0"}',
+]
+SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("w", T.StringType()),
+    T.StructField("ingested_at", T.TimestampType()),
+])
+
+
+def parsed(spark, lines):
+    return bronze.parsed_lines(spark.createDataFrame([(x,) for x in lines], "value string"), SCHEMA)
+
+
+def values(df):
+    return {r["id"]: (r["v"], r["w"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("cut", [0, 1, 3, 8])
+def test_fields_not_sent_stay(spark, cut):
+    """A field keeps its value until a document sends it again, null included; in one batch or in two."""
+    state = merge.empty_target(parsed(spark, SPECS))
+    for part in (SPECS[:cut], SPECS[cut:]):
+        if part:
+            state = merge.ingest_upsert(state, parsed(spark, part), "id", seen("2024-01-05 00:00:00"))
+    assert values(state) == {"a": (2, None), "b": (7, "y"), "c": (12, None)}
+    assert set(state.columns) == {"id", "v", "w", "ingested_at", merge.FIRST_SEEN}
+
+
+def test_unusable_lines_are_counted(spark):
+    batch = parsed(spark, SPECS)
+    stats = merge.ingest_stats(merge.empty_target(batch), batch, "id", "docs").first()
+    assert (stats["inserted"], stats["updated"], stats["errors"], stats["total"]) == (3, 0, 1, 8)
+
+
+def test_compaction_goes_on(spark, tmp_path):
+    """Stream, compact, stream, restart: the state is that of all documents, with and without snapshots."""
+    landing, log, checkpoint, snapshots = (str(tmp_path / n) for n in ("landing", "log", "checkpoint", "snapshots"))
+
+    def run(lines, load):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(landing)
+        source = feed.read_feed(spark, landing, SCHEMA, batch_bytes=1, by_field=True)
+        feed.ingest_stream_upsert(source, log, checkpoint, "id", seen("2024-01-05 00:00:00"), load).awaitTermination()
+
+    run(SPECS[:3], "1")
+    feed.compact(spark, log, snapshots, "id")
+    run(SPECS[3:6], "2")
+    feed.compact(spark, log, snapshots, "id")
+    feed.compact(spark, log, snapshots, "id")
+    run(SPECS[6:], "3")
+    run([], "4")
+    expected = {"a": (2, None), "b": (7, "y"), "c": (12, None)}
+    assert values(feed.current(spark, log, snapshots, "id")) == expected
+    assert values(feed.current_state(spark.read.parquet(log), "id")) == expected
+    # A late document fills what newer ones did not send.
+    run(['{"id":"b","v":1,"w":"late","ingested_at":"2024-01-01T12:00:00Z"}'], "5")
+    expected["b"] = (7, "late")
+    assert values(feed.current(spark, log, snapshots, "id")) == expected
+    assert values(feed.current_state(spark.read.parquet(log), "id")) == expected
