@@ -6,13 +6,15 @@
    by the pigeonhole principle, a chunk that differs in at most one position.
    All patterns of one error are enumerated: a chunk gives one key for each of
    its positions left out. So each such pair meets in a bucket.
-3. In each bucket every class is compared with the least one; links that hold
-   on full shingle sets are joined to components.
+3. In each bucket every class is compared with its most central one, which is
+   the one that meets most others over all its buckets; links that hold on full
+   shingle sets are joined to components.
 4. Buckets whose members are still in several components are compared inside,
    pairs of one component left out. Large buckets are dealt out in blocks of
-   ``BLOCK`` rows, each pair of blocks being one piece of work, and only pairs
-   within ``DISTANCE`` leave it. So every pair within the distance is linked,
-   refused on its full sets, or already in one component.
+   ``BLOCK`` rows, each pair of blocks being one piece of work. A pair leaves
+   the first bucket it shares, if it is within ``DISTANCE`` and also close in a
+   longer signature. So every such pair is linked, refused on its full sets, or
+   already in one component.
 5. Components are labelled with the least ``doc_id`` in them.
 
 A pair at the similarity of 0.75 differs in 12 positions on average; more than
@@ -35,13 +37,17 @@ from pyspark.sql import functions as F
 
 from pitlane.llm import common
 from pitlane.llm.components import components
-from pitlane.llm.shingles import POSITIONS, byte_texts, class_of, shingle_set, signature, similar
+from pitlane.llm.shingles import (
+    FINE, FINE_EQUAL, POSITIONS, byte_texts, class_of, fine_signature, shingle_set, signature, similar,
+)
 from pitlane.sources import shared
 
 #: Chunks of a signature, positions of a chunk, and the greatest distance that is guaranteed.
 CHUNKS = 12
 WIDTH = POSITIONS // CHUNKS
 DISTANCE = 2 * CHUNKS - 1
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = pow(int(_FACTOR), -1, 1 << 64)
 #: Rows of a block; two blocks are compared in one piece.
 BLOCK = 1024
 
@@ -71,7 +77,6 @@ def classified(documents: DataFrame) -> DataFrame:
 
 def bucket_keys(classes: DataFrame) -> DataFrame:
     """``key, class``: ``POSITIONS`` rows for each class, one for each chunk and place of the allowed error."""
-    factors = np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
     def start() -> common.Work:
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
@@ -86,7 +91,7 @@ def bucket_keys(classes: DataFrame) -> DataFrame:
                 place = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(left_out)
                 with np.errstate(over="ignore"):
                     # 48 bits of values and 6 of the place: one to one, then spread by an odd factor.
-                    keys.append(((packed << np.uint64(6)) | place) * factors[0])
+                    keys.append(((packed << np.uint64(6)) | place) * _FACTOR)
             keys = np.stack(keys, 2).reshape(-1).view(np.int64)
             return {"key": pa.array(keys), "class": pa.array(np.repeat(batch.column("class").to_numpy(), POSITIONS))}
 
@@ -95,6 +100,21 @@ def bucket_keys(classes: DataFrame) -> DataFrame:
     return common.map_batches(classes.select("class", "signature"), "key bigint, class bigint", start)
 
 
+def place_of(key: int) -> int:
+    """The chunk and the place left out that a key was made of."""
+    return key * _INVERSE & 63
+
+
+def first_places(equal: np.ndarray) -> np.ndarray:
+    """The first place whose key two signatures share, from their equal positions; -1 if there is none."""
+    chunks = equal.reshape(-1, CHUNKS, WIDTH)
+    shared_chunk = chunks.sum(2) >= WIDTH - 1
+    chunk = shared_chunk.argmax(1)
+    # Of a chunk equal throughout, the first key leaves out place 0; else the key leaves out what differs.
+    left_out = (~chunks[np.arange(len(chunks)), chunk]).argmax(1)
+    return np.where(shared_chunk.any(1), chunk * WIDTH + left_out, -1)
+
+
 def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.count_nonzero(a != b, axis=-1) <= DISTANCE
 
@@ -133,9 +153,12 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return common.map_batches(both.select("a", "b", "text_a", "text_b"), "a bigint, b bigint", start)
 
 
-def class_texts(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``class, text`` of the classes in ``pairs``, each from the document that stands for it."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+def _in_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+
+
+def class_texts(documents: DataFrame, classes: DataFrame, named: DataFrame) -> DataFrame:
+    """``class, text`` of the classes in ``named``, each from the document that stands for it."""
     wanted = classes.select("class", "least_id").join(named, "class")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("least_id"), "text").filter(F.col("text").isNotNull())
     found = texts.join(wanted, "least_id")
@@ -175,9 +198,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def pairs_inside(members: DataFrame) -> DataFrame:
-    """``a, b``: pairs of a bucket within the distance and of different labels.
+    """``a, b``: pairs of a bucket that are close in both signatures and of different labels, each once.
 
-    ``members`` has ``key, size, class, label, signature``. A bucket of more
+    ``members`` has ``key, size, class, label, signature, fine``. A bucket of more
     than ``BLOCK`` rows is dealt out by a hash of the class; each pair of its
     blocks is compared in one place, so a task holds two blocks at most.
     """
@@ -187,7 +210,7 @@ def pairs_inside(members: DataFrame) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     ).select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "label",
-        "signature",
+        "signature", "fine",
     )
     common.small_batches(members.sparkSession)
     arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -195,16 +218,21 @@ def pairs_inside(members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
             ids, labels = (group.column(c).to_numpy() for c in ("class", "label"))
-            own, known = group.column("own").to_numpy(), np.frombuffer(
-                b"".join(group.column("signature").to_pylist()), np.uint16
-            ).reshape(-1, POSITIONS)
-            low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+            own = group.column("own").to_numpy()
+            known = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+            fine = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+            low, high, place = group.column("low")[0].as_py(), group.column("high")[0].as_py(), place_of(
+                group.column("key")[0].as_py()
+            )
             left = np.flatnonzero(own == low)
             right = np.flatnonzero(own == high)
             found_a, found_b = [], []
             for i in left.tolist():
                 others = right[(labels[right] != labels[i]) & ((low != high) | (ids[right] > ids[i]))]
-                near = others[_close(known[others], known[i])] if len(others) else others
+                equal = known[others] == known[i]
+                here = (first_places(equal) == place) & (equal.sum(1) >= POSITIONS - DISTANCE)
+                others = others[here]
+                near = others[(fine[others] == fine[i]).sum(1) >= FINE_EQUAL]
                 if len(near):
                     found_a.append(np.minimum(ids[i], ids[near]))
                     found_b.append(np.maximum(ids[i], ids[near]))
@@ -214,7 +242,22 @@ def pairs_inside(members: DataFrame) -> DataFrame:
                 )
 
     ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+    return ordered.mapInArrow(run, "a bigint, b bigint")
+
+
+def fine_signatures(texts: DataFrame) -> DataFrame:
+    """``class, fine`` of ``texts``."""
+
+    def start() -> common.Work:
+        def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
+            return {
+                "class": batch.column("class"),
+                "fine": [fine_signature(shingle_set(t)).tobytes() for t in byte_texts(batch.column("text"))],
+            }
+
+        return work
+
+    return common.map_batches(texts, "class bigint, fine binary", start)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -232,20 +275,21 @@ def decided(documents: DataFrame) -> DataFrame:
         "classes",
     )
     keys = bucket_keys(classes)
+    sizes = shared.store(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "bucket_sizes")
+    buckets = shared.store(keys.join(sizes, "key"), "buckets")
+    met = shared.store(buckets.groupBy("class").agg(F.sum("size").alias("met")), "met")
     leaders = shared.store(
-        keys.groupBy("key").agg(F.min("class").alias("leader"), F.count("*").alias("size")).filter("size > 1"), "leaders"
+        buckets.join(met, "class").groupBy("key").agg(
+            F.max(F.struct("met", "class"))["class"].alias("leader")
+        ), "leaders",
     )
-    buckets = shared.store(keys.join(leaders, "key"), "buckets")
 
-    # Every member of a bucket with its least one.
-    first = shared.store(
-        within_distance(
-            buckets.filter("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(),
-            classes,
-        ),
-        "first_pairs",
-    )
-    edges = shared.store(linked(first, shared.store(class_texts(documents, classes, first), "first_texts")), "first_links")
+    # Every member of a bucket with its central one.
+    pairs = buckets.join(leaders, "key").filter("class <> leader").select(
+        F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")
+    ).distinct()
+    first = shared.store(within_distance(pairs, classes), "first_pairs")
+    edges = shared.store(linked(first, shared.store(class_texts(documents, classes, _in_pairs(first)), "first_texts")), "first_links")
     labels = shared.store(components(edges), "first_labels")
 
     # What is still apart inside a bucket.
@@ -258,9 +302,13 @@ def decided(documents: DataFrame) -> DataFrame:
         .select("key"),
         "apart",
     )
-    members = labelled.join(apart, "key").join(classes.select("class", "signature"), "class")
-    second = shared.store(pairs_inside(members).join(first, ["a", "b"], "left_anti"), "second_pairs")
-    more = linked(second, shared.store(class_texts(documents, classes, second), "second_texts"))
+    members = shared.store(labelled.join(apart, "key"), "members")
+    texts = shared.store(class_texts(documents, classes, members.select("class").distinct()), "second_texts")
+    signatures = shared.store(fine_signatures(texts).join(classes.select("class", "signature"), "class"), "signatures")
+    second = shared.store(
+        pairs_inside(members.join(signatures, "class")).join(first, ["a", "b"], "left_anti"), "second_pairs"
+    )
+    more = linked(second, texts)
     labels = shared.store(components(edges.unionAll(shared.store(more, "second_links"))), "labels")
 
     of_class = classes.join(labels, F.col("class") == F.col("node"), "left").select(

@@ -88,20 +88,28 @@ def test_pairs_inside_blocks(spark, monkeypatch):
     """Every pair within the distance comes out of a bucket dealt out in blocks, pairs of one label left out."""
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 16, shingles.POSITIONS, dtype=np.uint16)
-    rows, known = [], {}
+    fine = rng.integers(0, 256, shingles.FINE, dtype=np.uint8)
+    known, close = {}, {}
     for i in range(60):
-        s = base.copy()
+        known[i], close[i] = base.copy(), fine.copy()
         where = rng.choice(shingles.POSITIONS, rng.integers(0, 20), replace=False)
-        s[where] = rng.integers(0, 1 << 16, len(where), dtype=np.uint16)
-        known[i] = s
-        rows.append((5, 60, i, i % 7, s.tobytes()))
+        known[i][where] = rng.integers(0, 1 << 16, len(where), dtype=np.uint16)
+        where = rng.choice(shingles.FINE, rng.integers(0, 150), replace=False)
+        close[i][where] += 1 + i % 2
+    classes = spark.createDataFrame([(i, s.tobytes()) for i, s in known.items()], "class long, signature binary")
+    keys = neardup.bucket_keys(classes).toPandas()
+    sizes = keys.groupby("key").size()
+    rows = [(k, int(sizes[k]), c, c % 7, known[c].tobytes(), close[c].tobytes()) for k, c in zip(keys["key"], keys["class"])]
     monkeypatch.setattr(neardup, "BLOCK", 8)
-    df = spark.createDataFrame(rows, "key long, size long, class long, label long, signature binary")
-    found = {(r.a, r.b) for r in neardup.pairs_inside(df).collect()}
-    assert found == {
+    df = spark.createDataFrame(rows, "key long, size long, class long, label long, signature binary, fine binary")
+    found = [(r.a, r.b) for r in neardup.pairs_inside(df).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {
         (i, j) for i in known for j in known
         if i < j and i % 7 != j % 7 and np.count_nonzero(known[i] != known[j]) <= neardup.DISTANCE
+        and np.count_nonzero(close[i] == close[j]) >= shingles.FINE_EQUAL
     }
+    assert any(sizes > 8) and found
 
 
 def test_guarantee(spark):
