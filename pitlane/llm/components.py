@@ -17,6 +17,12 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Tells two sets of edges apart without comparing them row by row."""
+    row = F.xxhash64("a", "b")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(row), F.sum(row % 1_000_003)).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` of all nodes of ``edges`` (``a, b``): the label is the least node reachable.
 
@@ -44,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
             )).alias("e")
         ).select("e.a", "e.b")
         after = shared.store(hung.filter("a <> b").distinct(), "small_star")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        if _digest(after) == _digest(edges):
             break
         edges = after
     labels = after.select(F.col("a").alias("node"), F.col("b").alias("label"))
