@@ -114,6 +114,34 @@ def test_enrichment_keeps_every_row_of_a_hot_group(spark, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_fingerprint_is_split(spark, tmp_path):
+    """Half the catalogue on one fingerprint: the join is one that adaptive execution splits."""
+    path = str(tmp_path / "catalog")
+    catalog(spark, {}).crossJoin(spark.range(60_000).withColumnRenamed("id", "n")).withColumns({
+        "part_id": F.concat(F.lit("p"), F.col("n")),
+        "_fingerprint": F.when(F.col("n") % 2 == 0, "hot").otherwise(F.concat(F.lit("f"), F.col("n"))),
+        "description": F.sha2(F.col("n").cast("string"), 512),
+    }).drop("n").write.parquet(path)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = enrich.int_parts_enriched(spark.read.parquet(path))
+        assert len(out.collect()) == 60_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.split("Initial Plan")[0].splitlines() if "Join" in line and "_fingerprint" in line]
+        assert joins and any("skew=true" in line for line in joins), plan[:3000]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_pricing_keeps_both_unmatched_sides(spark):
     enriched = enrich.int_parts_enriched(catalog(
         spark, {"price_eur": 100.0}, {"brand": "Valeo", "price_eur": 20.0}, {"brand": "Valeo", "price_eur": None},
