@@ -10,7 +10,7 @@ the probability of good quality, on documents the dictionaries have not seen.
 At most ``SAMPLES`` documents of each label come to the driver; documents are
 scored where they lie, a block at a time.
 
-Nulls: a null text scores like an empty one, a null ``doc_id`` is kept and not
+Nulls: a null text scores like an empty one, 0 like any text of white space; a null ``doc_id`` is kept and not
 held out. Repeated rows score alike. Other columns are not read. Without bad
 examples every score is 1, without good ones 0. An empty table gives an empty
 result.
@@ -70,7 +70,9 @@ class Quality:
         ])
 
     def score(self, text: str) -> float:
-        return self.calibrated(self.features(text)) if self.calibrated else self.constant
+        if self.calibrated is None:
+            return self.constant
+        return self.calibrated(self.features(text)) if text.strip() else 0.0
 
 
 def dictionary(texts: list[str]) -> bytes:

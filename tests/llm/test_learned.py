@@ -31,6 +31,7 @@ def test_toxicity(spark):
 def test_quality(spark):
     accuracy, kept, passed = _held_out(spark, queries.op5_text_quality(spark, SF), "quality")
     assert accuracy > 0.98 and kept > 0.99 and passed < 0.1
+    assert text_quality.train(["x | y"] * 9, ["a good text"] * 9, 0.5).score(" \n") == 0.0
 
 
 def test_one_kind_only():
