@@ -109,7 +109,12 @@ def _set_size(column: str) -> Column:
     return F.size(F.collect_set(column)).cast("long")
 
 
-def coverage_by_vehicle(listings: DataFrame) -> DataFrame:
+def _distinct(column: str, approx_rsd: float | None) -> Column:
+    """Exact, or opted into a sketch of the given relative deviation, which needs no row per distinct value."""
+    return F.countDistinct(column) if approx_rsd is None else F.approx_count_distinct(column, approx_rsd)
+
+
+def coverage_by_vehicle(listings: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Listings serve as a proxy of the catalogue, which knows no vehicles.
 
     Brands are counted as a set, which their vocabulary bounds, so that parts
@@ -117,7 +122,7 @@ def coverage_by_vehicle(listings: DataFrame) -> DataFrame:
     """
     is_new = F.col("condition") == "new"
     return listings.groupBy(*VEHICLE_KEYS, "vehicle_year", "category").agg(
-        F.countDistinct("part_number").alias("nb_distinct_parts"),
+        _distinct("part_number", approx_rsd).alias("nb_distinct_parts"),
         _rows().alias("nb_listings"),
         rnd(F.avg("asking_price_eur"), 2).alias("avg_price"),
         _set_size("brand").alias("nb_brands"),
@@ -195,12 +200,13 @@ def mart_catalog_coverage(
 SUPPLIER_KEYS = ["supplier", "brand_type"]
 
 
-def supplier_catalog_perf(enriched: DataFrame) -> DataFrame:
+def supplier_catalog_perf(enriched: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Categories and brands are counted as sets, which their vocabularies bound."""
     multi_source = F.col("nb_sources") >= 2
     return enriched.where(F.col("supplier").isNotNull()).groupBy(*SUPPLIER_KEYS).agg(
-        F.countDistinct("part_number").alias("nb_unique_refs"),
-        F.countDistinct("category").alias("nb_categories"),
-        F.countDistinct("brand").alias("nb_brands"),
+        _distinct("part_number", approx_rsd).alias("nb_unique_refs"),
+        _set_size("category").alias("nb_categories"),
+        _set_size("brand").alias("nb_brands"),
         rnd(F.avg("price_eur"), 2).alias("avg_price"),
         rnd(F.avg("reliability_score"), 3).alias("avg_reliability_score"),
         F.count_if("is_available").alias("nb_available_refs"),
@@ -251,12 +257,13 @@ def mart_supplier_performance(enriched: DataFrame) -> DataFrame:
 # --- recall impact ----------------------------------------------------------
 
 
-def recall_summary(recalls: DataFrame) -> DataFrame:
+def recall_summary(recalls: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Models and years are counted as sets, which a maker's range bounds."""
     return recalls.groupBy("vehicle_make", "component_category", "severity").agg(
-        F.countDistinct("recall_id").alias("nb_recalls"),
+        _distinct("recall_id", approx_rsd).alias("nb_recalls"),
         F.sum("potentially_affected").alias("total_vehicles_affected"),
-        F.countDistinct("vehicle_model").alias("nb_models_affected"),
-        F.countDistinct("model_year").alias("nb_years_affected"),
+        _set_size("vehicle_model").alias("nb_models_affected"),
+        _set_size("model_year").alias("nb_years_affected"),
     )
 
 

@@ -260,3 +260,9 @@ def test_report_order(spark):
         "availability_rate_pct double, nb_unique_refs long")
     assert [r["supplier"] for r in serving.supplier_top10(suppliers).collect()] == [f"s{i}" for i in range(5, 15)]
     assert [tuple(r) for r in serving.supplier_quadrants(suppliers).collect()] == [("reliable/available", 15, 15)]
+
+
+def test_approximate_distinct_counts(spark):
+    market = offers(spark, *[{"part_number": f"n{i}"} for i in range(200)])
+    exact, close = (marts.coverage_by_vehicle(market, rsd).first()["nb_distinct_parts"] for rsd in (None, 0.02))
+    assert exact == 200 and abs(close - 200) <= 20
