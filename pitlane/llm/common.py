@@ -21,7 +21,6 @@ BATCH_BYTES = 16 << 20
 
 #: White space that separates words in all contracts of this package: space and the controls 9 to 13.
 WORD = "[^\\x20\\x09-\\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
 
 Work = Callable[[pa.RecordBatch], dict[str, list | pa.Array]]
 
