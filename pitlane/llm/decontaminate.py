@@ -38,7 +38,7 @@ WINDOW, ENOUGH, LEAST_WORDS = 8, 6, 5
 #: Buckets of the bitmap.
 BUCKETS = 1 << 20
 SALTS = 16
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 500_000
 
 #: Units, as words after a number.
 UNITS = frozenset(
@@ -57,6 +57,11 @@ Part = tuple[str, str, bool]
 
 def _chunk(chunk: str) -> tuple[list[Part], bool]:
     """The parts of what stands between blanks: template word, own word, capitalised; and whether it ends a sentence."""
+    word = chunk if chunk.isalpha() else chunk[:-1]
+    if word.isalpha() and (word is chunk or chunk[-1] in ",.;!?:"):
+        lower = word.lower()
+        title = len(word) > 1 and word[0].isupper() and word[1:].islower()
+        return [(lower, lower, title)], word is not chunk and chunk[-1] in ".!?:"
     parts = []
     for part in _PART.findall(chunk):
         if part[0].isdigit():
@@ -66,43 +71,99 @@ def _chunk(chunk: str) -> tuple[list[Part], bool]:
     return parts, _STOP.search(chunk) is not None
 
 
+class Words:
+    """The words of a text, looked up when asked for."""
+
+    def __init__(self, strings: list[str], index: np.ndarray):
+        self.strings, self.index = strings, index
+
+    def __len__(self) -> int:
+        return len(self.index)
+
+    def __getitem__(self, i: int) -> str:
+        return self.strings[self.index[i]]
+
+
 class Templates:
-    """Template words of texts, as hashes, with the fillings of slots."""
+    """Template words of texts, as hashes, with the fillings of slots.
 
-    def __init__(self):
-        self.cache: common.Recent[tuple[list[tuple[int, str, bool, str]], bool]] = common.Recent(CACHE_ENTRIES)
-        self.slots = {_hashed(s) for s in (NUM, UNIT, NAME)}
-        self.codes = {s: _hashed(s) for s in (NUM, UNIT, NAME)}
+    What stands between blanks is taken apart once and numbered; a text is then
+    an array of numbers, and slots are found in whole arrays. The numbering is
+    begun anew when it has grown to ``CACHE_ENTRIES``.
+    """
 
-    def chunk(self, chunk: str):
-        found = self.cache.get(chunk)
-        if found is None:
+    def __init__(self):
+        self.num, self.unit, self.name = (np.uint64(_hashed(s)) for s in (NUM, UNIT, NAME))
+        self._begin()
+
+    def _begin(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.strings: list[str] = []
+        # By chunk: its first part, number of parts, and whether it ends a sentence.
+        self.chunks = np.zeros((1024, 3), np.int64)
+        # By part: the hash of its template word; and whether it is a number, a unit's name, capitalised.
+        self.codes = np.zeros(1024, np.uint64)
+        self.kinds = np.zeros((1024, 3), bool)
+
+    def _number(self, new: list[str]) -> None:
+        """Number chunks that were not seen before, all at once."""
+        chunks, codes, kinds = [], [], []
+        at, n = len(self.strings), len(self.ids)
+        for chunk in new:
             parts, ends = _chunk(chunk)
-            found = [(_hashed(t), own, title, t) for t, own, title in parts], ends
-            if len(chunk) <= 64:
-                self.cache.put(chunk, found)
-        return found
-
-    def of(self, text: str) -> tuple[np.ndarray, list[str], np.ndarray]:
+            chunks.append((at, len(parts), ends))
+            at += len(parts)
+            for template, own, title in parts:
+                codes.append(_hashed(template))
+                kinds.append((template is NUM, own in UNITS, title))
+                self.strings.append(own)
+            self.ids[chunk] = len(self.ids)
+        while n + len(chunks) > len(self.chunks):
+            self.chunks = np.concatenate([self.chunks, np.zeros_like(self.chunks)])
+        while at > len(self.codes):
+            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
+        self.chunks[n : n + len(chunks)] = chunks
+        if codes:
+            self.codes[at - len(codes) : at] = np.array(codes, np.uint64)
+            self.kinds[at - len(codes) : at] = kinds
+
+    def of(self, text: str) -> tuple[np.ndarray, Words, np.ndarray]:
         """Hashes of the template words, the words themselves, and which are slots."""
-        codes, words = [], []
-        num, unit, name = (self.codes[s] for s in (NUM, UNIT, NAME))
+        if len(self.ids) > CACHE_ENTRIES:
+            self._begin()
+        chunks: list[str] = []
+        line_starts = []
         for line in text.split("\n"):
-            start, number = True, False
-            for chunk in line.split():
-                parts, ends = self.chunk(chunk)
-                for code, own, title, _ in parts:
-                    if title and not start:
-                        code = name
-                    elif number and own in UNITS:
-                        code = unit
-                    number = code == num
-                    codes.append(code)
-                    words.append(own)
-                    start = False
-                start = ends or (start and not parts)
-        array = np.array(codes, np.uint64)
-        return array, words, np.isin(array, np.array([num, unit, name], np.uint64))
+            line_starts.append(len(chunks))
+            chunks += line.split()
+        known = self.ids.get
+        ids = [known(c) for c in chunks]
+        if None in ids:
+            self._number(list(dict.fromkeys(c for c, i in zip(chunks, ids) if i is None)))
+            ids = [known(c) for c in chunks]
+        if not ids:
+            return np.zeros(0, np.uint64), Words(self.strings, np.zeros(0, np.int64)), np.zeros(0, bool)
+        first, n, ends = self.chunks[np.array(ids)].T
+        starts_line = np.zeros(len(ids) + 1, bool)
+        starts_line[line_starts] = True
+        starts_line = starts_line[:-1]
+        # A chunk begins a sentence at the start of a line, after a stop, or if all before it since then are empty.
+        begins = starts_line | np.concatenate(([True], ends[:-1] > 0))
+        settled = begins | np.concatenate(([True], n[:-1] > 0))
+        begins = begins[np.maximum.accumulate(np.where(settled, np.arange(len(ids)), 0))]
+
+        of_chunk = np.repeat(np.arange(len(ids)), n)
+        nth = np.arange(len(of_chunk)) - np.repeat(np.cumsum(n) - n, n)
+        part = first[of_chunk] + nth
+        number, named_unit, title = self.kinds[part].T
+        line = np.cumsum(starts_line)[of_chunk]
+        name = title & ~((nth == 0) & begins[of_chunk])
+        after_number = np.zeros(len(part), bool)
+        after_number[1:] = number[:-1] & (line[1:] == line[:-1])
+        unit = named_unit & after_number & ~name
+        codes = np.where(name, self.name, np.where(unit, self.unit, self.codes[part]))
+        return codes, Words(self.strings, part), number | name | unit
 
 
 def _hashed(word: str) -> int:
@@ -131,7 +192,7 @@ def _telling(slot: np.ndarray, size: int) -> np.ndarray:
     return 2 * (literal[size:] - literal[:-size]) >= size
 
 
-def _fillings(words: list[str], slot: np.ndarray, at: int, size: int) -> list[str]:
+def _fillings(words: Words, slot: np.ndarray, at: int, size: int) -> list[str]:
     return [words[i] for i in range(at, at + size) if slot[i]]
 
 

@@ -148,6 +148,36 @@ def test_parameters(spark):
     assert not _told(spark, "On monday Maria buys bread and milk, then walks home to see Peter who has a cold")
 
 
+def _slow_templates(text: str) -> list[tuple[str, str]]:
+    """Template word and word, one after another."""
+    out = []
+    for line in text.split("\n"):
+        start, number = True, False
+        for chunk in line.split():
+            parts, ends = decontaminate._chunk(chunk)
+            for template, own, title in parts:
+                if title and not start:
+                    template = decontaminate.NAME
+                elif number and own in decontaminate.UNITS:
+                    template = decontaminate.UNIT
+                number = template == decontaminate.NUM
+                out.append((template, own))
+                start = False
+            start = ends or (start and not parts)
+    return out
+
+
+def test_slots():
+    texts = [QUESTION, "", " ... \n", '5km 5 km. Km 5 Km "He said" -- Then. -- So 3\nkg 1,000.5 Kg it', *_documents().values()]
+    templates = decontaminate.Templates()
+    for text in texts:
+        codes, words, slot = templates.of(text)
+        slow = _slow_templates(text)
+        assert codes.tolist() == [decontaminate._hashed(t) for t, _ in slow]
+        assert [words[i] for i in range(len(words))] == [own for _, own in slow]
+        assert slot.tolist() == [t.startswith("<") for t, _ in slow]
+
+
 def test_every_alignment():
     """Window hashes against hashing each window alone."""
     import numpy as np
