@@ -4,8 +4,8 @@ Two models of character pairs are trained from labelled samples. Random: the
 values that the fixed patterns found in a sample of documents, and strings drawn
 from the alphabets of keys. Ordinary: the other words of those documents, alone
 and joined as identifiers are. A run of key characters is a secret if its
-log-likelihood ratio is above a threshold that at most one in
-``FALSE_ALARMS`` of the held-out ordinary samples passes.
+log-likelihood ratio is above a threshold between held-out samples of both
+kinds, which at most one in ``FALSE_ALARMS`` of the ordinary ones passes.
 
 Only the sample, of bounded size, comes to the driver. Scanning moves no row.
 
@@ -117,17 +117,23 @@ def _identifiers(rng: random.Random, words: list[str], n: int) -> list[str]:
 
 
 def train(random_values: list[str], ordinary_words: list[str]) -> Markov:
-    """The models and the threshold; a fifth of the ordinary samples is held out for the threshold."""
+    """The models and the threshold; a fifth of the samples of either kind is held out for the threshold.
+
+    It lies halfway between what one in ``FALSE_ALARMS`` ordinary samples passes
+    and what all but one in a hundred random ones pass, but not below the former.
+    """
     rng = random.Random(SEED)
     words = sorted(set(ordinary_words)) or list(KEYWORDS)
     ordinary = [w for w in words if len(w) >= SHORTEST] + _identifiers(rng, words, 2 * SAMPLE_STRINGS)
     keys = sorted(set(random_values)) + _drawn_keys(rng, SAMPLE_STRINGS)
-    learned = [o for i, o in enumerate(ordinary) if i % 5] + words
-    ratio = _counts(keys) - _counts(learned)
+    ratio = _counts([k for i, k in enumerate(keys) if i % 5]) - _counts(
+        [o for i, o in enumerate(ordinary) if i % 5] + words
+    )
     model = Markov(ratio, 0.0)
-    scores = sorted(model.score(o) for i, o in enumerate(ordinary) if i % 5 == 0)
-    passing = len(scores) // FALSE_ALARMS
-    return Markov(ratio, max(scores[-1 - passing] if scores else 0.0, 0.0) + 1.0)
+    scores, random_scores = (sorted(model.score(x) for x in side[::5]) for side in (ordinary, keys))
+    high = scores[-1 - len(scores) // FALSE_ALARMS] if scores else 0.0
+    low = random_scores[len(random_scores) // 100]
+    return Markov(ratio, max(high, (high + low) / 2) + 1e-9)
 
 
 def samples(documents: DataFrame) -> tuple[list[str], list[str]]:
