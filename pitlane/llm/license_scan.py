@@ -2,7 +2,8 @@
 
 Lines that hold a word of licences, with those close to them, form candidate
 blocks. A block is compressed plainly and with each template as a raw
-dictionary; templates are ranked by the bytes they save. In that order each is
+dictionary, in overlapping pieces short enough for the dictionary to tell;
+templates are ranked by the most bytes they save in a piece. In that order each is
 held against the block word by word: the first whose wording differs by no more
 than its allowance wins its stretch of the block. What is left of the block
 goes through the same again, so several licences in a block are all found.
@@ -37,6 +38,8 @@ ALLOWED, STRICT_WORDS = 10, 20
 SAVED = 25
 #: Lines between candidate lines that still belong to one block.
 GAP = 3
+#: Bytes of a piece besides twice the reach, so that the stretch around one licence word is one piece.
+PIECE_EDGE = 256
 
 _ANCHOR = re.compile(
     r"licen[sc]e|copyright|rights reserved|permission|warrant|redistribut|creative commons|public domain|\bcc by\b",
@@ -87,11 +90,15 @@ class Scanner:
             stretches.append([start, end])
         return [(s, e) for s, e in stretches]
 
+    def pieces(self, data: bytes) -> list[bytes]:
+        """``data`` in pieces that overlap by more than any template: the dictionary is of no use to longer ones."""
+        size, step = 2 * self.reach + PIECE_EDGE, max(self.reach, 1)
+        return [data[at : at + size] for at in range(0, max(len(data) - size, 0) + step, step)]
+
     def ranked(self, block: str) -> list[tuple[int, str]]:
-        """``(bytes saved, template)`` of templates that save enough, most first."""
-        data = block.encode()
-        plain = self.plain(data)
-        saved = [(plain - given(data), name) for name, given in self.given.items()]
+        """``(bytes saved, template)`` of templates that save enough in some piece, most first."""
+        pieces = [(piece, self.plain(piece)) for piece in self.pieces(block.encode())]
+        saved = [(max(plain - given(piece) for piece, plain in pieces), name) for name, given in self.given.items()]
         return sorted(
             ((n, name) for n, name in saved if 100 * n >= SAVED * self.own[name]), key=lambda x: (-x[0], x[1])
         )
