@@ -3,9 +3,10 @@
 Two models of character pairs are trained from labelled samples. Random: the
 values that the fixed patterns found in a sample of documents, and strings drawn
 from the alphabets of keys. Ordinary: the other words of those documents, alone
-and joined as identifiers are. A run of key characters is a secret if its
-log-likelihood ratio is above a threshold between held-out samples of both
-kinds, which at most one in ``FALSE_ALARMS`` of the ordinary ones passes.
+and joined as identifiers are, without those that already look random. A run
+of key characters is a secret if its log-likelihood ratio is above the threshold
+of its length, which lies between held-out samples of both kinds; at most one in
+``FALSE_ALARMS`` of the ordinary ones passes it.
 
 Only the sample, of bounded size, comes to the driver. Scanning moves no row.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +35,8 @@ SAMPLE_ROWS, SAMPLE_STRINGS = 2_000, 20_000
 FALSE_ALARMS = 10_000
 #: Shortest run of key characters that the models judge, and longest one used in training.
 SHORTEST, LONGEST = 16, 200
+#: Least lengths of the classes that have a threshold each, and how often the ordinary sample is cleaned.
+LENGTHS, CLEANINGS = (SHORTEST, 24, 32, 48), 2
 SEED = 7
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -64,23 +68,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _class(length: int) -> int:
+    """The class of a length: the last of ``LENGTHS`` that it reaches."""
+    return bisect_right(LENGTHS, length) - 1
+
+
 @dataclass
 class Markov:
-    """Log-likelihood ratios of character pairs, random against ordinary, and the threshold of their sum."""
+    """Log-likelihood ratios of character pairs, random against ordinary, and the threshold of their sum by length."""
 
     ratio: np.ndarray
-    threshold: float
+    thresholds: list[float]
 
-    def score(self, run: str) -> float:
+    @property
+    def threshold(self) -> float:
+        """The threshold of the shortest class."""
+        return self.thresholds[0]
+
+    def pairs(self, run: str) -> np.ndarray:
         codes = np.concatenate(([len(ALPHABET)], _CODES[np.frombuffer(run.encode("ascii"), np.uint8)]))
-        return float(self.ratio[codes[:-1], codes[1:]].sum())
+        return self.ratio[codes[:-1], codes[1:]]
+
+    def score(self, run: str) -> float:
+        return float(self.pairs(run).sum())
+
+    def best(self, run: str) -> tuple[int, int, float]:
+        """Start, end and score of the part of at least ``SHORTEST`` characters whose sum is greatest."""
+        total = np.concatenate(([0.0], np.cumsum(self.pairs(run))))
+        heads = total[: len(total) - SHORTEST]
+        sums = total[SHORTEST:] - np.minimum.accumulate(heads)
+        last = int(sums.argmax())
+        return int(heads[: last + 1].argmin()), last + SHORTEST, float(sums[last])
+
+    def passes(self, length: int, score: float) -> bool:
+        return score > self.thresholds[_class(length)]
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """All spans of the text: the fixed patterns', and runs above the threshold that touch none of them."""
         base = base_spans(text)
         own = []
         for m in RUN.finditer(text):
-            if self.score(m[0]) > self.threshold and not any(s < m.end() and m.start() < e for s, _, e in base):
+            if self.passes(len(m[0]), self.score(m[0])) and not any(s < m.end() and m.start() < e for s, _, e in base):
                 own.append((m.start(), 3, m.end()))
         return sorted(base + own)
 
@@ -117,23 +145,42 @@ def _identifiers(rng: random.Random, words: list[str], n: int) -> list[str]:
 
 
 def train(random_values: list[str], ordinary_words: list[str]) -> Markov:
-    """The models and the threshold; a fifth of the samples of either kind is held out for the threshold.
+    """The models and the thresholds; a fifth of the samples of either kind is held out for the thresholds.
 
-    It lies halfway between what one in ``FALSE_ALARMS`` ordinary samples passes
-    and what all but one in a hundred random ones pass, but not below the former.
+    Words of documents whose best part scores half as much as random strings do may
+    be unlabelled secrets; they are taken out of the ordinary sample, and the models fitted
+    again. Thresholds are set for classes of length, each halfway between
+    what one in ``FALSE_ALARMS`` ordinary samples passes and what all but one in a
+    hundred random ones pass, but not below the former.
     """
     rng = random.Random(SEED)
     words = sorted(set(ordinary_words)) or list(KEYWORDS)
-    ordinary = [w for w in words if len(w) >= SHORTEST] + _identifiers(rng, words, 2 * SAMPLE_STRINGS)
     keys = sorted(set(random_values)) + _drawn_keys(rng, SAMPLE_STRINGS)
-    ratio = _counts([k for i, k in enumerate(keys) if i % 5]) - _counts(
-        [o for i, o in enumerate(ordinary) if i % 5] + words
-    )
-    model = Markov(ratio, 0.0)
-    scores, random_scores = (sorted(model.score(x) for x in side[::5]) for side in (ordinary, keys))
-    high = scores[-1 - len(scores) // FALSE_ALARMS] if scores else 0.0
-    low = random_scores[len(random_scores) // 100]
-    return Markov(ratio, max(high, (high + low) / 2) + 1e-9)
+    by_class = [[k for k in keys[::5] if _class(len(k)) == c] for c in range(len(LENGTHS))]
+    of_keys = _counts([k for i, k in enumerate(keys) if i % 5])
+    for last in [False] * CLEANINGS + [True]:
+        made = _identifiers(random.Random(SEED), words, 2 * SAMPLE_STRINGS)
+        ordinary = [w for w in words if len(w) >= SHORTEST] + made
+        model = Markov(of_keys - _counts([o for i, o in enumerate(ordinary) if i % 5] + words), [])
+        lows = []
+        for members in by_class:
+            scores = sorted(model.score(k) for k in members)
+            lows.append(max([scores[len(scores) // 100] if scores else 0.0, *lows[-1:]]))
+        if not last:
+            words = [w for w in words if len(w) < SHORTEST or not _like_random(model, w, lows)] or list(KEYWORDS)
+    parts = [(_class(end - start), score) for start, end, score in map(model.best, ordinary[::5])]
+    high = 0.0
+    for c, low in enumerate(lows):
+        scores = sorted(score for of, score in parts if of == c)
+        high = max([high, *scores[-1 - len(scores) // FALSE_ALARMS :][:1]])
+        model.thresholds.append(max(high, (high + low) / 2) + 1e-9)
+    return model
+
+
+def _like_random(model: Markov, word: str, lows: list[float]) -> bool:
+    """Whether a word's best part is nearer to what all but one in a hundred random strings score than to nothing."""
+    start, end, score = model.best(word)
+    return 2 * score > lows[_class(end - start)]
 
 
 def samples(documents: DataFrame) -> tuple[list[str], list[str]]:

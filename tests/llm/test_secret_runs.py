@@ -1,0 +1,40 @@
+"""Secret models trained on documents that hold unlabelled tokens."""
+
+from __future__ import annotations
+
+import random
+import string
+
+import pyarrow.parquet as pq
+import pytest
+
+from pitlane.llm import secret_scan
+
+LETTERS = string.ascii_letters + string.digits
+
+
+def _key(rng: random.Random, n: int) -> str:
+    return "".join(rng.choices(LETTERS, k=n))
+
+
+@pytest.fixture(scope="module")
+def words():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    found = set()
+    for text in texts:
+        spans = secret_scan.base_spans(text or "")
+        for m in secret_scan.WORDS.finditer(text or ""):
+            if not any(s < m.end() and m.start() < e for s, _, e in spans):
+                found.add(m[0][: secret_scan.LONGEST])
+    return sorted(found)[:20_000]
+
+
+@pytest.mark.parametrize("n_tokens", [0, 10, 200])
+def test_unlabelled_tokens_do_not_switch_the_models_off(words, n_tokens):
+    rng = random.Random(11)
+    model = secret_scan.train([], words + [_key(rng, 40) for _ in range(n_tokens)])
+    for low, high in ((16, 23), (24, 31), (32, 47), (48, 64)):
+        keys = [_key(rng, rng.randint(low, high)) for _ in range(300)]
+        assert sum(model.spans(f"x {k} y") == [(2, 3, 2 + len(k))] for k in keys) >= 290
+    names = secret_scan._identifiers(rng, words, 3000)
+    assert sum(bool(model.spans(n)) for n in names) <= 3 + sum(bool(secret_scan.base_spans(n)) for n in names)
