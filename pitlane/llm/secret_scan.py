@@ -3,9 +3,10 @@
 Two models of character pairs are trained from labelled samples. Random: the
 values that the fixed patterns found in a sample of documents, and strings drawn
 from the alphabets of keys. Ordinary: the other words of those documents, alone
-and joined as identifiers are, without those that already look random. A run
-of key characters is a secret if its log-likelihood ratio is above the threshold
-of its length, which lies between held-out samples of both kinds; at most one in
+and joined as identifiers are, without those that already look random. In a run
+of key characters, less what the fixed patterns found, the part whose
+log-likelihood ratio is greatest is a secret if that is above the threshold of
+its length, which lies between held-out samples of both kinds; at most one in
 ``FALSE_ALARMS`` of the ordinary ones passes it.
 
 Only the sample, of bounded size, comes to the driver. Scanning moves no row.
@@ -37,6 +38,8 @@ FALSE_ALARMS = 10_000
 SHORTEST, LONGEST = 16, 200
 #: Least lengths of the classes that have a threshold each, and how often the ordinary sample is cleaned.
 LENGTHS, CLEANINGS = (SHORTEST, 24, 32, 48), 2
+#: Characters that part the words of paths and identifiers.
+MARKS = "/_=-+"
 SEED = 7
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -103,16 +106,48 @@ class Markov:
     def passes(self, length: int, score: float) -> bool:
         return score > self.thresholds[_class(length)]
 
+    def found(self, run: str) -> list[tuple[int, int]]:
+        """The secrets of a run: all of it, or its best parts, up to the marks that part words."""
+        spans, todo = [], [(0, len(run))]
+        while todo:
+            low, high = todo.pop()
+            if high - low < SHORTEST:
+                continue
+            start, end, score = self.best(run[low:high])
+            if not self.passes(end - start, score):
+                continue
+            if self.passes(high - low, self.score(run[low:high])):
+                spans.append((low, high))
+                continue
+            start, end = low + start, low + end
+            while start > low and run[start - 1] not in MARKS:
+                start -= 1
+            while end < high and run[end] not in MARKS:
+                end += 1
+            spans.append((start, end))
+            todo += [(low, start), (end, high)]
+        return sorted(spans)
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
-        """All spans of the text: the fixed patterns', and runs above the threshold that touch none of them."""
+        """All spans of the text: the fixed patterns', and what the models find in runs outside of them."""
         base = base_spans(text)
         own = []
         for m in RUN.finditer(text):
-            if self.passes(len(m[0]), self.score(m[0])) and not any(s < m.end() and m.start() < e for s, _, e in base):
-                own.append((m.start(), 3, m.end()))
+            for low, high in _left_of(m.start(), m.end(), base):
+                own += [(low + s, 3, low + e) for s, e in self.found(text[low:high])]
         return sorted(base + own)
 
 
+def _left_of(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What is left of a stretch outside of ``spans``, which are sorted, in parts of at least ``SHORTEST``."""
+    left, at = [], start
+    for s, _, e in spans:
+        if e > at and s < end:
+            left.append((at, s))
+            at = e
+    return [(s, e) for s, e in [*left, (at, end)] if e - s >= SHORTEST]
+
+
 def _counts(samples: list[str]) -> np.ndarray:
     n = len(ALPHABET) + 1
     counts = np.full((n, n), 0.5)
