@@ -14,8 +14,8 @@ Joined rows are spread over ``SALTS`` shares of a window, so a passage in a
 third of all documents doesn't meet in one task.
 
 Nulls: null texts have no windows; null ids are kept. Repeated documents give
-one row for each item and (``doc_id``, text); equal templates of items count as
-the one of least id. Windows with fewer than half literal words, and items with
+one row for each item and (``doc_id``, text). Items of equal templates are joined
+once, and each of their fillings is tested; every item gets its rows. Windows with fewer than half literal words, and items with
 fewer than ``LEAST_WORDS`` words, are no evidence. Other columns are not read.
 Either table may be empty; the result then is.
 """
@@ -197,14 +197,19 @@ def _fillings(words: Words, slot: np.ndarray, at: int, size: int) -> list[str]:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, template, n_windows, size, item_at, window, fillings``, one row for each window of each item."""
+    """One row for each window of each item.
+
+    ``item_id, template, variant, n_windows, size, nth, item_at, window, fillings``; ``variant`` is a hash of all
+    fillings, ``nth`` numbers the item's windows.
+    """
 
     def start() -> common.Work:
         templates = Templates()
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {name: [] for name in
-                                    ("item_id", "template", "n_windows", "size", "item_at", "window", "fillings")}
+                                    ("item_id", "template", "variant", "n_windows", "size", "nth", "item_at", "window",
+                                     "fillings")}
             for item, text in zip(batch.column("item_id").to_pylist(), common.texts(batch), strict=True):
                 codes, words, slot = templates.of(text)
                 if len(codes) < LEAST_WORDS:
@@ -213,10 +218,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 hashes, telling = rolled(codes, size).view(np.int64), _telling(slot, size)
                 places = np.flatnonzero(telling).tolist()
                 template = xxhash.xxh64_intdigest(codes.tobytes()) - (1 << 63)
-                for at in places:
+                variant = xxhash.xxh64_intdigest("\n".join(_fillings(words, slot, 0, len(codes)))) - (1 << 63)
+                for nth, at in enumerate(places):
                     for name, value in (
-                        ("item_id", item), ("template", template), ("n_windows", len(places)), ("size", size),
-                        ("item_at", at), ("window", int(hashes[at])), ("fillings", _fillings(words, slot, at, size)),
+                        ("item_id", item), ("template", template), ("variant", variant), ("n_windows", len(places)),
+                        ("size", size), ("nth", nth), ("item_at", at), ("window", int(hashes[at])), ("fillings", _fillings(words, slot, at, size)),
                     ):
                         out[name].append(value)
             return out
@@ -225,8 +231,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
     read = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     return common.map_batches(
-        read, "item_id bigint, template bigint, n_windows int, size int, item_at int, window bigint, "
-        "fillings array<string>", start,
+        read, "item_id bigint, template bigint, variant bigint, n_windows int, size int, nth int, item_at int, "
+        "window bigint, fillings array<string>", start,
     )
 
 
@@ -265,44 +271,63 @@ def document_windows(documents: DataFrame, sizes: list[int], bitmap: np.ndarray)
     )
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each contaminated document and item: ``doc_id, text_key, item_id, n_matched, n_windows, n_slots``.
+def _salted(small: DataFrame) -> DataFrame:
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    ``text_key`` is ``xxhash64`` of the text; with ``doc_id`` it names a
-    document even if ids repeat.
+
+def _matched(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """``salt, doc_id, text_key, template, variant, n_matched, n_windows, n_slots``: consistent alignments.
+
+    Windows meet one row for each template and place; the fillings of every
+    variant of the template are then held against the document's.
     """
-    items = shared.store(benchmark_windows(benchmark), "benchmark_windows")
-    one_each = items.groupBy("template").agg(F.min("item_id").alias("least_id"))
-    items = items.join(one_each, "template").filter(F.col("item_id").eqNullSafe(F.col("least_id"))).dropDuplicates(
-        ["template", "item_at"]
-    ).drop("least_id")
+    places = items.dropDuplicates(["template", "nth"]).select("template", "n_windows", "nth", "item_at", "window", "size")
     # At most BUCKETS numbers and WINDOW sizes reach the driver, however large the benchmark is.
     bitmap = np.zeros(BUCKETS, bool)
-    bitmap[[r[0] for r in items.select(F.expr(f"window & {BUCKETS - 1}").cast("int")).distinct().collect()]] = True
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())
+    bitmap[[r[0] for r in places.select(F.expr(f"window & {BUCKETS - 1}").cast("int")).distinct().collect()]] = True
+    sizes = sorted(r[0] for r in places.select("size").distinct().collect())
     windows = document_windows(documents, sizes, bitmap).withColumn(
         "salt", F.pmod("text_key", F.lit(SALTS)).cast("int")
     )
-    salted = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    aligned = windows.join(salted, ["window", "salt"]).groupBy(
-        "doc_id", "text_key", "template", "item_id", "n_windows", (F.col("doc_at") - F.col("item_at")).alias("shift")
+    aligned = windows.join(_salted(places.drop("size")), ["window", "salt"]).groupBy(
+        "salt", "doc_id", "text_key", "template", "n_windows", (F.col("doc_at") - F.col("item_at")).alias("shift")
     ).agg(
-        F.count_distinct("item_at").alias("n_matched"),
-        F.array_distinct(F.flatten(F.collect_set(
-            F.zip_with("fillings", "filled", lambda item, doc: F.struct(item.alias("item"), doc.alias("doc")))
-        ))).alias("slots"),
+        F.count_distinct("nth").alias("n_matched"),
+        F.collect_set(F.struct("nth", "filled")).alias("met"),
+    ).filter(F.col("n_matched") >= F.least(F.lit(ENOUGH), F.col("n_windows")))
+    variants = items.dropDuplicates(["template", "variant", "nth"]).groupBy("template", "variant").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("nth", "fillings"))), lambda x: x["fillings"]).alias("given")
+    )
+    told = aligned.join(_salted(variants), ["template", "salt"]).withColumn(
+        "slots", F.array_distinct(F.flatten(F.transform("met", lambda m: F.zip_with(
+            F.col("given")[m["nth"]], m["filled"], lambda item, doc: F.struct(item.alias("item"), doc.alias("doc"))
+        ))))
+    )
+    return told.filter(F.size("slots") == F.size(F.array_distinct(F.col("slots.item")))).select(
+        "salt", "doc_id", "text_key", "template", "variant", "n_matched", "n_windows", F.size("slots").alias("n_slots")
     )
-    consistent = F.size("slots") == F.size(F.array_distinct(F.col("slots.item")))
-    enough = F.col("n_matched") >= F.least(F.lit(ENOUGH), F.col("n_windows"))
-    return aligned.filter(consistent & enough).groupBy("doc_id", "text_key", "item_id", "template").agg(
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row for each contaminated document and item: ``doc_id, text_key, item_id, n_matched, n_windows, n_slots``.
+
+    ``text_key`` is ``xxhash64`` of the text; with ``doc_id`` it names a
+    document even if ids repeat.
+    """
+    items = shared.store(benchmark_windows(benchmark), "benchmark_windows")
+    named = items.select("template", "variant", "item_id").distinct()
+    return _matched(documents, items).join(_salted(named), ["template", "variant", "salt"]).groupBy(
+        "doc_id", "text_key", "item_id", "template"
+    ).agg(
         F.max("n_matched").alias("n_matched"), F.max("n_windows").cast("bigint").alias("n_windows"),
-        F.max(F.size("slots")).cast("bigint").alias("n_slots"),
+        F.max("n_slots").cast("bigint").alias("n_slots"),
     ).drop("template")
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
-    found = contaminated(documents, benchmark).select(
+    items = shared.store(benchmark_windows(benchmark), "benchmark_windows")
+    found = _matched(documents, items).select(
         F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")
     ).distinct()
     match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_found_id")) & (F.xxhash64("text") == F.col("_found_key"))
