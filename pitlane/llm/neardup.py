@@ -21,7 +21,8 @@ A pair at the similarity of 0.75 differs in 12 positions on average; more than
 ``DISTANCE`` of 48 has odds of about 1 in 7,000, and far less above 0.75.
 
 Nulls and empty texts have an empty set and are linked with nothing. Documents
-without ``doc_id`` are linked with nothing, have no component and are kept.
+without ``doc_id`` are linked with nothing, have no component and are kept, but
+for copies of another row (``without_near_duplicates``).
 Repeated rows get equal results. Other columns are not read. An empty table
 gives an empty result. Very long texts are hashed as whole arrays.
 """
@@ -262,11 +263,15 @@ def fine_signatures(texts: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
-    return decided(documents).drop("text_key")
+    return decided(documents).drop("text_key", "class", "label")
 
 
 def decided(documents: DataFrame) -> DataFrame:
-    """``near_duplicates`` with ``text_key``, ``xxhash64`` of the text, which tells rows of one id apart."""
+    """``near_duplicates`` with ``text_key``, ``class`` and ``label``.
+
+    ``text_key`` is ``xxhash64`` of the text and tells rows of one id apart; ``label`` is the component of the class,
+    null if no row of the class has an id.
+    """
     listed = shared.store(classified(documents), "classified")
     classes = shared.store(
         listed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull()).groupBy("class").agg(
@@ -315,21 +320,39 @@ def decided(documents: DataFrame) -> DataFrame:
         "class", "least_id", F.coalesce("label", "class").alias("label")
     )
     least = of_class.groupBy("label").agg(F.min("least_id").alias("of_component"))
-    named = shared.store(of_class.join(least, "label").select("class", "of_component"), "component_of_class")
+    named = shared.store(of_class.join(least, "label").select("class", "label", "of_component"), "component_of_class")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_component", "doc_id"))
     return listed.join(named, "class", "left").select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "class", "label",
     )
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns."""
-    dropped = decided(documents).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key")
-    ).distinct()
-    match = (F.col("doc_id").cast("bigint") == F.col("_dropped_id")) & (F.xxhash64("text") == F.col("_dropped_key"))
-    return documents.join(dropped, match, "left_anti")
+    """One row of each component, with all its columns; rows of empty sets are kept.
+
+    Rows repeated with one id, near copies that share an id, and rows without
+    id whose shingle set another row has, count as copies too. A class without
+    any id is a component of its own. Keys of rows are aggregated before they are
+    dealt out, and only rows of a repeated key move with their texts.
+    """
+    keys = shared.store(
+        decided(documents).filter(F.col("class").isNotNull()).groupBy(
+            F.coalesce("label", "class").alias("component"), "doc_id", "text_key"
+        ).agg(F.count("*").alias("n")),
+        "component_keys",
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    chosen = keys.groupBy("component").agg(F.min(order).alias("first"))
+    judged = keys.join(chosen, "component").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n", (order == F.col("first")).alias("first")
+    )
+    judged = shared.store(judged.filter(~F.col("first") | (F.col("n") > 1)), "component_rows")
+    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    apart = documents.join(judged.select("_id", "_key"), match, "left_anti")
+    own = {"_own_id": F.col("doc_id").cast("bigint"), "_own_key": F.xxhash64("text")}
+    repeated = documents.join(judged.filter("first").select("_id", "_key"), match, "left_semi").withColumns(own)
+    return apart.unionByName(repeated.dropDuplicates([*own]).drop(*own))
 
 
 SQL = """
