@@ -7,6 +7,7 @@ import tempfile
 import unicodedata
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -55,20 +56,49 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Work]) -> DataFrame:
-    """``df`` through Python, a bounded batch at a time; ``start`` runs once in each task."""
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of so many rows for what runs inside: for rows of a few numbers."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Work], rows: int = BATCH_ROWS) -> DataFrame:
+    """``df`` through Python, a bounded batch at a time; ``start`` runs once in each task.
+
+    ``rows`` above ``BATCH_ROWS`` joins batches in the worker, as long as ``BATCH_BYTES`` allow.
+    """
     small_batches(df.sparkSession)
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in batches if rows <= BATCH_ROWS else joined(batches, rows):
             yield pa.RecordBatch.from_pydict(work(batch), schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, of at most ``rows`` rows and ``BATCH_BYTES`` bytes unless one alone has more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and (
+            sum(b.num_rows for b in held) + batch.num_rows > rows or sum(b.nbytes for b in held) + batch.nbytes > BATCH_BYTES
+        ):
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null is the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]

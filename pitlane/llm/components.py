@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pitlane.sources import shared
@@ -17,10 +17,15 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _digest(edges: DataFrame) -> tuple:
-    """Tells two sets of edges apart without comparing them row by row."""
+def _stored(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """Edges written once, and what tells two sets of them apart, taken while writing."""
+    seen = Observation()
     row = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(row), F.sum(row % 1_000_003)).first())
+    watched = edges.observe(
+        seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("mixed"), F.sum(row % 1_000_003).alias("total")
+    )
+    out = shared.store(watched, name)
+    return out, tuple(seen.get[k] for k in ("n", "mixed", "total"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,28 +35,33 @@ def components(edges: DataFrame) -> DataFrame:
     does the same among the smaller ones. Paths shorten by half, so rounds are
     few; each round's edges are stored, which cuts the lineage. The lookups of
     a node's least neighbour are stored as well, so that a node with many edges
-    can be split by the adaptive join.
+    can be split by the adaptive join. Rounds end when the first half changes
+    nothing and each node hangs on one other only.
     """
-    edges = shared.store(
+    edges, known = _stored(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    while True:
+    while known[0]:
         both = _both(edges)
         least = shared.store(_least(both), "least")
         large = both.join(least, F.col("a") == F.col("node")).filter("b > a").select(
             F.col("b").alias("a"), F.col("least").alias("b")
         )
         # Nodes that are the least of all around them keep no edge of their own.
-        large = shared.store(large.filter("a <> b").distinct(), "large_star")
-        least = shared.store(large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
+        large, found = _stored(large.filter("a <> b").distinct(), "large_star")
+        seen = Observation()
+        least = shared.store(
+            large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"), F.count("*").alias("n"))
+            .observe(seen, F.max("n").alias("most")),
+            "least",
+        )
+        if found == known and seen.get["most"] == 1:
+            break
         hung = large.join(least, F.col("a") == F.col("node")).select(
             F.explode(F.array(
                 F.struct(F.col("a"), F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b"))
             )).alias("e")
         ).select("e.a", "e.b")
-        after = shared.store(hung.filter("a <> b").distinct(), "small_star")
-        if _digest(after) == _digest(edges):
-            break
-        edges = after
-    labels = after.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return labels.unionAll(after.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+        edges, known = _stored(hung.filter("a <> b").distinct(), "small_star")
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    return labels.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

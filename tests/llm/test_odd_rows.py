@@ -7,10 +7,12 @@ import pytest
 
 import corpus_pipeline
 from pitlane.llm import (
-    bpe, decontaminate, license_scan, line_quality, neardup, secret_scan, sharding, text_quality, token_counts, toxicity,
+    ball_tree, bpe, decontaminate, license_scan, line_quality, neardup, secret_scan, sharding, simhash_grid, text_quality,
+    token_alignment, token_counts, toxicity,
 )
 
 BYTES, LOWER = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PER_DOCUMENT = {
     "license": license_scan.licenses,
     "line_quality": line_quality.line_quality,
@@ -22,6 +24,8 @@ PER_DOCUMENT = {
     "near": neardup.near_duplicates,
     "bpe": lambda d: bpe.encode_and_decode(d, LOWER),
     "ids": lambda d: bpe.encoded(d, LOWER),
+    "simhash": simhash_grid.near_duplicates,
+    "alignment": lambda d: token_alignment.alignment(d, BYTES, PIECES),
 }
 
 
@@ -49,6 +53,17 @@ def test_defined_results(odd_documents):
     assert by_id(secret_scan.scan(odd_documents))[9].n_assign == 1
 
 
+def test_ranked(spark, odd_documents, no_documents):
+    items = spark.createDataFrame(
+        [(1, None), (None, ""), (2, "same text here"), (3, "zzz"), (None, "ABCDEF123"), (2, "same text here")],
+        "item_id long, text string",
+    )
+    found = [tuple(r) for r in ball_tree.ranked(odd_documents, items).select("item_id", "rank", "doc_id").collect()]
+    assert sorted(found, key=str) == [(2, 1, 7), (2, 2, 7), (None, 1, 9)]
+    assert ball_tree.ranked(no_documents, items).count() == 0
+    assert ball_tree.ranked(odd_documents, items.limit(0)).count() == 0
+
+
 def test_contaminated(spark, odd_documents, no_documents):
     items = spark.createDataFrame([(1, None), (None, ""), (2, "same text here for both of them"), (3, "no")],
                                   "item_id long, text string")
