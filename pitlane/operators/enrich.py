@@ -22,7 +22,7 @@ def int_price_stats(catalog: DataFrame, **quantile_options) -> DataFrame:
     ]
     return aggregate_with_quantiles(
         catalog.where(F.col("price_eur").isNotNull()), STATS_KEYS, moments, "price_eur",
-        {"q1": 0.25, "median_price": 0.5, "q3": 0.75}, **quantile_options,
+        {"q1": 0.25, "median_price": 0.5, "q3": 0.75}, spread_by=["part_id"], **quantile_options,
     ).select(*STATS_KEYS, "q1", "median_price", "q3", "avg_price", "stddev_price", "parts_count")
 
 

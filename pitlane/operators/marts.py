@@ -40,7 +40,7 @@ def pricing_catalog_side(enriched: DataFrame, **quantile_options) -> DataFrame:
             F.count_if("is_price_outlier").alias("nb_price_outliers"),
             F.count_if(F.col("nb_sources") >= 2).alias("nb_multi_source_refs"),
         ],
-        "price_eur", {"catalog_median_price": 0.5}, **quantile_options,
+        "price_eur", {"catalog_median_price": 0.5}, spread_by=["part_id"], **quantile_options,
     ).withColumn("catalog_median_price", rnd("catalog_median_price", 2))
 
 
@@ -58,7 +58,7 @@ def pricing_market_side(listings: DataFrame, **quantile_options) -> DataFrame:
             F.count_if(F.col("condition") == "new").alias("nb_new_condition"),
             F.count_if(F.col("condition") == "reconditioned").alias("nb_reconditioned"),
         ],
-        "asking_price_eur", {"market_median_price": 0.5}, **quantile_options,
+        "asking_price_eur", {"market_median_price": 0.5}, spread_by=["listing_id"], **quantile_options,
     ).withColumn("market_median_price", rnd("market_median_price", 2))
 
 

@@ -25,7 +25,7 @@ def mart_market_pricing_local(parts: DataFrame, listings: DataFrame, **quantile_
             rnd(F.max("price_eur"), 2).alias("catalog_max_price"),
             rnd(F.avg("quality_score"), 3).alias("avg_quality_score"),
         ],
-        "price_eur", {"catalog_median": 0.5}, **quantile_options,
+        "price_eur", {"catalog_median": 0.5}, spread_by=["part_id"], **quantile_options,
     )
     market = aggregate_with_quantiles(
         listings,
@@ -37,7 +37,7 @@ def mart_market_pricing_local(parts: DataFrame, listings: DataFrame, **quantile_
             rnd(F.avg("days_to_sell"), 1).alias("avg_days_to_sell"),
             F.count_if("is_fast_sale").alias("nb_fast_sales"),
         ],
-        "asking_price_eur", {"market_median": 0.5}, **quantile_options,
+        "asking_price_eur", {"market_median": 0.5}, spread_by=["listing_id"], **quantile_options,
     )
     zero = {"nb_references": "nb_catalog_references", "nb_available": "nb_catalog_available",
             "nb_listings": "nb_market_listings", "nb_fast_sales": "nb_fast_sales"}

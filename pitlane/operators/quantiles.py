@@ -1,42 +1,39 @@
-"""Exact quantiles per group, next to ordinary aggregates.
+"""Exact quantiles per group from one range exchange, next to ordinary aggregates.
 
 ``percentile`` keeps every distinct value of a group in one task's memory. The
 groups here are few (category x brand type), so that state would grow with the
-table. The rank is narrowed down in steps instead, each a plain aggregation:
-
-1. count rows per (group, value), combined before the shuffle;
-2. count per coarse band of values and find the band holding each rank;
-3. cut those bands into equal strips and find the strip;
-4. walk the distinct values of that strip.
-
-NaN sorts above all numbers and has a band of its own, infinities share the
-outermost ones.
-
-Every window below runs over a bounded number of rows: 4,096 coarse bands per
-factor e of the value range, 2^20 strips per band, and, since a strip spans a
-factor of about 1 + 2^-32 and doubles have at most 2^53 values per factor e,
-some two million distinct doubles per strip. None of the bounds depends on the
-number of rows, however they are distributed. (Values nearer to zero than
-10^-6, which no price is, share a band: still exact, but not split further.)
+table. Order statistics are read off a sorted table instead:
+
+1. Rows, cut down to keys and value, are range-partitioned and sorted by keys,
+   then value. That is the only exchange that moves rows. Each gets its place:
+   the partition's number and, below it, the row's number there.
+2. A group fills a stretch of places in each partition it is in. Stretches are
+   counted, and running sums over a group's stretches give the rank each begins
+   with. A group has at most one stretch for each partition.
+3. So the rank that a quantile needs names one place, and the row at that place
+   has the value. Places are few, two for each quantile of a group.
+
+The sorted rows and the wanted places are stored in the shared folder, since
+bounds of a range exchange are drawn anew each time it is planned.
+
+Equal values lie side by side, so a value that very many rows share would fill
+one partition. ``spread_by`` names columns that tell such rows apart.
+
+NaN sorts above all numbers; nulls are left out.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.operators.lookup import join_groups
-
-_BANDS_PER_E = 4096.0
-_STRIPS = float(2**20)
-_LAST_BAND = 2**62
+from pitlane.sources import shared
 
 
 def aggregate_with_quantiles(
     df: DataFrame, keys: list[str], aggregates: list[Column], value: str, probs: dict[str, float],
-    approx_accuracy: int | None = None,
+    approx_accuracy: int | None = None, spread_by: list[str] | None = None,
 ) -> DataFrame:
     """``aggregates`` per group and quantiles of ``value`` with linear interpolation, nulls ignored.
 
@@ -44,47 +41,41 @@ def aggregate_with_quantiles(
     approximate quantiles.
     """
     if approx_accuracy is None:
-        return join_groups(df.groupBy(*keys).agg(*aggregates), quantiles_by_steps(df, keys, value, probs), keys)
+        return join_groups(df.groupBy(*keys).agg(*aggregates), quantiles_by_range(df, keys, value, probs, spread_by), keys)
     quantiles = F.percentile_approx(value, list(probs.values()), approx_accuracy)
     grouped = df.groupBy(*keys).agg(*aggregates, quantiles.alias("_q"))
     return grouped.withColumns({name: F.col("_q")[i] for i, name in enumerate(probs)}).drop("_q")
 
 
-def quantiles_by_steps(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    rows = df.where(F.col(value).isNotNull())
-    v, n = F.col("_v"), F.sum("_n").alias("_n")
-    counts = rows.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-
-    # Any non-decreasing function of the value serves as a band.
-    number = F.floor(F.signum(v) * F.log1p(F.abs(v) * 1000.0) * _BANDS_PER_E)
-    band = F.when(F.isnan(v), F.lit(_LAST_BAND)).otherwise(F.least(number, F.lit(_LAST_BAND - 1))).alias("_band")
-    banded = counts.select(*keys, "_v", "_n", band)
-    bands = banded.groupBy(*keys, "_band").agg(n, F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    whole = _by(keys, "_band").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bands = bands.select(
-        "*", F.sum("_n").over(whole).alias("_total"), _before(keys, "_band", F.lit(0)).alias("_start")
+def ranked_values(df: DataFrame, keys: list[str], value: str, spread_by: list[str] | None = None) -> DataFrame:
+    """``keys, _v, _at``: values in the order of ``_at`` within their group, and all over the table."""
+    rows = df.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("_v"), F.xxhash64(*(spread_by or [F.lit(0)])).alias("_spread")
     )
-    hit_bands = bands.where(_holds_any(probs)).drop("_n")
+    placed = rows.repartitionByRange(*keys, "_v", "_spread").sortWithinPartitions(*keys, "_v")
+    return shared.store(placed.select(*keys, "_v", F.monotonically_increasing_id().alias("_at")), "ranked_values")
 
-    width = F.col("_hi") - F.col("_lo")
-    strip = F.when(width > 0, F.floor((v - F.col("_lo")) / width * _STRIPS)).otherwise(F.lit(0))
-    striped = join_groups(banded, hit_bands, [*keys, "_band"], "inner").select(
-        *keys, "_band", strip.alias("_strip"), "_v", "_n", "_start", "_total"
-    )
-    strips = striped.groupBy(*keys, "_band", "_strip").agg(
-        n, F.max("_start").alias("_start"), F.max("_total").alias("_total")
-    )
-    in_band = [*keys, "_band"]
-    strips = strips.withColumn("_start", _before(in_band, "_strip", F.col("_start")))
-    hit_strips = strips.where(_holds_any(probs)).drop("_n", "_total")
 
-    in_strip = [*in_band, "_strip"]
-    values = join_groups(striped.drop("_start"), hit_strips, in_strip, "inner").withColumn(
-        "_start", _before(in_strip, "_v", F.col("_start"))
+def quantiles_by_range(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], spread_by: list[str] | None = None
+) -> DataFrame:
+    ranked = ranked_values(df, keys, value, spread_by)
+    part = F.shiftright("_at", 33)
+    stretches = ranked.groupBy(*keys, part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.select(
+        "*", F.sum("_n").over(group).alias("_total"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    ends = values.groupBy(*keys).agg(
-        *[F.max(F.when(_holds(_lower(p)), v)).alias(f"_lower_{name}") for name, p in probs.items()],
-        *[F.max(F.when(_holds(_upper(p)), v)).alias(f"_upper_{name}") for name, p in probs.items()],
+    wanted = F.array_distinct(F.array(*[end(p) for p in probs.values() for end in (_lower, _upper)]))
+    here = F.filter(wanted, lambda rank: (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n")))
+    places = stretches.select("_first", "_start", "_total", F.explode(here).alias("_rank"))
+    places = shared.store(
+        places.select((F.col("_first") + F.col("_rank") - F.col("_start")).alias("_at"), "_rank", "_total"), "wanted_places"
+    )
+    ends = ranked.join(places, "_at").groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_rank") == _lower(p), F.col("_v"))).alias(f"_lower_{name}") for name, p in probs.items()],
+        *[F.max(F.when(F.col("_rank") == _upper(p), F.col("_v"))).alias(f"_upper_{name}") for name, p in probs.items()],
         F.max("_total").alias("_total"),
     )
     return ends.select(*keys, *[_interpolate(name, p).alias(name) for name, p in probs.items()])
@@ -102,25 +93,6 @@ def _upper(p: float) -> Column:
     return F.ceil(_position(p))
 
 
-def _by(part: list[str], order: str) -> WindowSpec:
-    return Window.partitionBy(*part).orderBy(order)
-
-
-def _before(part: list[str], order: str, start: Column) -> Column:
-    """Number of rows of the group that sort before an entry; ``start`` of them before its part."""
-    running = _by(part, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return start + F.sum("_n").over(running) - F.col("_n")
-
-
-def _holds(rank: Column) -> Column:
-    return (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
-
-
-def _holds_any(probs: dict[str, float]) -> Column:
-    ends = [end(p) for p in sorted(set(probs.values())) for end in (_lower, _upper)]
-    return reduce(lambda a, b: a | b, [_holds(rank) for rank in ends])
-
-
 def _interpolate(name: str, p: float) -> Column:
     low, high = F.col(f"_lower_{name}"), F.col(f"_upper_{name}")
     share = _position(p) - _lower(p)

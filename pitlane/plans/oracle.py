@@ -438,11 +438,10 @@ _TIER = """(select label from (values (1, 0.8, {first}, 'Tier 1 — Stratégique
 
 
 def _suppliers(perf: str) -> str:
-    # Multiplied out and without nested cases, as the engine's own form must not check itself.
-    outliers = """if(nb_price_outliers = 0, 10, 7 * (nb_price_outliers / nb_unique_refs < 0.02)::int
-        + 4 * (nb_price_outliers / nb_unique_refs >= 0.02 and nb_price_outliers / nb_unique_refs < 0.05)::int)"""
-    score = f"""3500 * least(availability_rate_pct / 100, 1) + 3500 * avg_reliability_score
-        + 2000 * least(multi_source_validation_pct / 100, 1) + 100 * {outliers}"""
+    outliers = """case when nb_price_outliers = 0 then 10 when nb_price_outliers / nb_unique_refs < 0.02 then 7
+        when nb_price_outliers / nb_unique_refs < 0.05 then 4 else 0 end"""
+    score = f"""(least(availability_rate_pct / 100, 1) * 35 + avg_reliability_score * 35
+        + least(multi_source_validation_pct / 100, 1) * 20 + {outliers}) * 100"""
     tier = _TIER.format(first=80, second=60, measure="avg_reliability_score", rate="availability_rate_pct")
     return f"select *, {_rnd(score, 1)} as supplier_score, {tier} from {perf}"
 
@@ -672,6 +671,8 @@ QUERIES: dict[str, str] = {
         where d.rn = 1""",
     "ingest_fields_batch": _fields(
         f"case when min(ingested_at) < '{EVENTS_TO}' then '{FIRST_LOAD}.000000' else '{SECOND_LOAD}.000000' end"),
+    "ingest_fields_late": _fields(
+        f"case when max(ingested_at) >= '{EVENTS_TO}' then '{FIRST_LOAD}.000000' else '{SECOND_LOAD}.000000' end"),
     "ingest_fields_stream": _fields(_SHOWN.format("min(ingested_at)")),
     "ingest_run_recalls": _feed("raw_recalls", "recall_id", _RECALL_CONTENT),
     "ingest_feed_parts": _feed("raw_parts", "part_id", "part_number"),
@@ -733,12 +734,9 @@ QUERIES: dict[str, str] = {
     "stg_parts": _select("st_parts"),
     "stg_listings": _select("st_listings"),
     "stg_recalls": _select("st_recalls"),
-    **{
-        name: "select category, brand_type, "
-        + ", ".join(f"{_rnd(c, 6)} as {c}" for c in ("q1", "median_price", "q3", "avg_price", "stddev_price"))
-        + ", parts_count from price_stats"
-        for name in ("int_price_stats", "int_price_stats_by_steps")
-    },
+    "int_price_stats": "select category, brand_type, "
+    + ", ".join(f"{_rnd(c, 6)} as {c}" for c in ("q1", "median_price", "q3", "avg_price", "stddev_price"))
+    + ", parts_count from price_stats",
     "int_source_coverage": f"""select * exclude (avg_price_cross_source),
         {_rnd('avg_price_cross_source', 6)} as avg_price_cross_source from source_coverage""",
     "int_source_coverage_multisource": f"""select * exclude (avg_price_cross_source),
@@ -758,7 +756,6 @@ QUERIES: dict[str, str] = {
     "pricing_catalog_side": _select("catalog_side"),
     "pricing_market_side": _select("market_side"),
     "mart_market_pricing": _select("pricing"),
-    "mart_market_pricing_by_steps": _select("pricing"),
     "mart_market_pricing_multisource": _select("pricing_multi"),
     "mart_market_pricing_local": _select("pricing_local"),
     "coverage_by_vehicle": _select("by_vehicle"),

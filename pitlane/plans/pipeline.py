@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pitlane import schemas as S
 from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, staging
 from pitlane.operators.silver import CLEANERS
-from pitlane.sources import bronze, shared, tables
+from pitlane.sources import bronze, linked, shared, tables
 
 log = logging.getLogger(__name__)
 
@@ -28,9 +28,10 @@ def ingest_run(
 ) -> None:
     """Merge landed documents into their tables and log the run.
 
-    Every run rewrites the tables it touches, as a new version; feeds too large
-    for that go through ``streaming.feed``. Outcomes, documents and unusable
-    lines are counted in the writing stage, so documents are read and merged once.
+    A table lies in ``BUCKETS`` buckets of keys. Documents are parsed and stored
+    once, which tells the buckets they fall into; only these are read, merged
+    and replaced, all others are linked to the new version. Outcomes, documents
+    and unusable lines are counted by the stages that write.
     """
     now = F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     stats = []
@@ -38,29 +39,62 @@ def ingest_run(
         batch = documents.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
         if name == "vehicle_recalls":
             batch = merge.feed_filter(batch, makes, model_years)
-        target = tables.latest_version(spark, f"{root}/{name}")
-        if not batch.take(1):
-            # Nothing landed: the table stays, or begins without rows.
-            if target is None:
-                tables.write_next_version(merge.empty_target(batch), f"{root}/{name}")
-            stats.append((name, 0, 0, 0, 0))
-            continue
-        if target is None:
-            target = merge.empty_target(batch)
-        outcomes, received = Observation(), Observation()
-        errors = merge.rejected() if S.CORRUPT in batch.columns else F.count(F.lit(None))
-        seen = batch.observe(received, F.count(F.lit(1)).alias("total"), errors.alias("errors"))
-        merged = merge.merge_outcomes(target, seen, S.ID_FIELDS[name], now)
-        counted = merged.observe(outcomes, *merge.outcome_counts()).drop(merge.OUTCOME)
-        tables.write_next_version(counted, f"{root}/{name}")
-        stats.append((
-            name, outcomes.get["inserted"], outcomes.get["updated"], received.get["errors"], received.get["total"]
-        ))
+        stats.append((name, *merge_landed(batch, f"{root}/{name}", S.ID_FIELDS[name], now)))
     run = spark.createDataFrame(stats, "collection string, inserted long, updated long, errors long, total long")
     record = merge.run_record(run, merge.run_id(now), "ingestion", "success", now)
     tables.run_log_append(record.to(S.RUN_LOG), run_log)
 
 
+#: Buckets of a keyed table from its first version on.
+BUCKETS = 256
+
+
+def merge_landed(
+    batch: DataFrame, path: str, id_field: str, seen_at: Column, buckets: int = BUCKETS
+) -> tuple[int, int, int, int]:
+    """Merge documents into the keyed table at ``path``; documents inserted, updated, in error, and received."""
+    spark = batch.sparkSession
+    base = linked.manifest(spark, path)
+    buckets = int(base.properties["buckets"]) if base else buckets
+    received, outcomes = Observation(), Observation()
+    errors = merge.rejected() if S.CORRUPT in batch.columns else F.count(F.lit(None))
+    bucket = F.when(merge.usable_key(batch, id_field), linked.bucket_of(id_field, buckets))
+    landed = shared.store(
+        batch.withColumn(linked.BUCKET, bucket).observe(
+            received, F.count(F.lit(1)).alias("total"), errors.alias("errors"), F.collect_set(linked.BUCKET).alias("touched")
+        ),
+        "landed",
+    ).drop(linked.BUCKET)
+    told = received.get
+    touched = linked.bucket_folders(told["touched"])
+    empty = merge.empty_target(batch, by_field=S.PRESENT in batch.columns)
+    if base is None and not touched:
+        nothing = empty.withColumn(linked.BUCKET, F.lit(0))
+        linked.commit(nothing, path, [linked.BUCKET], properties={"buckets": str(buckets)})
+    if not touched:
+        return 0, 0, told["errors"], told["total"]
+
+    target = empty if base is None else linked.read(spark, path, base, touched).drop(linked.BUCKET)
+    merged = merge.merge_outcomes(target, landed, id_field, seen_at)
+    if base is not None and linked.retyped(base.schema, merged.drop(merge.OUTCOME).schema):
+        # Linked files could not be read with another type, so all are written again.
+        touched = set(base.owners) | touched
+        merged = merge.merge_outcomes(linked.rows(spark, path), landed, id_field, seen_at)
+    counted = merged.observe(outcomes, *merge.outcome_counts()).drop(merge.OUTCOME).withColumn(
+        linked.BUCKET, linked.bucket_of(id_field, buckets)
+    )
+    linked.commit(
+        counted.hint("rebalance", linked.BUCKET), path, [linked.BUCKET], base, touched, {"buckets": str(buckets)}
+    )
+    return outcomes.get["inserted"], outcomes.get["updated"], told["errors"], told["total"]
+
+
+def merged_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A keyed table as ``merge_landed`` left it."""
+    found = linked.rows(spark, path)
+    return None if found is None else found.drop(merge.AGES)
+
+
 def export_run(
     spark: SparkSession, source: str, bronze_root: str, collections: list[str], run_date: str,
     format: str = "json", **options: str,
@@ -72,7 +106,7 @@ def export_run(
     written = {}
     for name in collections:
         if format == "tables":
-            documents = tables.latest_version(spark, f"{source}/{name}")
+            documents = merged_table(spark, f"{source}/{name}")
             if documents is None:
                 log.warning("no table of %s under %s, skipped", name, source)
                 continue
@@ -138,7 +172,7 @@ def gold_run(
     tables.gold_materialize(
         enrich.int_parts_enriched(catalog, coverage_input, stats), gold_root, "int_parts_enriched", run_ts
     )
-    enriched = spark.read.parquet(f"{gold_root}/int_parts_enriched")
+    enriched = tables.gold_read_mart(spark, gold_root, "int_parts_enriched")
     built = {
         "mart_market_pricing": marts.mart_market_pricing(enriched, listings),
         "mart_catalog_coverage": marts.mart_catalog_coverage(listings, recalls),

@@ -162,7 +162,7 @@ def silver_run_recalls(lake: Lake) -> DataFrame:
 def gold_materialize(lake: Lake) -> DataFrame:
     root = lake.path("gold")
     tables.gold_materialize(lake.pricing(), root, "mart_market_pricing", _ts(RUN_TS))
-    return lake.spark.read.parquet(f"{root}/mart_market_pricing").withColumn(
+    return tables.gold_read_mart(lake.spark, root, "mart_market_pricing", ordered=False).withColumn(
         "updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")
     )
 
@@ -193,7 +193,7 @@ def _exported(lake: Lake, name: str) -> DataFrame:
     for mart, df in built.items():
         tables.gold_materialize(df, root, mart, _ts(RUN_TS))
     tables.gold_export_parquet(lake.spark, list(built), root, out)
-    return lake.spark.read.parquet(f"{out}/{name}").drop("updated_at")
+    return tables.gold_read_mart(lake.spark, out, name, ordered=False).drop("updated_at")
 
 
 @_query
@@ -224,7 +224,7 @@ def _gold(lake: Lake) -> str:
 @_query
 def gold_run_suppliers(lake: Lake) -> DataFrame:
     """Rows of a mart as the gold step stores them."""
-    return lake.spark.read.parquet(f"{_gold(lake)}/mart_supplier_performance").drop("updated_at")
+    return tables.gold_read_mart(lake.spark, _gold(lake), "mart_supplier_performance", ordered=False).drop("updated_at")
 
 
 @_query
@@ -232,7 +232,7 @@ def gold_run(lake: Lake) -> DataFrame:
     """All marts from stored silver; rows per mart."""
     gold = _gold(lake)
     return reduce(DataFrame.unionByName, [
-        lake.spark.read.parquet(f"{gold}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        tables.gold_read_mart(lake.spark, gold, name, ordered=False).agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(name).alias("mart"), "n_rows")
         for name in pipeline.GOLD
     ])
@@ -316,6 +316,19 @@ def ingest_fields_batch(lake: Lake) -> DataFrame:
     return _shown(state)
 
 
+@_query
+def ingest_fields_late(lake: Lake) -> DataFrame:
+    """The later documents first, through the stored table: what the earlier ones sent fills fields never sent since."""
+    events, table = _partial_documents(lake), lake.path("fields-late")
+    early = _before("ingested_at", EVENTS_TO)
+    for part, moment in ((~early, FIRST_LOAD), (early, SECOND_LOAD)):
+        landing = lake.path("landing")
+        events.where(part).write.option("timestampFormat", feed.TIMESTAMPS).json(landing)
+        batch = bronze.bronze_read_lines(lake.spark, landing, events.schema)
+        pipeline.merge_landed(batch, table, "user_id", _ts(moment))
+    return _shown(pipeline.merged_table(lake.spark, table))
+
+
 @_query
 def ingest_fields_stream(lake: Lake) -> DataFrame:
     """The same documents streamed in two runs, compacted after each, the later ones first."""
@@ -382,7 +395,7 @@ def run_log_append(lake: Lake) -> DataFrame:
 def ingest_run_recalls(lake: Lake) -> DataFrame:
     """Rows of a merged table after two scheduled loads."""
     root, _ = _two_loads(lake, ["vehicle_recalls"])
-    return _shown(tables.latest_version(lake.spark, f"{root}/vehicle_recalls"))
+    return _shown(pipeline.merged_table(lake.spark, f"{root}/vehicle_recalls"))
 
 
 def _two_loads(lake: Lake, collections: list[str]) -> tuple[str, str]:
@@ -570,13 +583,6 @@ def int_price_stats(lake: Lake) -> DataFrame:
     return _rounded(stats, 6, "q1", "median_price", "q3", "avg_price", "stddev_price")
 
 
-@_query
-def int_price_stats_by_steps(lake: Lake) -> DataFrame:
-    """Kept from when small inputs took another way; there is one way now."""
-    stats = enrich.int_price_stats(lake.stg_parts())
-    return _rounded(stats, 6, "q1", "median_price", "q3", "avg_price", "stddev_price")
-
-
 @_query
 def int_source_coverage(lake: Lake) -> DataFrame:
     return _rounded(enrich.int_source_coverage(lake.stg_parts()), 6, "avg_price_cross_source")
@@ -637,12 +643,6 @@ def mart_market_pricing(lake: Lake) -> DataFrame:
     return marts.mart_market_pricing(lake.enriched(), lake.stg_listings())
 
 
-@_query
-def mart_market_pricing_by_steps(lake: Lake) -> DataFrame:
-    """Kept from when small inputs took another way; there is one way now."""
-    return marts.mart_market_pricing(lake.enriched(), lake.stg_listings())
-
-
 @_query
 def mart_market_pricing_multisource(lake: Lake) -> DataFrame:
     return marts.mart_market_pricing(lake.enriched_multisource(), lake.stg_listings())

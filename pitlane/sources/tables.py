@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitlane import schemas as S
+from pitlane.sources import linked
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -54,33 +53,24 @@ def silver_write_flat(df: DataFrame, path: str) -> None:
 def gold_materialize(df: DataFrame, root: str, name: str, run_ts: Column | None = None) -> None:
     """Create or replace a mart, stamped with the time of the run.
 
-    It is written aside and then takes the old one's place, so a reader never
-    sees part of one, and a failed run leaves the old one as it was.
+    It is a new version of a linked table: readers see the old one until its
+    manifest is there, versions being read stay, and a failed run leaves the
+    old one as it was.
     """
     stamped = df.withColumn("updated_at", F.current_timestamp() if run_ts is None else run_ts)
-    aside = f"{root}/_{name}.{uuid.uuid4().hex[:12]}"
-    stamped.write.parquet(aside)
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(path(f"{root}/{name}"), True)
-    if not fs.rename(path(aside), path(f"{root}/{name}")):
-        raise OSError(f"{aside} could not take the place of {root}/{name}")
+    linked.commit(stamped, f"{root}/{name}")
 
 
 def gold_export_parquet(spark: SparkSession, names: list[str], root: str, out: str) -> None:
-    """Copy marts, one Parquet table each."""
+    """Copy marts, one linked table each, so that readers of an export meet whole ones only."""
     for name in names:
-        spark.read.parquet(f"{root}/{name}").write.mode("overwrite").parquet(f"{out}/{name}")
+        linked.commit(linked.read(spark, f"{root}/{name}"), f"{out}/{name}")
 
 
 def gold_read_mart(spark: SparkSession, root: str, name: str, ordered: bool = True) -> DataFrame:
     """A mart in its reading order; one that was never built reads as empty."""
-    try:
-        mart = spark.read.parquet(f"{root}/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    mart = linked.read(spark, f"{root}/{name}")
+    if mart is None:
         return spark.createDataFrame([], T.StructType([]))
     order = S.MART_ORDER.get(name.removesuffix("_local")) if ordered else None
     if order is None:

@@ -25,14 +25,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pitlane import schemas as S
-from pitlane.operators.merge import FIRST_SEEN, sent, usable_key
+from pitlane.operators.merge import AGES, FIRST_SEEN, sent, usable_key
 from pitlane.sources import bronze, tables
 
 # Landing files keep microseconds; the JSON writer's default cuts them.
 TIMESTAMPS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-LOAD, AGES = "_load", "_ages"
+LOAD = "_load"
 
 
 def read_feed(

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitlane.operators.quantiles import aggregate_with_quantiles, quantiles_by_steps
+from pitlane.operators import quantiles
+from pitlane.operators.quantiles import aggregate_with_quantiles, quantiles_by_range, ranked_values
 
 PROBS = {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99, "q4": 1.0}
 RNG = np.random.default_rng(7)
@@ -40,8 +41,44 @@ def check(result):
     return got
 
 
-def test_by_steps(frame):
-    check(quantiles_by_steps(frame, ["g"], "x", PROBS))
+def test_by_range(frame):
+    check(quantiles_by_range(frame, ["g"], "x", PROBS))
+
+
+def test_one_exchange_moves_rows(frame, monkeypatch):
+    """The range exchange, the counts of stretches and their running sums, and the few values found."""
+    plans, store = [], quantiles.shared.store
+    frame = store(frame, "frame")
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(quantiles.shared, "store", watched)
+    found = quantiles_by_range(frame, ["g"], "x", PROBS)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    exchanges = [[line for line in plan.split("\n") if " Exchange " in line] for plan in plans]
+    assert [len(e) for e in exchanges] == [1, 2, 1]
+    assert "rangepartitioning" in exchanges[0][0] and not any("rangepartitioning" in line for e in exchanges[1:] for line in e)
+    assert "BroadcastHashJoin" in plans[2] and "SortMergeJoin" not in plans[2]
+
+
+def test_a_value_of_most_rows_is_spread(spark):
+    rows = spark.range(40_000).select(
+        F.lit("a").alias("g"), F.when(F.col("id") % 10 < 9, 42.0).otherwise(F.col("id").cast("double")).alias("x"), "id"
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = [r["count"] for r in ranked_values(rows, ["g"], "x", ["id"]).groupBy(F.shiftright("_at", 33)).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+        got = quantiles_by_range(rows, ["g"], "x", {"median": 0.5, "p95": 0.95}, ["id"]).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    values = [42.0 if i % 10 < 9 else float(i) for i in range(40_000)]
+    assert (got["median"], got["p95"]) == tuple(np.quantile(values, [0.5, 0.95]))
 
 
 def test_next_to_aggregates(frame):
