@@ -30,6 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever the case."""
+    there = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in there:
+            name += "_"
+        there.add(name.lower())
+        out.append(name)
+    return out
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -8,24 +8,21 @@ from pyspark.sql import functions as F
 from pitlane.sources import shared
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """``node, least``: the least node among a node and its neighbours; ``edges`` holds both directions."""
-    return edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("least"))
-
-
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _stored(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
-    """Edges written once, and what tells two sets of them apart, taken while writing."""
+def _neighbours(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """``node, least`` (the least node among a node and its neighbours), and whether the edges are stars already.
+
+    They are if a node with a smaller neighbour has no other; that is seen while the rows are written.
+    """
     seen = Observation()
-    row = F.xxhash64("a", "b")
-    watched = edges.observe(
-        seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("mixed"), F.sum(row % 1_000_003).alias("total")
-    )
-    out = shared.store(watched, name)
-    return out, tuple(seen.get[k] for k in ("n", "mixed", "total"))
+    smaller = F.count_if(F.col("b") < F.col("a"))
+    counted = _both(edges).groupBy(F.col("a").alias("node")).agg(
+        F.least(F.min("b"), F.first("a")).alias("least"), ((smaller > 0) & (F.count("*") > 1)).alias("more")
+    ).observe(seen, F.count_if("more").alias("more"))
+    return shared.store(counted.select("node", "least"), "least"), seen.get["more"] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,33 +32,26 @@ def components(edges: DataFrame) -> DataFrame:
     does the same among the smaller ones. Paths shorten by half, so rounds are
     few; each round's edges are stored, which cuts the lineage. The lookups of
     a node's least neighbour are stored as well, so that a node with many edges
-    can be split by the adaptive join. Rounds end when the first half changes
-    nothing and each node hangs on one other only.
+    can be split by the adaptive join. Edges that are stars need no more rounds.
     """
-    edges, known = _stored(
+    edges = shared.store(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    while known[0]:
-        both = _both(edges)
-        least = shared.store(_least(both), "least")
-        large = both.join(least, F.col("a") == F.col("node")).filter("b > a").select(
+    while not edges.isEmpty():
+        least, stars = _neighbours(edges)
+        if stars:
+            break
+        large = _both(edges).join(least, F.col("a") == F.col("node")).filter("b > a").select(
             F.col("b").alias("a"), F.col("least").alias("b")
         )
         # Nodes that are the least of all around them keep no edge of their own.
-        large, found = _stored(large.filter("a <> b").distinct(), "large_star")
-        seen = Observation()
-        least = shared.store(
-            large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"), F.count("*").alias("n"))
-            .observe(seen, F.max("n").alias("most")),
-            "least",
-        )
-        if found == known and seen.get["most"] == 1:
-            break
+        large = shared.store(large.filter("a <> b"), "large_star")
+        least = shared.store(large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
         hung = large.join(least, F.col("a") == F.col("node")).select(
             F.explode(F.array(
                 F.struct(F.col("a"), F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b"))
             )).alias("e")
         ).select("e.a", "e.b")
-        edges, known = _stored(hung.filter("a <> b").distinct(), "small_star")
+        edges = shared.store(hung.filter("a <> b").distinct(), "small_star")
     labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

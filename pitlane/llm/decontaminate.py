@@ -327,8 +327,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
     items = shared.store(benchmark_windows(benchmark), "benchmark_windows")
-    found = _matched(documents, items).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")
-    ).distinct()
-    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_found_id")) & (F.xxhash64("text") == F.col("_found_key"))
+    found_id, found_key = common.fresh(documents, "_found_id", "_found_key")
+    found = _matched(documents, items).select(F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key)).distinct()
+    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col(found_id)) & (F.xxhash64("text") == F.col(found_key))
     return documents.join(found, match, "left_anti")

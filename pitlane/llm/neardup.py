@@ -20,6 +20,8 @@
 A pair at the similarity of 0.75 differs in 12 positions on average; more than
 ``DISTANCE`` of 48 has odds of about 1 in 7,000, and far less above 0.75.
 
+Rows are what is linked, not ids: of one id on two texts each is linked by its
+own text, and the component of either holds both only if the texts are linked.
 Nulls and empty texts have an empty set and are linked with nothing. Documents
 without ``doc_id`` are linked with nothing, have no component and are kept, but
 for copies of another row (``without_near_duplicates``).
@@ -35,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pitlane.llm import common
 from pitlane.llm.components import components
@@ -77,7 +80,7 @@ def classified(documents: DataFrame) -> DataFrame:
 
 
 def bucket_keys(classes: DataFrame) -> DataFrame:
-    """``key, class``: ``POSITIONS`` rows for each class, one for each chunk and place of the allowed error."""
+    """``key`` and the columns of ``classes``: ``POSITIONS`` rows for each, one for each chunk and place of the allowed error."""
 
     def start() -> common.Work:
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
@@ -93,12 +96,15 @@ def bucket_keys(classes: DataFrame) -> DataFrame:
                 with np.errstate(over="ignore"):
                     # 48 bits of values and 6 of the place: one to one, then spread by an odd factor.
                     keys.append(((packed << np.uint64(6)) | place) * _FACTOR)
-            keys = np.stack(keys, 2).reshape(-1).view(np.int64)
-            return {"key": pa.array(keys), "class": pa.array(np.repeat(batch.column("class").to_numpy(), POSITIONS))}
+            return {
+                **{c: batch.column(c) for c in batch.schema.names},
+                "key": pa.FixedSizeListArray.from_arrays(pa.array(np.stack(keys, 2).reshape(-1).view(np.int64)), POSITIONS),
+            }
 
         return work
 
-    return common.map_batches(classes.select("class", "signature"), "key bigint, class bigint", start)
+    listed = common.map_batches(classes, StructType([*classes.schema, StructField("key", ArrayType(LongType()))]), start)
+    return listed.withColumn("key", F.explode("key"))
 
 
 def place_of(key: int) -> int:
@@ -120,60 +126,62 @@ def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.count_nonzero(a != b, axis=-1) <= DISTANCE
 
 
-def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) whose signatures are within the distance."""
-    known = classes.select("class", "signature")
-    both = pairs.join(known.toDF("a", "of_a"), "a").join(known.toDF("b", "of_b"), "b")
+def near_leaders(buckets: DataFrame, leaders: DataFrame) -> DataFrame:
+    """``a, b``: members of ``buckets`` (``key, class, signature``) that are within the distance of their bucket's leader."""
+    both = buckets.join(leaders.select("key", "leader", F.col("signature").alias("of_leader")), "key").filter("class <> leader")
 
     def start() -> common.Work:
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
             of = [
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, POSITIONS)
-                for c in ("of_a", "of_b")
+                for c in ("signature", "of_leader")
             ]
-            near = pa.array(_close(*of))
-            return {name: batch.column(name).filter(near) for name in ("a", "b")}
+            near = _close(*of)
+            one, other = (batch.column(c).to_numpy()[near] for c in ("class", "leader"))
+            return {"a": pa.array(np.minimum(one, other)), "b": pa.array(np.maximum(one, other))}
 
         return work
 
-    return common.map_batches(both.select("a", "b", "of_a", "of_b"), "a bigint, b bigint", start)
+    read = both.select("class", "leader", "signature", "of_leader")
+    return common.map_batches(read, "a bigint, b bigint", start, rows=4096).distinct()
 
 
-def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` whose full shingle sets are similar enough; ``texts`` has ``class, text``."""
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose full shingle sets are similar enough; ``sets`` has ``class, shingles``."""
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
 
     def start() -> common.Work:
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
-            a, b = (byte_texts(batch.column(c)) for c in ("text_a", "text_b"))
-            holds = pa.array([similar(shingle_set(x), shingle_set(y)) for x, y in zip(a, b, strict=True)], pa.bool_())
+            a, b = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("set_a", "set_b"))
+            holds = pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_())
             return {name: batch.column(name).filter(holds) for name in ("a", "b")}
 
         return work
 
-    return common.map_batches(both.select("a", "b", "text_a", "text_b"), "a bigint, b bigint", start)
-
+    return common.map_batches(both.select("a", "b", "set_a", "set_b"), "a bigint, b bigint", start)
 
-def _in_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
 
-
-def class_texts(documents: DataFrame, classes: DataFrame, named: DataFrame) -> DataFrame:
-    """``class, text`` of the classes in ``named``, each from the document that stands for it."""
-    wanted = classes.select("class", "least_id").join(named, "class")
+def class_sets(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """``class, shingles, fine`` of ``classes`` (``class, least_id``): the set of the document that stands for a class."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("least_id"), "text").filter(F.col("text").isNotNull())
-    found = texts.join(wanted, "least_id")
+    found = texts.join(classes.select("class", "least_id"), "least_id")
 
     def start() -> common.Work:
         def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
+            sets = [shingle_set(t) for t in byte_texts(batch.column("text"))]
             # Ids may repeat with other texts: the set decides.
-            given = zip(batch.column("class").to_pylist(), byte_texts(batch.column("text")), strict=True)
-            same = pa.array([len(s := shingle_set(t)) > 0 and class_of(s) == c for c, t in given], pa.bool_())
-            return {name: batch.column(name).filter(same) for name in ("class", "text")}
+            given = zip(batch.column("class").to_pylist(), sets, strict=True)
+            same = [len(s) > 0 and class_of(s) == c for c, s in given]
+            kept = [s for s, holds in zip(sets, same, strict=True) if holds]
+            return {
+                "class": batch.column("class").filter(pa.array(same, pa.bool_())), "shingles": [s.tobytes() for s in kept],
+                "fine": [fine_signature(s).tobytes() for s in kept],
+            }
 
         return work
 
-    return common.map_batches(found.select("class", "text"), "class bigint, text string", start).dropDuplicates(["class"])
+    sets = common.map_batches(found.select("class", "text"), "class bigint, shingles binary, fine binary", start)
+    return sets.dropDuplicates(["class"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -199,7 +207,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def pairs_inside(members: DataFrame) -> DataFrame:
-    """``a, b``: pairs of a bucket that are close in both signatures and of different labels, each once.
+    """``a, b, of_a, of_b``: pairs of a bucket that may be similar and have different labels, each once, and these labels.
 
     ``members`` has ``key, size, class, label, signature, fine``. A bucket of more
     than ``BLOCK`` rows is dealt out by a hash of the class; each pair of its
@@ -214,7 +222,7 @@ def pairs_inside(members: DataFrame) -> DataFrame:
         "signature", "fine",
     )
     common.small_batches(members.sparkSession)
-    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    arrow = pa.schema([(c, pa.int64()) for c in ("a", "b", "of_a", "of_b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
@@ -227,7 +235,7 @@ def pairs_inside(members: DataFrame) -> DataFrame:
             )
             left = np.flatnonzero(own == low)
             right = np.flatnonzero(own == high)
-            found_a, found_b = [], []
+            found = []
             for i in left.tolist():
                 others = right[(labels[right] != labels[i]) & ((low != high) | (ids[right] > ids[i]))]
                 equal = known[others] == known[i]
@@ -235,30 +243,14 @@ def pairs_inside(members: DataFrame) -> DataFrame:
                 others = others[here]
                 near = others[(fine[others] == fine[i]).sum(1) >= FINE_EQUAL]
                 if len(near):
-                    found_a.append(np.minimum(ids[i], ids[near]))
-                    found_b.append(np.maximum(ids[i], ids[near]))
-            if found_a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], schema=arrow
-                )
+                    found.append((np.full(len(near), i), near))
+            if found:
+                i, j = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
+                i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[i], ids[j], labels[i], labels[j])], schema=arrow)
 
     ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return ordered.mapInArrow(run, "a bigint, b bigint")
-
-
-def fine_signatures(texts: DataFrame) -> DataFrame:
-    """``class, fine`` of ``texts``."""
-
-    def start() -> common.Work:
-        def work(batch: pa.RecordBatch) -> dict[str, list | pa.Array]:
-            return {
-                "class": batch.column("class"),
-                "fine": [fine_signature(shingle_set(t)).tobytes() for t in byte_texts(batch.column("text"))],
-            }
-
-        return work
-
-    return common.map_batches(texts, "class bigint, fine binary", start)
+    return ordered.mapInArrow(run, "a bigint, b bigint, of_a bigint, of_b bigint")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -279,27 +271,27 @@ def decided(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    keys = bucket_keys(classes)
+    keys = bucket_keys(classes.select("class", "signature")).select("key", "class")
     sizes = shared.store(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "bucket_sizes")
-    buckets = shared.store(keys.join(sizes, "key"), "buckets")
-    met = shared.store(buckets.groupBy("class").agg(F.sum("size").alias("met")), "met")
+    # Classes that meet any other, and how often: from here on only these are handled.
+    met = shared.store(keys.join(sizes, "key").groupBy("class").agg(F.sum("size").alias("met")), "met")
+    central = classes.join(met, "class")
+    sets = shared.store(class_sets(documents, central), "sets")
+    buckets = shared.store(bucket_keys(central.select("class", "signature", "met")).join(sizes, "key"), "buckets")
     leaders = shared.store(
-        buckets.join(met, "class").groupBy("key").agg(
-            F.max(F.struct("met", "class"))["class"].alias("leader")
-        ), "leaders",
+        buckets.groupBy("key").agg(F.max(F.struct("met", "class", "signature")).alias("l"))
+        .select("key", F.col("l.class").alias("leader"), "l.signature"),
+        "leaders",
     )
 
     # Every member of a bucket with its central one.
-    pairs = buckets.join(leaders, "key").filter("class <> leader").select(
-        F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")
-    ).distinct()
-    first = shared.store(within_distance(pairs, classes), "first_pairs")
-    edges = shared.store(linked(first, shared.store(class_texts(documents, classes, _in_pairs(first)), "first_texts")), "first_links")
+    first = shared.store(near_leaders(buckets, leaders), "first_pairs")
+    edges = shared.store(linked(first, sets.select("class", "shingles")), "first_links")
     labels = shared.store(components(edges), "first_labels")
 
     # What is still apart inside a bucket.
     labelled = buckets.filter("size > 2").join(labels, F.col("class") == F.col("node"), "left").select(
-        "key", "size", "class", F.coalesce("label", "class").alias("label")
+        "key", "size", "class", "signature", F.coalesce("label", "class").alias("label")
     )
     labelled = shared.store(labelled, "labelled")
     apart = shared.store(
@@ -307,19 +299,22 @@ def decided(documents: DataFrame) -> DataFrame:
         .select("key"),
         "apart",
     )
-    members = shared.store(labelled.join(apart, "key"), "members")
-    texts = shared.store(class_texts(documents, classes, members.select("class").distinct()), "second_texts")
-    signatures = shared.store(fine_signatures(texts).join(classes.select("class", "signature"), "class"), "signatures")
-    second = shared.store(
-        pairs_inside(members.join(signatures, "class")).join(first, ["a", "b"], "left_anti"), "second_pairs"
-    )
-    more = linked(second, texts)
-    labels = shared.store(components(edges.unionAll(shared.store(more, "second_links"))), "labels")
+    members = labelled.join(apart, "key").join(sets.select("class", "fine"), "class")
+    second = shared.store(pairs_inside(members).join(first, ["a", "b"], "left_anti"), "second_pairs")
+    more = shared.store(linked(second.select("a", "b"), sets.select("class", "shingles")), "second_links")
+    # Links between components of the first round, each of which is one node now.
+    between = second.join(more, ["a", "b"], "left_semi").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    merged = shared.store(components(between).toDF("first", "last"), "merged_labels")
 
     of_class = classes.join(labels, F.col("class") == F.col("node"), "left").select(
-        "class", "least_id", F.coalesce("label", "class").alias("label")
+        "class", "least_id", F.coalesce("label", "class").alias("first")
+    )
+    of_class = shared.store(
+        of_class.join(merged, "first", "left").select("class", "least_id", F.coalesce("last", "first").alias("label")),
+        "label_of_class",
     )
-    least = of_class.groupBy("label").agg(F.min("least_id").alias("of_component"))
+    # Stored on their own: a join on the key of an aggregate could not be split where one component holds most classes.
+    least = shared.store(of_class.groupBy("label").agg(F.min("least_id").alias("of_component")), "component_ids")
     named = shared.store(of_class.join(least, "label").select("class", "label", "of_component"), "component_of_class")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_component", "doc_id"))
     return listed.join(named, "class", "left").select(
@@ -343,15 +338,16 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
         "component_keys",
     )
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    chosen = keys.groupBy("component").agg(F.min(order).alias("first"))
+    chosen = shared.store(keys.groupBy("component").agg(F.min(order).alias("first")), "component_first")
+    found_id, found_key, own_id, own_key = common.fresh(documents, "_id", "_key", "_own_id", "_own_key")
     judged = keys.join(chosen, "component").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n", (order == F.col("first")).alias("first")
+        F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key), "n", (order == F.col("first")).alias("first")
     )
     judged = shared.store(judged.filter(~F.col("first") | (F.col("n") > 1)), "component_rows")
-    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    apart = documents.join(judged.select("_id", "_key"), match, "left_anti")
-    own = {"_own_id": F.col("doc_id").cast("bigint"), "_own_key": F.xxhash64("text")}
-    repeated = documents.join(judged.filter("first").select("_id", "_key"), match, "left_semi").withColumns(own)
+    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col(found_id)) & (F.xxhash64("text") == F.col(found_key))
+    apart = documents.join(judged.select(found_id, found_key), match, "left_anti")
+    own = {own_id: F.col("doc_id").cast("bigint"), own_key: F.xxhash64("text")}
+    repeated = documents.join(judged.filter("first").select(found_id, found_key), match, "left_semi").withColumns(own)
     return apart.unionByName(repeated.dropDuplicates([*own]).drop(*own))
 
 
@@ -373,15 +369,15 @@ shared as (
     select a.rid as x, b.rid as y, count(*) as n_both from sets a join sets b on a.s = b.s and a.rid <> b.rid group by all
 ),
 links as (
-    select p.doc_id as x, q.doc_id as y from shared join sizes p on p.rid = x join sizes q on q.rid = y
+    select x, y from shared join sizes p on p.rid = x join sizes q on q.rid = y
     where 100 * n_both >= 75 * (p.n + q.n - n_both)
 ),
 reached as (
-    select doc_id as x, doc_id as y from words
+    select rid as x, rid as y from words
     union
     select reached.x, links.y from reached join links on links.x = reached.y
 ),
-least as (select x, min(y) as component_id from reached group by x)
+least as (select x, min(doc_id) as component_id from reached join words on rid = y group by x)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
-from words left join sizes using (rid, doc_id) join least on x = doc_id
+from words left join sizes using (rid, doc_id) join least on x = rid
 """

@@ -89,9 +89,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (_mixed(least) & np.uint64((1 << BITS) - 1)).astype(np.uint16)
 
 
-#: Positions of a fine signature, one byte each, and the least equal ones of two sets that may be similar:
-#: at a similarity of 0.75, 384 are equal on average, and fewer than 345 with odds of 1 in 40,000.
-FINE, FINE_EQUAL = 512, 345
+#: Positions of a fine signature, one byte each, and the least equal ones of two sets that may be similar: at a
+#: similarity of 0.75, 384 are equal on average, and fewer than 300 with odds of 1 in 10^16, which is what the 64-bit
+#: hashes of sets and shingles are good for as well. All that may be similar is compared on full sets.
+FINE, FINE_EQUAL = 512, 300
 _OF_FINE = (_numbers(FINE, 53) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
