@@ -4,16 +4,20 @@ Lines are normalised and hashed, distinct documents are counted per (host,
 line), lines above both limits are taken out of a text, and a document that
 loses more than half of its words so is rejected. ``source`` is the host.
 
-A document counts by its longest line: copies, and copies edited elsewhere,
-count as one, so that a group of copies isn't taken for boilerplate, and one of
-them is left for deduplication. What is compared in hashes is 64 bits wide: a
-line is wrongly taken out only if it collides with one of the few frequent
-lines.
+For a line, a document counts by its longest other line, or by the line itself
+where it has no other. So copies, and copies edited elsewhere, count as one, and
+a group of copies isn't taken for boilerplate; a long notice in documents that
+differ counts once for each. A host's documents count by their two longest
+lines. What is compared in hashes is 64 bits wide: a line is wrongly taken out
+only if it collides with one of the few frequent lines.
 
 Only built-in expressions run. Line hashes are stored once in the shared
-folder, as they are read three times. Nothing but hashes and counts is shuffled: lines
-are counted by partial aggregates, so a frequent line costs one row per task,
-and the frequent lines are looked up in ``SALTS`` shares of each key.
+folder, as they are counted twice. No text is shuffled for counting: lines are
+counted by partial aggregates, so a frequent line costs one row per task. A
+host's frequent lines are one array, since no more than 1000 / MIN_THOUSANDTHS
+times its mean number of lines can be frequent. These arrays are looked up where
+the texts are: Spark broadcasts them while they are small, and joins them in
+``SALTS`` shares of each host otherwise.
 
 Nulls: a null text is an empty text, a null source is the host ''; a null
 ``doc_id`` is kept. Repeated rows give repeated rows and count once. Empty
@@ -28,6 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.llm import common
 from pitlane.llm.common import WORD
 from pitlane.sources import shared
 
@@ -104,63 +109,77 @@ def base_rules(documents: DataFrame) -> DataFrame:
 
 
 def normal_lines(text: Column) -> Column:
-    """The lines that are left of a text in lower case, with 0 for any number and one space for any white space."""
+    """A text's lines in lower case, with 0 for any number and one space for any white space; one for each line, if empty."""
     plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
     spaced = F.regexp_replace(plain, "[\\x20\\x09\\x0B-\\x0D]{2,}|[\\x09\\x0B-\\x0D]", " ")
-    return F.array_remove(F.transform(F.split(spaced, "\n", -1), F.trim), "")
+    # Not ``F.trim`` itself, which would take the line's number for the characters to trim.
+    return F.transform(F.split(spaced, "\n", -1), lambda line: F.trim(line))
 
 
 def _hashed_lines(documents: DataFrame) -> DataFrame:
-    """One row per line: who it belongs to, its place, hash and words, and the document's identity."""
-    listed = documents.select("doc_id", "host", "text_key", _let(normal_lines(F.col("text")), lambda found: F.struct(
-        F.xxhash64(
-            F.array_max(F.transform(found, lambda x: F.struct(F.length(x).alias("n"), x.alias("line"))))["line"]
-        ).alias("identity"),
-        F.transform(found, lambda x: F.struct(
-            F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("words")
-        )).alias("lines"),
-    )).alias("found"))
-    return listed.select(
-        "doc_id", "host", "text_key", "found.identity", F.posexplode("found.lines").alias("place", "at")
-    ).select("doc_id", "host", "text_key", "identity", "place", "at.line", "at.words")
+    """``host, line, identity, document``: a line's hash, what the document counts by for it, and for its host."""
+
+    def longest(lines: Column) -> Column:
+        return F.array_max(F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), x.alias("line"))))["line"]
+
+    def of_lines(lines: Column) -> Column:
+        return _let(F.struct(lines.alias("all"), longest(lines).alias("first")), lambda x: _let(
+            F.struct(x["all"].alias("all"), x["first"].alias("first"),
+                     longest(F.filter(x["all"], lambda line: line != x["first"])).alias("second")),
+            lambda y: F.transform(y["all"], lambda line: F.struct(
+                F.xxhash64(line).alias("line"),
+                F.xxhash64(F.when(line == y["first"], F.coalesce(y["second"], line)).otherwise(y["first"])).alias("identity"),
+                F.xxhash64(y["first"], y["second"]).alias("document"),
+            )),
+        ))
+
+    found = of_lines(F.array_distinct(F.array_remove(normal_lines(F.col("text")), "")))
+    return documents.select("host", F.explode(found).alias("at")).select("host", "at.*")
 
 
 def frequent_lines(lines: DataFrame) -> DataFrame:
-    """``host, line`` of the lines above both limits."""
-    totals = lines.groupBy("host").agg(F.count_distinct("identity").alias("of_host"))
+    """``host, frequent``: the hashes of the host's lines above both limits, for hosts that have any."""
+    totals = lines.groupBy("host").agg(F.count_distinct("document").alias("of_host"))
     counts = lines.groupBy("host", "line").agg(F.count_distinct("identity").alias("documents"))
     often = counts.filter(F.col("documents") >= MIN_DOCUMENTS).withColumn(
         "salt", F.pmod("line", F.lit(SALTS)).cast("int")
     )
     return often.join(_salted(totals), ["host", "salt"]).filter(
         1000 * F.col("documents") >= MIN_THOUSANDTHS * F.col("of_host")
-    ).select("host", "line")
+    ).groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("frequent"))
 
 
 def _salted(small: DataFrame) -> DataFrame:
     return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def lost_words(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_key, lost``: the words that stood in frequent lines, for documents that have any."""
-    lines = shared.store(_hashed_lines(documents), "line_hashes")
-    salted = lines.withColumn("salt", F.pmod("text_key", F.lit(SALTS)).cast("int"))
-    hit = salted.join(_salted(frequent_lines(lines)), ["host", "line", "salt"])
-    return hit.select("doc_id", "text_key", "place", "words").distinct().groupBy("doc_id", "text_key").agg(
-        F.sum("words").alias("lost")
-    )
-
-
 def _judged(documents: DataFrame) -> DataFrame:
-    """``documents`` (``doc_id, host, text, text_key`` and any others) with all counts and ``kept``."""
-    lost = lost_words(documents.select("doc_id", "host", "text", "text_key")).withColumnsRenamed(
-        {"doc_id": "lost_id", "text_key": "lost_key"}
+    """``documents`` (``host, text, salt`` and any others) with all counts, ``rest`` and ``kept``.
+
+    ``rest`` is the text without its frequent lines, null if it has none.
+    """
+    lines = shared.store(_hashed_lines(documents), "line_hashes")
+    frequent = shared.store(frequent_lines(lines), "frequent_lines")
+    looked_up = documents.join(_salted(frequent), ["host", "salt"], "left")
+
+    def without(normal: Column, frequent: Column) -> Column:
+        """The words lost, and the lines left of the text."""
+        lost = F.transform(normal, lambda x: (x != "") & F.array_contains(frequent, F.xxhash64(x)))
+        return _let(lost, lambda gone: F.when(F.array_contains(gone, True), F.struct(
+            F.aggregate(
+                F.zip_with(normal, gone, lambda x, out: F.when(out, F.size(F.split(x, " "))).otherwise(0)),
+                F.lit(0).cast("bigint"), lambda total, n: total + n,
+            ).alias("words"),
+            F.array_join(
+                F.filter(F.split("text", "\n", -1), lambda line, i: ~F.get(gone, i)), "\n"
+            ).alias("rest"),
+        )))
+
+    cut = F.when(F.col("frequent").isNotNull(), _let(normal_lines(F.col("text")), lambda n: without(n, F.col("frequent"))))
+    cut = looked_up.withColumn("cut", cut).select(
+        *documents.columns, F.coalesce("cut.words", F.lit(0).cast("bigint")).alias("n_lost_words"), F.col("cut.rest").alias("rest")
     )
-    based = base_rules(documents)
-    joined = based.join(
-        lost, based.doc_id.eqNullSafe(lost.lost_id) & (based.text_key == lost.lost_key), "left"
-    ).withColumn("n_lost_words", F.coalesce("lost", F.lit(0)).cast("bigint"))
-    return joined.withColumn(
+    return base_rules(cut).withColumn(
         "kept", ~F.col("base_failed") & (100 * F.col("n_lost_words") <= MAX_LOST * F.col("n_words"))
     )
 
@@ -169,7 +188,7 @@ def _read(documents: DataFrame, *others: Column) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"),
-        text.alias("text"), F.xxhash64(text).alias("text_key"), *others,
+        text.alias("text"), F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int").alias("salt"), *others,
     )
 
 
@@ -182,9 +201,21 @@ def line_quality(documents: DataFrame) -> DataFrame:
 
 
 def kept_documents(documents: DataFrame) -> DataFrame:
-    """The documents that all rules keep, with all their columns."""
-    whole = F.struct(*documents.columns).alias("whole")
-    return _judged(_read(documents, whole)).filter("kept").select("whole.*")
+    """The documents that all rules keep, with all their columns: frequent lines are taken out of ``text``.
+
+    Where a text lost lines, ``n_chars`` is counted anew, if there is such a column.
+    """
+    (others,) = common.fresh(documents, "others")
+    rest = [c for c in documents.columns if c.lower() != "text"]
+    whole = F.struct(*rest, F.lit(0).alias(others)).alias("whole")
+    changed = F.col("rest").isNotNull()
+    columns = [
+        F.when(changed, F.col("rest")).otherwise(F.col("own")).alias(c) if c.lower() == "text"
+        else F.when(changed, F.length("rest").cast(documents.schema[c].dataType)).otherwise(F.col(f"whole.`{c}`")).alias(c)
+        if c.lower() == "n_chars" else F.col(f"whole.`{c}`")
+        for c in documents.columns
+    ]
+    return _judged(_read(documents, whole, F.col("text").alias("own"))).filter("kept").select(*columns)
 
 
 SQL = f"""
@@ -212,11 +243,18 @@ lines as (
         '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') as line
     from raw_lines join d using (rid)
 ),
+longest as (
+    select rid, max(case when nth = 1 then line end) as first_line, max(case when nth = 2 then line end) as second_line
+    from (select rid, line, row_number() over (partition by rid order by length(line) desc, line desc) as nth
+        from (select distinct rid, line from lines where line <> ''))
+    group by rid
+),
 full_lines as (
-    select *, first_value(line) over (partition by rid order by length(line) desc, line desc) as identity
-    from lines where line <> ''
+    select rid, host, line, case when line = first_line then coalesce(second_line, line) else first_line end as identity,
+        {{'document': first_line, 'and': second_line}} as document
+    from lines join longest using (rid) where line <> ''
 ),
-totals as (select host, count(distinct identity) as of_host from full_lines group by host),
+totals as (select host, count(distinct document) as of_host from full_lines group by host),
 frequent as (
     select host, line from full_lines join totals using (host) group by host, line, of_host
     having count(distinct identity) >= {MIN_DOCUMENTS} and 1000 * count(distinct identity) >= {MIN_THOUSANDTHS} * of_host
