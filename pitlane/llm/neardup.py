@@ -11,10 +11,12 @@
    shingle sets are joined to components.
 4. Buckets whose members are still in several components are compared inside,
    pairs of one component left out. Large buckets are dealt out in blocks of
-   ``BLOCK`` rows, each pair of blocks being one piece of work. A pair leaves
-   the first bucket it shares, if it is within ``DISTANCE`` and also close in a
-   longer signature. So every such pair is linked, refused on its full sets, or
-   already in one component.
+   ``BLOCK`` rows, each pair of blocks being one piece of work. A first pass
+   keeps the rows that have a candidate in their piece: within ``DISTANCE``,
+   close in a longer signature, and in no bucket together before. Their full
+   sets are then compared where they lie, and a piece gives no more links than
+   connect its components. So every such pair is linked, refused on its full
+   sets, or in one component without it.
 5. Components are labelled with the least ``doc_id`` in them.
 
 A pair at the similarity of 0.75 differs in 12 positions on average; more than
@@ -206,51 +208,94 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest)
 
 
-def pairs_inside(members: DataFrame) -> DataFrame:
-    """``a, b, of_a, of_b``: pairs of a bucket that may be similar and have different labels, each once, and these labels.
+_MEMBER = "key bigint, low int, high int, own int, class bigint, label bigint, signature binary, fine binary"
 
-    ``members`` has ``key, size, class, label, signature, fine``. A bucket of more
-    than ``BLOCK`` rows is dealt out by a hash of the class; each pair of its
-    blocks is compared in one place, so a task holds two blocks at most.
+
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` (``key, size, class, label, signature, fine``) in pieces of work ``key, low, high``.
+
+    A bucket of more than ``BLOCK`` rows is dealt out by a hash of the class;
+    each pair of its blocks is one piece, so a task holds two blocks at most.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn(
+    return members.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     ).select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "label",
         "signature", "fine",
     )
+
+
+def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a piece of work, and those later in it that they may be similar to and do not share a label with.
+
+    Such a pair is within ``DISTANCE``, close in the longer signature, and shares no earlier bucket.
+    """
+    ids, labels, own = (group.column(c).to_numpy() for c in ("class", "label", "own"))
+    known = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+    fine = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+    low, high, place = group.column("low")[0].as_py(), group.column("high")[0].as_py(), place_of(group.column("key")[0].as_py())
+    right = np.flatnonzero(own == high)
+    for i in np.flatnonzero(own == low).tolist():
+        others = right[(labels[right] != labels[i]) & ((low != high) | (ids[right] > ids[i]))]
+        equal = known[others] == known[i]
+        others = others[(first_places(equal) == place) & (equal.sum(1) >= POSITIONS - DISTANCE)]
+        alike = (fine[others] == fine[i]).sum(1)
+        others = others[alike >= FINE_EQUAL][np.argsort(-alike[alike >= FINE_EQUAL], kind="stable")]
+        if len(others):
+            yield i, others
+
+
+def involved(members: DataFrame) -> DataFrame:
+    """The rows of ``dealt`` that have any candidate in their piece of work: never more than there are."""
     common.small_batches(members.sparkSession)
-    arrow = pa.schema([(c, pa.int64()) for c in ("a", "b", "of_a", "of_b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            ids, labels = (group.column(c).to_numpy() for c in ("class", "label"))
-            own = group.column("own").to_numpy()
-            known = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-            fine = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
-            low, high, place = group.column("low")[0].as_py(), group.column("high")[0].as_py(), place_of(
-                group.column("key")[0].as_py()
-            )
-            left = np.flatnonzero(own == low)
-            right = np.flatnonzero(own == high)
+            hit = np.zeros(group.num_rows, bool)
+            for i, others in _candidates(group):
+                hit[i] = hit[others] = True
+            if hit.any():
+                yield from group.filter(pa.array(hit)).combine_chunks().to_batches()
+
+    ordered = dealt(members).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return ordered.mapInArrow(run, _MEMBER)
+
+
+def links_inside(rows: DataFrame) -> DataFrame:
+    """``a, b``: labels that a link holds together, from ``involved`` rows with their ``shingles``.
+
+    Candidates are compared on full sets, the likeliest first, but for those
+    whose labels are connected in the piece already. What is left is a forest
+    over the piece's labels.
+    """
+    common.small_batches(rows.sparkSession)
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            labels = group.column("label").to_pylist()
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("shingles")]
+            root = {label: label for label in labels}
+
+            def top(label: int, root: dict[int, int] = root) -> int:
+                while root[label] != label:
+                    root[label] = label = root[root[label]]
+                return label
+
             found = []
-            for i in left.tolist():
-                others = right[(labels[right] != labels[i]) & ((low != high) | (ids[right] > ids[i]))]
-                equal = known[others] == known[i]
-                here = (first_places(equal) == place) & (equal.sum(1) >= POSITIONS - DISTANCE)
-                others = others[here]
-                near = others[(fine[others] == fine[i]).sum(1) >= FINE_EQUAL]
-                if len(near):
-                    found.append((np.full(len(near), i), near))
+            for i, others in _candidates(group):
+                for j in others.tolist():
+                    one, other = top(labels[i]), top(labels[j])
+                    if one != other and similar(sets[i], sets[j]):
+                        root[one] = other
+                        found.append((labels[i], labels[j]))
             if found:
-                i, j = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
-                i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[i], ids[j], labels[i], labels[j])], schema=arrow)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=arrow)
 
-    ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return ordered.mapInArrow(run, "a bigint, b bigint, of_a bigint, of_b bigint")
+    ordered = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -300,10 +345,9 @@ def decided(documents: DataFrame) -> DataFrame:
         "apart",
     )
     members = labelled.join(apart, "key").join(sets.select("class", "fine"), "class")
-    second = shared.store(pairs_inside(members).join(first, ["a", "b"], "left_anti"), "second_pairs")
-    more = shared.store(linked(second.select("a", "b"), sets.select("class", "shingles")), "second_links")
+    candidates = shared.store(involved(members), "candidates")
     # Links between components of the first round, each of which is one node now.
-    between = second.join(more, ["a", "b"], "left_semi").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    between = links_inside(candidates.join(sets.select("class", "shingles"), "class"))
     merged = shared.store(components(between).toDF("first", "last"), "merged_labels")
 
     of_class = classes.join(labels, F.col("class") == F.col("node"), "left").select(

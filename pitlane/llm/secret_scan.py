@@ -237,7 +237,8 @@ def samples(documents: DataFrame) -> tuple[list[str], list[str]]:
 
         return work
 
-    drawn = common.drawn(documents.select("doc_id", "text"), SAMPLE_ROWS, "doc_id").select("text")
+    # Told apart by text as well, so ids that are null or repeat do not come in bulk; equal rows count once.
+    drawn = common.drawn(documents.select("doc_id", "text"), SAMPLE_ROWS, "doc_id", "text").select("text").distinct()
     found = common.map_batches(drawn, "value string, secret boolean", start).distinct()
     kept = [
         found.filter(F.col("secret") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE_STRINGS)

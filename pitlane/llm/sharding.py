@@ -9,10 +9,14 @@ same bytes, leaving a slot at home where it fits. A new shard is filled by
 Only the map, of fixed size, is handled in one row or broadcast. Documents are
 shuffled once, as numbers, by virtual slot, to number them inside their shard.
 
-Nulls: a null text has size 1 and the checksum of the empty text; documents
-without ``doc_id`` are hashed by their text. Rows equal in both columns go to
-one slot, in which each has its own number. Other columns are not read. An
-empty table gives an empty result and a map of empty slots.
+A record's slot hangs on its id and text. Only records that are repeated are
+also told apart by their place in the stored table of records, so one record in
+a third of all rows fills all slots alike; which of equal rows lies where is the
+same within a run, and has no meaning.
+
+Nulls: a null text has size 1 and the checksum of the empty text; a null
+``doc_id`` is hashed as such. Other columns are not read. An empty table gives
+an empty result and a map of empty slots.
 """
 
 from __future__ import annotations
@@ -27,13 +31,19 @@ SLOTS = 4096
 
 def placed(documents: DataFrame) -> DataFrame:
     """``doc_id, size, text_crc32, virtual_slot``."""
-    return documents.select(
+    records = shared.store(documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    ).withColumn(
-        "virtual_slot",
-        F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_crc32"))), F.lit(SLOTS)).cast("int"),
+        F.xxhash64("doc_id", "text").alias("record"), F.monotonically_increasing_id().alias("place"),
+    ), "records")
+    repeated = shared.store(
+        records.groupBy("record").agg(F.count("*").alias("times")).filter("times > 1").select("record", F.lit(True).alias("again")),
+        "repeated_records",
+    )
+    spread = F.when(F.col("again"), F.xxhash64("record", "place")).otherwise(F.col("record"))
+    return records.join(repeated, "record", "left").select(
+        "doc_id", "size", "text_crc32", F.pmod(spread, F.lit(SLOTS)).cast("int").alias("virtual_slot")
     )
 
 

@@ -108,7 +108,7 @@ def fine_signature(shingles: np.ndarray) -> np.ndarray:
 
 def similar(a: np.ndarray, b: np.ndarray, hundredths: int = 75) -> bool:
     """Whether two sets share so many hundredths of their union."""
-    if not len(a) or not len(b):
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < hundredths * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= hundredths * (len(a) + len(b) - both)

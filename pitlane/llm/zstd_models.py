@@ -8,13 +8,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Level whose search is thorough, but whose parse still takes any match that saves a byte.
 LEVEL = 9
 #: Longest text drawn for training, in characters. Scoring reads whole texts.
 TRAINING_CHARS = 100_000
+#: Characters of all texts learned from together, half for each label: they meet on the driver.
+TRAINING_TOTAL = 64_000_000
 
 
 def lengths(dictionary: bytes, window: int, level: int = LEVEL) -> Callable[[bytes], int]:
@@ -72,19 +74,26 @@ def training_texts(
 ) -> tuple[tuple[list[str], list[str]], float]:
     """At most ``rows`` texts of label 0 and 1, and label 1's share of all labels that may be learned from.
 
-    The ids are picked in the order of a hash, so they are the same in every
-    run; the picked ids, at most ``sum(rows)``, are broadcast to the documents.
+    Ids are picked among the labelled documents there are, in the order of a
+    hash, so they are the same in every run, until their texts hold
+    ``TRAINING_TOTAL`` characters. Of several texts with one id the one of least
+    hash counts. The picked ids, at most ``sum(rows)``, are broadcast to the documents.
     """
     known = learning_rows(labels, name).groupBy("doc_id").agg(F.max("label").alias("label"))
     share = known.agg(F.avg("label")).first()[0]
-    picked = [
-        known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows[label])
-        for label in (0, 1)
-    ]
+    named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(
+        F.length("text") <= TRAINING_CHARS
+    ).withColumn("text_key", F.xxhash64("text"))
+    there = known.join(
+        named.groupBy("doc_id").agg(F.min(F.struct("text_key", F.length("text").alias("n"))).alias("one")), "doc_id"
+    ).select("doc_id", "label", "one.text_key", "one.n")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = [there.filter(F.col("label") == label).orderBy(*order).limit(rows[label]) for label in (0, 1)]
+    # A running sum over the picked rows, whose number is bounded.
+    so_far = F.sum("n").over(Window.partitionBy("label").orderBy(*order))
+    picked = picked[0].unionAll(picked[1]).withColumn("so_far", so_far).filter(F.col("so_far") <= TRAINING_TOTAL // 2)
     texts = (
-        documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .filter(F.length("text") <= TRAINING_CHARS)
-        .join(F.broadcast(picked[0].unionAll(picked[1])), "doc_id")
+        named.join(F.broadcast(picked.select("doc_id", "text_key", "label")), ["doc_id", "text_key"])
         .dropDuplicates(["doc_id"])
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .select("label", "text")

@@ -84,8 +84,8 @@ def test_all_pairs(spark, monkeypatch, seed, block):
     assert left == set(_expected(texts).values())
 
 
-def test_pairs_inside_blocks(spark, monkeypatch):
-    """Every pair within the distance comes out of a bucket dealt out in blocks, pairs of one label left out."""
+def test_links_inside_blocks(spark, monkeypatch):
+    """Every pair within the distance is met in a bucket dealt out in blocks; links connect the labels that full sets do."""
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 16, shingles.POSITIONS, dtype=np.uint16)
     fine = rng.integers(0, 256, shingles.FINE, dtype=np.uint8)
@@ -102,14 +102,21 @@ def test_pairs_inside_blocks(spark, monkeypatch):
     rows = [(k, int(sizes[k]), c, c % 7, known[c].tobytes(), close[c].tobytes()) for k, c in zip(keys["key"], keys["class"])]
     monkeypatch.setattr(neardup, "BLOCK", 8)
     df = spark.createDataFrame(rows, "key long, size long, class long, label long, signature binary, fine binary")
-    found = [(r.a, r.b) for r in neardup.pairs_inside(df).collect()]
-    assert len(found) == len(set(found))
-    assert set(found) == {
+    candidates = {
         (i, j) for i in known for j in known
         if i < j and i % 7 != j % 7 and np.count_nonzero(known[i] != known[j]) <= neardup.DISTANCE
         and np.count_nonzero(close[i] == close[j]) >= shingles.FINE_EQUAL
     }
-    assert any(sizes > 8) and found
+    rows = neardup.involved(df).drop("low", "high", "own").distinct()
+    assert {r["class"] for r in rows.collect()} == {i for pair in candidates for i in pair}
+    assert neardup.involved(df).count() <= neardup.dealt(df).count()
+    # Sets are similar within five kinds.
+    kinds = [np.sort(rng.integers(0, 1 << 63, 40, dtype=np.uint64)).tobytes() for _ in range(5)]
+    sets = spark.createDataFrame([(i, kinds[i % 5]) for i in known], "class long, shingles binary")
+    links = {(r.a, r.b) for r in neardup.links_inside(neardup.involved(df).join(sets, "class")).collect()}
+    wanted = {(i % 7, j % 7) for i, j in candidates if i % 5 == j % 5}
+    assert _slow_components(set(range(7)), list(links)) == _slow_components(set(range(7)), list(wanted))
+    assert any(sizes > 8) and links and all(a != b for a, b in links)
 
 
 def test_guarantee(spark):
