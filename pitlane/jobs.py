@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--silver", required=True)
     clean.add_argument("--datasets", nargs="+", default=everything)
     clean.add_argument("--run-date", help="name of the run; all exported days are read")
+    clean.add_argument("--update-with", metavar="DAY", help="merge one exported day into silver that is kept up that way")
 
     gold = steps.add_parser("gold", help="build and validate the marts")
     gold.add_argument("--silver", required=True)
@@ -70,6 +71,10 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.source, args.bronze, args.collections, args.run_date, args.format, **options
         )
         log.info("exported %s, %d documents in total", counts, sum(counts.values()))
+    elif args.step == "silver" and args.update_with:
+        for name in args.datasets:
+            landed = bronze.bronze_read_json(spark, args.bronze, name, args.update_with)
+            log.info("silver months of %s: %s", name, sorted(pipeline.silver_update(landed, args.silver, name)))
     elif args.step == "silver":
         log.info("silver rows %s", pipeline.silver_run(spark, args.bronze, args.silver, args.datasets, args.run_date))
     elif args.step == "gold":

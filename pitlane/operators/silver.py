@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import schemas as S
@@ -55,10 +58,12 @@ def silver_parts(df: DataFrame, null_quality: str = "perfect") -> DataFrame:
     return dedup_parts(clean_parts(df, null_quality))
 
 
-def silver_recalls(df: DataFrame) -> DataFrame:
+def _keyed_recalls(df: DataFrame) -> DataFrame:
+    return _dated(df.select(*S.SILVER_RECALLS).where(F.col("recall_id").isNotNull()))
+
+
+def _cleaned_recalls(latest: DataFrame) -> DataFrame:
     year = F.col("model_year")
-    keyed = _dated(df.select(*S.SILVER_RECALLS).where(F.col("recall_id").isNotNull()))
-    latest = latest_by(keyed, ["recall_id"], F.col(_TS), content_order(S.SILVER_RECALLS))
     cleaned = latest.withColumns({
         "make": F.trim(F.upper("make")),
         "model": F.trim(F.initcap("model")),
@@ -69,10 +74,11 @@ def silver_recalls(df: DataFrame) -> DataFrame:
     return _contract(cleaned, S.SILVER_RECALLS)
 
 
-def silver_listings(df: DataFrame) -> DataFrame:
-    """Deduplicates before it filters on price: a listing whose latest version is unpriced is dropped."""
-    keyed = _dated(df.select(*S.SILVER_LISTINGS).where(F.col("listing_id").isNotNull()))
-    latest = latest_by(keyed, ["listing_id"], F.col(_TS), content_order(S.SILVER_LISTINGS))
+def _keyed_listings(df: DataFrame) -> DataFrame:
+    return _dated(df.select(*S.SILVER_LISTINGS).where(F.col("listing_id").isNotNull()))
+
+
+def _cleaned_listings(latest: DataFrame) -> DataFrame:
     asking, negotiated = F.col("asking_price_eur"), F.col("negotiated_price_eur")
     cleaned = latest.where(asking > 0).withColumns({
         "vehicle_make": F.trim(F.initcap("vehicle_make")),
@@ -86,6 +92,39 @@ def silver_listings(df: DataFrame) -> DataFrame:
     return _contract(cleaned, S.SILVER_LISTINGS, "discount_rate")
 
 
+@dataclass(frozen=True)
+class Dataset:
+    """How a dataset becomes silver: rows that compete for their key, which of them survives, what is made of it."""
+
+    key: str
+    contract: list[str]
+    candidates: Callable[[DataFrame], DataFrame]
+    finished: Callable[[DataFrame], DataFrame]
+
+    def survivors(self, candidates: DataFrame, *ties: Column) -> DataFrame:
+        return latest_by(candidates, [self.key], F.col(_TS), [*content_order(self.contract), *ties])
+
+    def silver(self, raw: DataFrame) -> DataFrame:
+        return self.finished(self.survivors(self.candidates(raw)))
+
+
+DATASETS = {
+    # Cleaned before the deduplication, as the fingerprint alone tells what competes.
+    "parts_catalog": Dataset("_fingerprint", S.SILVER_PARTS, clean_parts, lambda df: df.drop(_TS)),
+    "vehicle_recalls": Dataset("recall_id", S.SILVER_RECALLS, _keyed_recalls, _cleaned_recalls),
+    # Filtered on price after it: a listing whose latest version is unpriced is dropped.
+    "market_listings": Dataset("listing_id", S.SILVER_LISTINGS, _keyed_listings, _cleaned_listings),
+}
+
+
+def silver_recalls(df: DataFrame) -> DataFrame:
+    return DATASETS["vehicle_recalls"].silver(df)
+
+
+def silver_listings(df: DataFrame) -> DataFrame:
+    return DATASETS["market_listings"].silver(df)
+
+
 CLEANERS = {
     "parts_catalog": silver_parts,
     "vehicle_recalls": silver_recalls,

@@ -639,6 +639,9 @@ QUERIES: dict[str, str] = {
         union all select 'market_listings', count(*), count(*) from s_listings
         union all select 'vehicle_recalls', count(*), count(*) from s_recalls""",
     "silver_run_recalls": _select("s_recalls"),
+    "silver_update_parts": _select("s_parts"),
+    "silver_update_listings": _select("s_listings"),
+    "silver_update_recalls": _select("s_recalls"),
     "gold_run_suppliers": _select("suppliers"),
     "gold_materialize": f"select *, '{RUN_TS.replace('T', ' ')}' as updated_at from pricing",
     "gold_export_parquet": _select("suppliers_local"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from pitlane import schemas as S
 from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, staging
-from pitlane.operators.silver import CLEANERS
+from pitlane.operators.silver import CLEANERS, DATASETS
 from pitlane.sources import bronze, linked, shared, tables
 
 log = logging.getLogger(__name__)
@@ -140,6 +140,56 @@ def silver_run(
     return written
 
 
+def silver_update(
+    landed: DataFrame, silver_root: str, name: str, buckets: int = BUCKETS
+) -> set[str]:
+    """Bring silver up to date with newly landed raw documents; returns the months that were written.
+
+    The survivor of each key is kept beside silver, in buckets of keys, also
+    where its row is not in silver. Only the buckets of landed keys are read and
+    replaced. A key whose survivor changed has its row taken out of the month of
+    the old one and put into that of the new one; just these months are written,
+    all others are linked. Silver comes first, and the survivors name the
+    version it got: if a run ends in between, the next one starts from the
+    version that the survivors name.
+    """
+    spark, dataset = landed.sparkSession, DATASETS[name]
+    path, state = f"{silver_root}/{name}", f"{silver_root}/_survivors/{name}"
+    known, base = linked.manifest(spark, state), linked.manifest(spark, path)
+    if base is not None and base.number != int(known.properties["silver"] if known else 0):
+        base = linked.revert(spark, path, int(known.properties["silver"])) if known else None
+    buckets = int(known.properties["buckets"]) if known else buckets
+
+    seen = Observation()
+    candidates = dataset.candidates(landed).withColumn(linked.BUCKET, linked.bucket_of(dataset.key, buckets))
+    new = shared.store(candidates.observe(seen, F.collect_set(linked.BUCKET).alias("touched")), f"landed_{name}")
+    touched = linked.bucket_folders(seen.get["touched"])
+    old = new.limit(0) if known is None else linked.read(spark, state, known, touched)
+    competing = old.withColumn("_landed", F.lit(False)).unionByName(new.withColumn("_landed", F.lit(True)))
+    # A landed row that equals the survivor changes nothing.
+    after = shared.store(dataset.survivors(competing, F.col("_landed").asc()), f"survivors_{name}")
+    changed = after.where("_landed").drop("_landed", linked.BUCKET)
+    keys = shared.store(changed.select(F.col(dataset.key).alias("_changed")), f"changed_{name}")
+
+    def those(df: DataFrame, how: str) -> DataFrame:
+        return df.join(keys, df[dataset.key].eqNullSafe(keys["_changed"]), how)
+
+    entering = shared.store(dataset.finished(changed), f"entering_{name}")
+    leaving = dataset.finished(those(old.drop(linked.BUCKET), "left_semi"))
+    months = entering.select(*S.SILVER_PARTITIONS).union(leaving.select(*S.SILVER_PARTITIONS)).distinct().collect()
+    written = {linked.folder(m.asDict()) for m in months}
+    if written or base is None:
+        rows = entering
+        if base is not None:
+            rows = those(linked.read(spark, path, base, written), "left_anti").unionByName(entering)
+        base = linked.commit(rows.hint("rebalance", *S.SILVER_PARTITIONS), path, S.SILVER_PARTITIONS, base, written)
+    linked.commit(
+        after.drop("_landed").hint("rebalance", linked.BUCKET), state, [linked.BUCKET], known, touched,
+        {"buckets": str(buckets), "silver": str(base.number)},
+    )
+    return written
+
+
 def silver_schema(spark: SparkSession, name: str) -> T.StructType:
     """What cleaning makes of the declared raw collection."""
     return CLEANERS[name](spark.createDataFrame([], S.BRONZE[name])).schema
@@ -147,9 +197,13 @@ def silver_schema(spark: SparkSession, name: str) -> T.StructType:
 
 def staging_views(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     """The staging models; a dataset that was not delivered, as recalls by default, is an empty one."""
-    read = {
-        name: tables.scan_parquet(spark, f"{silver_root}/{name}", silver_schema(spark, name)) for name in CLEANERS
-    }
+    def stored(name: str) -> DataFrame:
+        kept_up = linked.read(spark, f"{silver_root}/{name}")
+        if kept_up is not None:
+            return kept_up
+        return tables.scan_parquet(spark, f"{silver_root}/{name}", silver_schema(spark, name))
+
+    read = {name: stored(name) for name in CLEANERS}
     return {
         "stg_parts_catalog": staging.stg_parts(read["parts_catalog"]),
         "stg_market_listings": staging.stg_listings(read["market_listings"]),

@@ -18,7 +18,7 @@ from pitlane.functions import keys, rnd
 from pitlane.operators import derive, enrich, marts, marts_local, merge, quality, serving, silver, silver_local
 from pitlane.plans import pipeline
 from pitlane.plans.lake import Lake
-from pitlane.sources import bronze, tables
+from pitlane.sources import bronze, linked, tables
 from pitlane.streaming import feed
 
 RUN_DATE = "2024-03-05"
@@ -158,6 +158,30 @@ def silver_run_recalls(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(f"{out}/vehicle_recalls")
 
 
+def _updated(lake: Lake, name: str) -> DataFrame:
+    """Silver after three loads, the latest documents first, then the earliest, then all that are left."""
+    root, raw = lake.path("silver-kept-up"), lake.raw(name)
+    late, early = ~_before("ingested_at", SPLIT), _before("ingested_at", "1994-01-01")
+    for part in (late, early, ~late & ~early):
+        pipeline.silver_update(raw.where(part), root, name)
+    return linked.read(lake.spark, f"{root}/{name}")
+
+
+@_query
+def silver_update_parts(lake: Lake) -> DataFrame:
+    return _updated(lake, "parts_catalog")
+
+
+@_query
+def silver_update_listings(lake: Lake) -> DataFrame:
+    return _updated(lake, "market_listings")
+
+
+@_query
+def silver_update_recalls(lake: Lake) -> DataFrame:
+    return _updated(lake, "vehicle_recalls")
+
+
 @_query
 def gold_materialize(lake: Lake) -> DataFrame:
     root = lake.path("gold")

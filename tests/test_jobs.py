@@ -74,6 +74,16 @@ def test_a_named_day_removes_no_other(spark, folder):
         assert {r["part_id"] for r in spark.read.parquet(folder("silver/parts_catalog")).collect()} == {"p1", "p2"}
 
 
+def test_silver_kept_up_day_by_day(spark, folder):
+    for day, part in (("2024-03-04", "p1"), ("2024-03-05", "p2")):
+        df = rows.parts(spark, {"part_id": part, "_fingerprint": part, "ingested_at": f"{day}T00:00:00"})
+        bronze.bronze_export_json(df, folder("bronze"), "parts_catalog", day)
+        jobs.main(["silver", "--bronze", folder("bronze"), "--silver", folder("silver"), "--datasets", "parts_catalog",
+                   "--update-with", day])
+    catalog = pipeline.staging_views(spark, folder("silver"))["stg_parts_catalog"]
+    assert {r["part_id"] for r in catalog.collect()} == {"p1", "p2"}
+
+
 @pytest.mark.parametrize("day", ["2024-W10-2", "20240305", "2024-03"])
 def test_other_date_forms_are_refused(spark, folder, day):
     with pytest.raises(ValueError):
