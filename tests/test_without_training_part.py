@@ -21,13 +21,15 @@ sys.meta_path.insert(0, Absent())
 import __spark_entry__ as entry
 queries, sql = entry.queries(), entry.oracle_sql()
 assert 'mart_market_pricing' in queries and set(sql) <= set(queries), sorted(set(sql) - set(queries))
-print(sum(name.startswith('op') or name == 'pipeline' for name in queries))
+assert not any(name.startswith('op') for name in queries)
+print('pipeline' in queries)
 """
 
 
-@pytest.mark.parametrize("absent", ["pitlane.llm", "zstandard", "tokenizers", "public_tokenizers", "sentencepiece"])
+@pytest.mark.parametrize("absent", ["pitlane.llm", "tokenizers", "public_tokenizers", "zstandard", "sentencepiece"])
 def test_entry_loads(absent):
     run = subprocess.run(
         [sys.executable, "-c", CODE.format(absent=absent)], cwd=ROOT, capture_output=True, text=True, timeout=120, check=True
     )
-    assert run.stdout.strip() == "0"
+    # The pipeline needs neither of the two last libraries.
+    assert run.stdout.strip() == str(absent in ("zstandard", "sentencepiece"))
