@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--run-log", required=True)
     ingest.add_argument("--collections", nargs="+", default=["parts_catalog", "market_listings"], choices=everything)
     ingest.add_argument("--makes", nargs="+")
+    ingest.add_argument("--quarantine", help="folder for lines, documents and values that the tables cannot hold")
     ingest.add_argument("--model-years", nargs="+", type=int)
 
     export = steps.add_parser("export", help="export collections as one day of bronze JSON")
@@ -60,10 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"pitlane-{args.step}")
     if args.step == "ingest":
         landed = {
-            name: bronze.bronze_read_lines(spark, f"{args.landing}/{name}", S.BRONZE[name]) for name in args.collections
+            name: bronze.bronze_read_lines(spark, f"{args.landing}/{name}", S.BRONZE[name], told=True)
+            for name in args.collections
         }
         pipeline.ingest_run(
-            spark, landed, args.tables, args.run_log, datetime.now(timezone.utc), args.makes, args.model_years
+            spark, landed, args.tables, args.run_log, datetime.now(timezone.utc), args.makes, args.model_years,
+            args.quarantine,
         )
     elif args.step == "export":
         options = dict(pair.split("=", 1) for pair in args.option)

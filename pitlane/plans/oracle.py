@@ -676,6 +676,17 @@ QUERIES: dict[str, str] = {
         f"case when min(ingested_at) < '{EVENTS_TO}' then '{FIRST_LOAD}.000000' else '{SECOND_LOAD}.000000' end"),
     "ingest_fields_late": _fields(
         f"case when max(ingested_at) >= '{EVENTS_TO}' then '{FIRST_LOAD}.000000' else '{SECOND_LOAD}.000000' end"),
+    "ingest_quarantine": """
+        select * from (with spoilt as (select *, event_id % 97 = 0 as cut, event_id % 89 = 0 as keyless, event_id % 83 = 0 as wordy
+            from event_docs),
+        found as (
+            select 'no document' as reason, null::varchar as field, event_id from spoilt where cut
+            union all select 'no key', 'user_id', event_id from spoilt where keyless and not cut
+            union all select 'value', 'value', event_id from spoilt where wordy and not cut)
+        select reason, field, count(*) as n, count(distinct event_id) as contents, count(*) as with_file,
+            (select count(distinct user_id) from spoilt where not cut and not keyless) as inserted,
+            (select count(*) from spoilt where cut) as errors, (select count(*) from spoilt) as total
+        from found group by 1, 2)""",
     "ingest_fields_stream": _fields(_SHOWN.format("min(ingested_at)")),
     "ingest_run_recalls": _feed("raw_recalls", "recall_id", _RECALL_CONTENT),
     "ingest_feed_parts": _feed("raw_parts", "part_id", "part_number"),

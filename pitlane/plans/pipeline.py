@@ -24,22 +24,30 @@ LOCAL_GOLD = ["mart_market_pricing_local", "mart_catalog_coverage_local", "mart_
 
 def ingest_run(
     spark: SparkSession, landing: dict[str, DataFrame], root: str, run_log: str, started: datetime,
-    makes: list[str] | None = None, model_years: list[int] | None = None,
+    makes: list[str] | None = None, model_years: list[int] | None = None, quarantine: str | None = None,
 ) -> None:
     """Merge landed documents into their tables and log the run.
 
     A table lies in ``BUCKETS`` buckets of keys. Documents are parsed and stored
     once, which tells the buckets they fall into; only these are read, merged
     and replaced, all others are linked to the new version. Outcomes, documents
-    and unusable lines are counted by the stages that write.
+    and unusable lines are counted by the stages that write. What a table cannot
+    hold goes to a folder of ``quarantine`` for each run and feed.
     """
     now = F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     stats = []
     for name, documents in landing.items():
-        batch = documents.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
+        moment = F.try_to_timestamp("ingested_at")
+        if S.UNREAD in documents.columns:
+            lost = F.create_map(F.lit("ingested_at"), F.when(moment.isNull(), F.col("ingested_at")))
+            documents = documents.withColumn(
+                S.UNREAD, F.map_concat(S.UNREAD, F.map_filter(lost, lambda _, text: text.isNotNull()))
+            )
+        batch = documents.withColumn("ingested_at", moment)
         if name == "vehicle_recalls":
             batch = merge.feed_filter(batch, makes, model_years)
-        stats.append((name, *merge_landed(batch, f"{root}/{name}", S.ID_FIELDS[name], now)))
+        aside = None if quarantine is None else f"{quarantine}/run={started:%Y%m%d_%H%M%S}/collection={name}"
+        stats.append((name, *merge_landed(batch, f"{root}/{name}", S.ID_FIELDS[name], now, quarantine=aside)))
     run = spark.createDataFrame(stats, "collection string, inserted long, updated long, errors long, total long")
     record = merge.run_record(run, merge.run_id(now), "ingestion", "success", now)
     tables.run_log_append(record.to(S.RUN_LOG), run_log)
@@ -50,9 +58,12 @@ BUCKETS = 256
 
 
 def merge_landed(
-    batch: DataFrame, path: str, id_field: str, seen_at: Column, buckets: int = BUCKETS
+    batch: DataFrame, path: str, id_field: str, seen_at: Column, buckets: int = BUCKETS, quarantine: str | None = None
 ) -> tuple[int, int, int, int]:
-    """Merge documents into the keyed table at ``path``; documents inserted, updated, in error, and received."""
+    """Merge documents into the keyed table at ``path``; documents inserted, updated, in error, and received.
+
+    What the table cannot hold replaces the folder ``quarantine``, so a run that is repeated leaves it once.
+    """
     spark = batch.sparkSession
     base = linked.manifest(spark, path)
     buckets = int(base.properties["buckets"]) if base else buckets
@@ -66,6 +77,9 @@ def merge_landed(
         "landed",
     ).drop(linked.BUCKET)
     told = received.get
+    if quarantine is not None:
+        merge.quarantined(landed, id_field).write.mode("overwrite").parquet(quarantine)
+    landed, batch = landed.drop(S.FILE, S.UNREAD), batch.drop(S.FILE, S.UNREAD)
     touched = linked.bucket_folders(told["touched"])
     empty = merge.empty_target(batch, by_field=S.PRESENT in batch.columns)
     if base is None and not touched:

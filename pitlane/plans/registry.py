@@ -353,6 +353,27 @@ def ingest_fields_late(lake: Lake) -> DataFrame:
     return _shown(pipeline.merged_table(lake.spark, table))
 
 
+@_query
+def ingest_quarantine(lake: Lake) -> DataFrame:
+    """Events of which some lines are cut off, some lack the key and some have a value that is no number: what was rejected."""
+    landing, table, aside = lake.path("spoilt"), lake.path("spoilt-table"), lake.path("quarantine")
+    events = lake.events()
+    spoilt = events.withColumns({
+        "user_id": F.when(F.col("event_id") % 89 != 0, F.col("user_id")),
+        "value": F.when(F.col("event_id") % 83 == 0, F.concat(F.lit("about "), F.col("event_id").cast("string")))
+        .otherwise(F.col("value").cast("string")),
+    })
+    line = F.to_json(F.struct(*events.columns), {"timestampFormat": feed.TIMESTAMPS})
+    cut = F.when(F.col("event_id") % 97 == 0, F.substring(line, F.lit(1), F.length(line) - 2)).otherwise(line)
+    spoilt.select(cut.alias("value")).write.text(landing)
+    batch = bronze.bronze_read_lines(lake.spark, landing, events.schema, told=True)
+    inserted, updated, errors, total = pipeline.merge_landed(batch, table, "user_id", _ts(FIRST_LOAD), quarantine=aside)
+    rejected = lake.spark.read.parquet(aside)
+    return rejected.groupBy("reason", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("content").alias("contents"), F.count("file").alias("with_file"),
+    ).withColumns({"inserted": F.lit(inserted).cast("long"), "errors": F.lit(errors).cast("long"), "total": F.lit(total).cast("long")})
+
+
 @_query
 def ingest_fields_stream(lake: Lake) -> DataFrame:
     """The same documents streamed in two runs, compacted after each, the later ones first."""

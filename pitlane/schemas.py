@@ -20,6 +20,8 @@ COMPATIBILITY = T.ArrayType(_struct(make=_S, model=_S, year_from=_I, year_to=_I)
 
 #: Of a document as it arrived: the names of the fields it sent, and the text of a line that is no document.
 PRESENT, CORRUPT = "_present", "_corrupt_record"
+#: Where a reader tells them: the file a document came from, and the text of values that did not convert, by field.
+FILE, UNREAD = "_file", "_unread"
 
 BRONZE_PARTS = _struct(
     part_id=_S, part_number=_S, part_number_source=_S, brand=_S, brand_type=_S,

@@ -33,18 +33,24 @@ def bronze_read_documents(
 
 
 def bronze_read_lines(
-    spark: SparkSession, path: str, schema: T.StructType, folders: str = "", **options: str
+    spark: SparkSession, path: str, schema: T.StructType, folders: str = "", told: bool = False, **options: str
 ) -> DataFrame:
     """JSON lines under ``schema``, with the names of the fields a document sent and the text of unusable lines.
 
-    ``folders`` declares partition columns.
+    ``folders`` declares partition columns. ``told`` adds each line's file and
+    the values that did not convert.
     """
     lines = spark.read.schema(f"value string{folders}").text(path, wholetext=False)
-    return parsed_lines(lines.where(F.trim("value") != ""), schema, **options)
+    if told:
+        lines = lines.select("*", F.col("_metadata.file_path").alias(S.FILE))
+    return parsed_lines(lines.where(F.trim("value") != ""), schema, told, **options)
 
 
-def parsed_lines(lines: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
-    """``value`` as columns of ``schema``, ``_present`` and ``_corrupt_record``; other columns stay."""
+def parsed_lines(lines: DataFrame, schema: T.StructType, told: bool = False, **options: str) -> DataFrame:
+    """``value`` as columns of ``schema``, ``_present`` and ``_corrupt_record``; other columns stay.
+
+    ``told`` adds ``_unread``.
+    """
     declared = T.StructType([*_numbers_as_text(schema).fields, T.StructField(S.CORRUPT, T.StringType())])
     settings = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT, **options}
     others = [c for c in lines.columns if c != "value"]
@@ -53,9 +59,38 @@ def parsed_lines(lines: DataFrame, schema: T.StructType, **options: str) -> Data
     return read.select(
         *[_typed(F.col(f"_read.{f.name}"), f.dataType).alias(f.name) for f in schema.fields], *others,
         F.json_object_keys("value").alias(S.PRESENT), corrupt.alias(S.CORRUPT),
+        *([_unread(schema).alias(S.UNREAD)] if told else []),
     )
 
 
+def _unread(schema: T.StructType) -> Column:
+    """Field to text, of fields with a number that is none."""
+    found = []
+    for f in schema.fields:
+        sent = F.col(f"_read.{f.name}")
+        lost = _lost(sent, f.dataType)
+        if lost is not None:
+            text = F.to_json(sent) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else sent
+            found.append(F.struct(F.lit(f.name).alias("field"), F.when(lost, text).alias("text")))
+    if not found:
+        return F.lit(None).cast("map<string, string>")
+    return F.map_from_entries(F.filter(F.array(*found), lambda x: x["text"].isNotNull()))
+
+
+def _lost(text: Column, dtype: T.DataType) -> Column | None:
+    """Whether anything in ``text`` does not convert; ``None`` if all of it always does."""
+    if isinstance(dtype, T.StructType):
+        inside = [x for f in dtype.fields if (x := _lost(text[f.name], f.dataType)) is not None]
+        return F.coalesce(F.greatest(*inside, F.lit(False)), F.lit(False)) if inside else None
+    if isinstance(dtype, T.ArrayType):
+        if _lost(F.lit(None), dtype.elementType) is None:
+            return None
+        return F.coalesce(F.exists(text, lambda x: _lost(x, dtype.elementType)), F.lit(False))
+    if isinstance(dtype, T.NumericType):
+        return text.isNotNull() & _typed(text, dtype).isNull()
+    return None
+
+
 def _numbers_as_text(dtype: T.DataType) -> T.DataType:
     if isinstance(dtype, T.StructType):
         return T.StructType([T.StructField(f.name, _numbers_as_text(f.dataType)) for f in dtype.fields])
