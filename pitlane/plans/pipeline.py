@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitlane import schemas as S
-from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, staging
+from pitlane.operators import enrich, marts, marts_local, merge, quality, silver_local, sketches, staging
 from pitlane.operators.silver import CLEANERS, DATASETS
 from pitlane.sources import bronze, linked, shared, tables
 
@@ -204,6 +204,35 @@ def silver_update(
     return written
 
 
+def sketches_update(
+    landed: DataFrame, root: str, day: str, keys: list[str], distinct: list[str], values: list[str]
+) -> set[str]:
+    """Add the days of ``landed`` (``day`` a whole number, such as 20240305) to the sketches at ``root``.
+
+    A day that is there already is replaced, so a load is whole days. Rows of other days are not read.
+    """
+    spark = landed.sparkSession
+    daily = shared.store(sketches.daily_sketches(landed, day, keys, distinct, values), "daily_sketches")
+    days = {linked.folder({day: r[0]}) for r in daily.select(day).distinct().collect()}
+    base = linked.manifest(spark, root)
+    linked.commit(daily.hint("rebalance", day), root, [day], base, days)
+    return days
+
+
+def sketched(
+    spark: SparkSession, root: str, keys: list[str], probs: dict[str, float], first: int | None = None, last: int | None = None
+) -> DataFrame:
+    """Estimates over all days, or those from ``first`` to ``last``."""
+    known = linked.manifest(spark, root)
+    (day,) = known.partitions
+    stored = linked.read(spark, root, known)
+    if first is not None:
+        stored = stored.where(F.col(day) >= first)
+    if last is not None:
+        stored = stored.where(F.col(day) <= last)
+    return sketches.estimates(sketches.merged_sketches(stored, keys), keys, probs)
+
+
 def silver_schema(spark: SparkSession, name: str) -> T.StructType:
     """What cleaning makes of the declared raw collection."""
     return CLEANERS[name](spark.createDataFrame([], S.BRONZE[name])).schema

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pitlane import schemas as S
 from pitlane.functions import keys, rnd
-from pitlane.operators import derive, enrich, marts, marts_local, merge, quality, serving, silver, silver_local
+from pitlane.operators import derive, enrich, lookup, marts, marts_local, merge, quality, serving, silver, silver_local
 from pitlane.plans import pipeline
 from pitlane.plans.lake import Lake
 from pitlane.sources import bronze, linked, tables
@@ -683,6 +683,28 @@ def pricing_market_side(lake: Lake) -> DataFrame:
     return marts.pricing_market_side(lake.stg_listings())
 
 
+@_query
+def supplier_sketches(lake: Lake) -> DataFrame:
+    """Quotes by month into sketches, in two loads; whether the merged estimates are within four deviations of the truth."""
+    root, keys = lake.path("supplier-sketches"), marts.SUPPLIER_KEYS
+    quotes = lake.all_quotes().where(F.col("supplier").isNotNull()).withColumn(
+        "month", F.coalesce(F.col("ingested_year") * 100 + F.col("ingested_month"), F.lit(0))
+    )
+    for part in (F.col("month") < 199501, F.col("month") >= 199501):
+        pipeline.sketches_update(quotes.where(part), root, "month", keys, ["part_number"], ["price_eur"])
+    found = pipeline.sketched(lake.spark, root, keys, {"median": 0.5})
+    exact = quotes.groupBy(*keys).agg(F.countDistinct("part_number").alias("exact"))
+    below = lookup.join_groups(quotes.where(F.col("price_eur").isNotNull()), found, keys).groupBy(*keys).agg(
+        (F.count_if(F.col("price_eur").cast("double") <= F.col("median_price_eur")) >= 0.43 * F.count(F.lit(1))).alias("reached"),
+        (F.count_if(F.col("price_eur").cast("double") < F.col("median_price_eur")) <= 0.57 * F.count(F.lit(1))).alias("not_past"),
+    )
+    joined = lookup.join_groups(lookup.join_groups(found, exact, keys), below, keys)
+    return joined.select(
+        *keys, "n_rows", (F.abs(F.col("nb_part_number") - F.col("exact")) <= 0.065 * F.col("exact") + 1).alias("count_near"),
+        (F.col("reached") & F.col("not_past")).alias("median_near"),
+    )
+
+
 @_query
 def mart_market_pricing(lake: Lake) -> DataFrame:
     return marts.mart_market_pricing(lake.enriched(), lake.stg_listings())
