@@ -82,13 +82,17 @@ def gold_read_mart(spark: SparkSession, root: str, name: str, ordered: bool = Tr
 def catalog_register(
     spark: SparkSession, name: str, schema: T.StructType, partitions: list[str], location: str
 ) -> DataFrame:
-    """Register existing partitioned Parquet files as an external table."""
+    """Register existing partitioned Parquet files as an external table, in place of an earlier registration only."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} is a table or view of its own")
+    plain, name = name, ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    location = location.replace("\\", "\\\\").replace("'", "\\'")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(f"`{p}`" for p in partitions)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{location}'")
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return spark.table(name)
+    return spark.table(plain)
 
 
 def latest_version(spark: SparkSession, root: str) -> DataFrame | None:

@@ -105,11 +105,18 @@ def folded(log: DataFrame, id_field: str, newest: str = "ingested_at") -> DataFr
     return state.withColumn(AGES, ages).drop("_age")
 
 
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """The log with the fields of all its files, and names of loads as they were given (``01`` is not ``1``)."""
+    found = spark.read.option("mergeSchema", "true").parquet(log).schema
+    return spark.read.schema(
+        T.StructType([T.StructField(f.name, T.StringType()) if f.name == LOAD else f for f in found])
+    ).parquet(log)
+
+
 def _whole(log: DataFrame, id_field: str) -> DataFrame:
     """Rows that do not tell which fields they sent have sent all."""
-    if S.PRESENT in log.columns:
-        return log
-    return log.withColumn(S.PRESENT, F.array(*[F.lit(c) for c in log.columns if c not in (FIRST_SEEN, LOAD)]))
+    everything = F.array(*[F.lit(c) for c in log.columns if c not in (FIRST_SEEN, LOAD, S.PRESENT)])
+    return log.withColumn(S.PRESENT, F.coalesce(S.PRESENT, everything) if S.PRESENT in log.columns else everything)
 
 
 def current(spark: SparkSession, log: str, snapshots: str, id_field: str, newest: str = "ingested_at") -> DataFrame:
@@ -118,7 +125,7 @@ def current(spark: SparkSession, log: str, snapshots: str, id_field: str, newest
 
 
 def _current(spark: SparkSession, log: str, snapshots: str, id_field: str, newest: str) -> DataFrame:
-    rows = _whole(spark.read.parquet(log), id_field)
+    rows = _whole(read_log(spark, log), id_field)
     kept = tables.latest_version(spark, snapshots)
     if kept is None:
         return folded(rows.drop(LOAD), id_field, newest)
@@ -129,6 +136,6 @@ def _current(spark: SparkSession, log: str, snapshots: str, id_field: str, newes
 
 def compact(spark: SparkSession, log: str, snapshots: str, id_field: str, newest: str = "ingested_at") -> None:
     """Fold all loads of the log into a new snapshot. No run may be writing meanwhile; the next one continues."""
-    until = spark.read.parquet(log).agg(F.max(LOAD)).first()[0]
+    until = read_log(spark, log).agg(F.max(LOAD)).first()[0]
     state = _current(spark, log, snapshots, id_field, newest).withColumn("_until", F.lit(until))
     tables.write_next_version(state, snapshots)
