@@ -165,13 +165,17 @@ def silver_update(
     the old one and put into that of the new one; just these months are written,
     all others are linked. Silver comes first, and the survivors name the
     version it got: if a run ends in between, the next one starts from the
-    version that the survivors name.
+    version that the survivors name, or writes silver anew from the survivors if
+    that is gone, as after a full rebuild in its place.
     """
     spark, dataset = landed.sparkSession, DATASETS[name]
     path, state = f"{silver_root}/{name}", f"{silver_root}/_survivors/{name}"
     known, base = linked.manifest(spark, state), linked.manifest(spark, path)
-    if base is not None and base.number != int(known.properties["silver"] if known else 0):
-        base = linked.revert(spark, path, int(known.properties["silver"])) if known else None
+    named = int(known.properties["silver"]) if known else 0
+    if named not in linked.versions(spark, path):
+        base = None
+    elif base.number != named:
+        base = linked.revert(spark, path, named)
     buckets = int(known.properties["buckets"]) if known else buckets
 
     seen = Observation()
@@ -193,9 +197,13 @@ def silver_update(
     months = entering.select(*S.SILVER_PARTITIONS).union(leaving.select(*S.SILVER_PARTITIONS)).distinct().collect()
     written = {linked.folder(m.asDict()) for m in months}
     if written or base is None:
-        rows = entering
         if base is not None:
             rows = those(linked.read(spark, path, base, written), "left_anti").unionByName(entering)
+        else:
+            rows = after.drop("_landed")
+            if known is not None:
+                rows = linked.read(spark, state, known, set(known.owners) - touched).unionByName(rows)
+            rows = dataset.finished(rows.drop(linked.BUCKET))
         base = linked.commit(rows.hint("rebalance", *S.SILVER_PARTITIONS), path, S.SILVER_PARTITIONS, base, written)
     linked.commit(
         after.drop("_landed").hint("rebalance", linked.BUCKET), state, [linked.BUCKET], known, touched,

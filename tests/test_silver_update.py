@@ -10,7 +10,7 @@ import pytest
 import rows
 from pitlane.operators.silver import CLEANERS, DATASETS
 from pitlane.plans import pipeline
-from pitlane.sources import linked
+from pitlane.sources import linked, tables
 
 MAKERS = {"parts_catalog": rows.parts, "market_listings": rows.listings, "vehicle_recalls": rows.recalls}
 IDS = {"parts_catalog": "_fingerprint", "market_listings": "listing_id", "vehicle_recalls": "recall_id"}
@@ -92,6 +92,15 @@ def test_a_run_that_ends_between_silver_and_survivors(spark, tmp_path, monkeypat
         assert content(linked.read(spark, f"{root}/market_listings")) == content(CLEANERS["market_listings"](landed))
 
 
+def test_silver_rebuilt_in_its_place(spark, tmp_path):
+    """A plain rebuild removes the versions; the next load writes silver from the survivors."""
+    root, (one, two, *_) = str(tmp_path), loads(spark, "parts_catalog", 3)
+    pipeline.silver_update(one, root, "parts_catalog", buckets=8)
+    tables.silver_write_partitioned(CLEANERS["parts_catalog"](one), f"{root}/parts_catalog")
+    pipeline.silver_update(two, root, "parts_catalog")
+    assert content(linked.read(spark, f"{root}/parts_catalog")) == content(CLEANERS["parts_catalog"](one.unionByName(two)))
+
+
 def test_gold_reads_silver_that_is_kept_up(spark, tmp_path):
     root = str(tmp_path)
     for name, make in MAKERS.items():
