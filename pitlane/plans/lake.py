@@ -22,6 +22,7 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._stored: dict[str, DataFrame] = {}
+        self._ran: dict[str, str] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Lake:
@@ -32,6 +33,12 @@ class Lake:
             self._stored[name] = shared.store(build(), name)
         return self._stored[name]
 
+    def once(self, name: str, run: Callable[[], str]) -> str:
+        """Where a job wrote its tables; it runs for the first query that reads one of them."""
+        if name not in self._ran:
+            self._ran[name] = run()
+        return self._ran[name]
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

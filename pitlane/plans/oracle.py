@@ -638,11 +638,16 @@ QUERIES: dict[str, str] = {
         select 'parts_catalog' as dataset, count(*) as n_rows, count(*) as n_written from s_parts
         union all select 'market_listings', count(*), count(*) from s_listings
         union all select 'vehicle_recalls', count(*), count(*) from s_recalls""",
+    "silver_run_parts": _select("s_parts"),
+    "silver_run_listings": _select("s_listings"),
     "silver_run_recalls": _select("s_recalls"),
     "silver_update_parts": _select("s_parts"),
     "silver_update_listings": _select("s_listings"),
     "silver_update_recalls": _select("s_recalls"),
     "gold_run_suppliers": _select("suppliers"),
+    "gold_run_pricing": _select("pricing"),
+    "gold_run_coverage": _select("coverage"),
+    "gold_run_impact": _select("impact"),
     "gold_materialize": f"select *, '{RUN_TS.replace('T', ' ')}' as updated_at from pricing",
     "gold_export_parquet": _select("suppliers_local"),
     "gold_export_pricing": _select("pricing_local"),

@@ -149,13 +149,32 @@ def silver_run(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _silver(lake: Lake, name: str) -> DataFrame:
+    """Rows of a dataset as the silver step stores them from exported documents."""
+
+    def run() -> str:
+        root, out = lake.path("bronze"), lake.path("silver")
+        for each in S.BRONZE:
+            bronze.bronze_export_json(lake.raw(each), root, each, RUN_DATE)
+        pipeline.silver_run(lake.spark, root, out, [*S.BRONZE])
+        return out
+
+    return lake.spark.read.parquet(f"{lake.once('silver_run', run)}/{name}")
+
+
+@_query
+def silver_run_parts(lake: Lake) -> DataFrame:
+    return _silver(lake, "parts_catalog")
+
+
+@_query
+def silver_run_listings(lake: Lake) -> DataFrame:
+    return _silver(lake, "market_listings")
+
+
 @_query
 def silver_run_recalls(lake: Lake) -> DataFrame:
-    """Rows of a dataset as the silver step stores them from exported documents."""
-    root, out = lake.path("bronze"), lake.path("silver")
-    bronze.bronze_export_json(lake.raw("vehicle_recalls"), root, "vehicle_recalls", RUN_DATE)
-    pipeline.silver_run(lake.spark, root, out, ["vehicle_recalls"])
-    return lake.spark.read.parquet(f"{out}/vehicle_recalls")
+    return _silver(lake, "vehicle_recalls")
 
 
 def _updated(lake: Lake, name: str) -> DataFrame:
@@ -245,10 +264,30 @@ def _gold(lake: Lake) -> str:
     return gold
 
 
+def _mart(lake: Lake, name: str) -> DataFrame:
+    """Rows of a mart as the gold step stores them."""
+    gold = lake.once("gold_run", lambda: _gold(lake))
+    return tables.gold_read_mart(lake.spark, gold, name, ordered=False).drop("updated_at")
+
+
 @_query
 def gold_run_suppliers(lake: Lake) -> DataFrame:
-    """Rows of a mart as the gold step stores them."""
-    return tables.gold_read_mart(lake.spark, _gold(lake), "mart_supplier_performance", ordered=False).drop("updated_at")
+    return _mart(lake, "mart_supplier_performance")
+
+
+@_query
+def gold_run_pricing(lake: Lake) -> DataFrame:
+    return _mart(lake, "mart_market_pricing")
+
+
+@_query
+def gold_run_coverage(lake: Lake) -> DataFrame:
+    return _mart(lake, "mart_catalog_coverage")
+
+
+@_query
+def gold_run_impact(lake: Lake) -> DataFrame:
+    return _mart(lake, "mart_recall_impact")
 
 
 @_query
