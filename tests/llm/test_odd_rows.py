@@ -33,7 +33,9 @@ PER_DOCUMENT = {
 def test_one_row_per_document(odd_documents, no_documents, name):
     found = PER_DOCUMENT[name](odd_documents).collect()
     assert sorted(r.doc_id or 0 for r in found) == [0, 0, 1, 2, 3, 4, 5, 6, 7, 7, 8, 9]
-    twice = [tuple(v for k, v in r.asDict().items() if k != "slot") for r in found if r.doc_id == 7]
+    # Equal rows are spread over slots, so that one row in very many copies does not fill a shard.
+    places = ("slot", "virtual_slot", "shard")
+    twice = [tuple(v for k, v in r.asDict().items() if k not in places) for r in found if r.doc_id == 7]
     assert twice[0] == twice[1]
     assert PER_DOCUMENT[name](no_documents).collect() == []
 
