@@ -30,6 +30,18 @@ def test_nested_documents_survive_json(spark, tmp_path):
     assert text == '[{"make":"Citroën","model":"C4","year_from":2010,"year_to":2012}]'
 
 
+def test_export_is_compressed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "EXPORT_ROWS", 300, raising=False)
+    many = rows.parts(spark, *({"part_id": str(i)} for i in range(1000))).coalesce(1)
+    assert bronze.bronze_export_json(many, str(tmp_path), "parts_catalog", "2024-03-05") == 1000
+    files = list((tmp_path / "parts_catalog").rglob("part-*"))
+    assert len(files) == 4 and all(f.suffix == ".gz" for f in files)
+    back = bronze.bronze_read_json(spark, str(tmp_path), "parts_catalog")
+    assert back.select("part_id").distinct().count() == 1000
+    text = sum(len(r[0]) for r in spark.read.text(f"{tmp_path}/parts_catalog").select("value").collect())
+    assert sum(f.stat().st_size for f in files) * 5 < text
+
+
 def test_bad_run_date(spark):
     with pytest.raises(ValueError):
         bronze.bronze_date_stamp(rows.listings(spark, {}), "2024-02-30")
