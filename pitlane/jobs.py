@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pitlane import schemas as S
 from pitlane.operators import silver, staging
 from pitlane.plans import pipeline
-from pitlane.session import build_session
+from pitlane.session import build_session, split_size
 from pitlane.sources import bronze
 
 
@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     log = logging.getLogger("pitlane")
     args = _parser().parse_args(argv)
     spark = build_session(f"pitlane-{args.step}")
+    split_size(spark, widening=True)
     if args.step == "ingest":
         landed = {
             name: bronze.bronze_read_lines(spark, f"{args.landing}/{name}", S.BRONZE[name], told=True)
