@@ -23,6 +23,7 @@ Either table may be empty; the result then is.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,23 +53,9 @@ NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 _PART = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+")
 _STOP = re.compile(r"[.!?:][\"')\]]*$")
 
-Part = tuple[str, str, bool]
 
-
-def _chunk(chunk: str) -> tuple[list[Part], bool]:
-    """The parts of what stands between blanks: template word, own word, capitalised; and whether it ends a sentence."""
-    word = chunk if chunk.isalpha() else chunk[:-1]
-    if word.isalpha() and (word is chunk or chunk[-1] in ",.;!?:"):
-        lower = word.lower()
-        title = len(word) > 1 and word[0].isupper() and word[1:].islower()
-        return [(lower, lower, title)], word is not chunk and chunk[-1] in ".!?:"
-    parts = []
-    for part in _PART.findall(chunk):
-        if part[0].isdigit():
-            parts.append((NUM, part, False))
-        else:
-            parts.append((part.lower(), part.lower(), len(part) > 1 and part[0].isupper() and part[1:].islower()))
-    return parts, _STOP.search(chunk) is not None
+def _capitalised(word: str) -> bool:
+    return word[0].isupper() and len(word) > 1 and word[1:].islower()
 
 
 class Words:
@@ -100,33 +87,43 @@ class Templates:
         self.ids: dict[str, int] = {}
         self.strings: list[str] = []
         # By chunk: its first part, number of parts, and whether it ends a sentence.
-        self.chunks = np.zeros((1024, 3), np.int64)
+        self.first, self.n_parts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.ends = np.zeros(1024, bool)
         # By part: the hash of its template word; and whether it is a number, a unit's name, capitalised.
         self.codes = np.zeros(1024, np.uint64)
-        self.kinds = np.zeros((1024, 3), bool)
+        self.number, self.named_unit, self.title = (np.zeros(1024, bool) for _ in range(3))
 
     def _number(self, new: list[str]) -> None:
         """Number chunks that were not seen before, all at once."""
-        chunks, codes, kinds = [], [], []
-        at, n = len(self.strings), len(self.ids)
+        n_parts, ends, own, number, title = [], [], [], [], []
         for chunk in new:
-            parts, ends = _chunk(chunk)
-            chunks.append((at, len(parts), ends))
-            at += len(parts)
-            for template, own, title in parts:
-                codes.append(_hashed(template))
-                kinds.append((template is NUM, own in UNITS, title))
-                self.strings.append(own)
-            self.ids[chunk] = len(self.ids)
-        while n + len(chunks) > len(self.chunks):
-            self.chunks = np.concatenate([self.chunks, np.zeros_like(self.chunks)])
-        while at > len(self.codes):
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
-        self.chunks[n : n + len(chunks)] = chunks
-        if codes:
-            self.codes[at - len(codes) : at] = np.array(codes, np.uint64)
-            self.kinds[at - len(codes) : at] = kinds
+            # Most are a word, alone or before one mark.
+            word, last = (chunk, "") if chunk.isalpha() else (chunk[:-1], chunk[-1])
+            if not last or (last in ",.;!?:" and word.isalpha()):
+                n_parts.append(1)
+                ends.append(last != "" and last in ".!?:")
+                own.append(word.lower())
+                number.append(False)
+                title.append(_capitalised(word))
+                continue
+            parts = _PART.findall(chunk)
+            n_parts.append(len(parts))
+            ends.append(_STOP.search(chunk) is not None)
+            for part in parts:
+                number.append(part[0].isdigit())
+                own.append(part if number[-1] else part.lower())
+                title.append(not number[-1] and _capitalised(part))
+        n, at = len(self.ids), len(self.strings)
+        self.ids.update(zip(new, range(n, n + len(new))))
+        self.strings += own
+        counts = np.array(n_parts, np.int64)
+        self.first = _put(self.first, n, at + np.cumsum(counts) - counts)
+        self.n_parts, self.ends = _put(self.n_parts, n, counts), _put(self.ends, n, ends)
+        codes = np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own))
+        codes[np.array(number, bool)] = self.num
+        self.codes = _put(self.codes, at, codes)
+        self.number, self.title = _put(self.number, at, number), _put(self.title, at, title)
+        self.named_unit = _put(self.named_unit, at, [word in UNITS for word in own])
 
     def of(self, text: str) -> tuple[np.ndarray, Words, np.ndarray]:
         """Hashes of the template words, the words themselves, and which are slots."""
@@ -137,35 +134,50 @@ class Templates:
         for line in text.split("\n"):
             line_starts.append(len(chunks))
             chunks += line.split()
-        known = self.ids.get
-        ids = [known(c) for c in chunks]
-        if None in ids:
-            self._number(list(dict.fromkeys(c for c, i in zip(chunks, ids) if i is None)))
-            ids = [known(c) for c in chunks]
-        if not ids:
+        if not chunks:
             return np.zeros(0, np.uint64), Words(self.strings, np.zeros(0, np.int64)), np.zeros(0, bool)
-        first, n, ends = self.chunks[np.array(ids)].T
+        ids = np.fromiter(map(self.ids.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unseen = np.flatnonzero(ids < 0).tolist()
+        if unseen:
+            self._number(list(dict.fromkeys(chunks[i] for i in unseen)))
+            ids[unseen] = [self.ids[chunks[i]] for i in unseen]
+        first, n, ends = self.first[ids], self.n_parts[ids], self.ends[ids]
         starts_line = np.zeros(len(ids) + 1, bool)
         starts_line[line_starts] = True
         starts_line = starts_line[:-1]
+        line = np.cumsum(starts_line)
         # A chunk begins a sentence at the start of a line, after a stop, or if all before it since then are empty.
-        begins = starts_line | np.concatenate(([True], ends[:-1] > 0))
-        settled = begins | np.concatenate(([True], n[:-1] > 0))
-        begins = begins[np.maximum.accumulate(np.where(settled, np.arange(len(ids)), 0))]
-
-        of_chunk = np.repeat(np.arange(len(ids)), n)
-        nth = np.arange(len(of_chunk)) - np.repeat(np.cumsum(n) - n, n)
-        part = first[of_chunk] + nth
-        number, named_unit, title = self.kinds[part].T
-        line = np.cumsum(starts_line)[of_chunk]
-        name = title & ~((nth == 0) & begins[of_chunk])
-        after_number = np.zeros(len(part), bool)
-        after_number[1:] = number[:-1] & (line[1:] == line[:-1])
-        unit = named_unit & after_number & ~name
-        codes = np.where(name, self.name, np.where(unit, self.unit, self.codes[part]))
+        begins = starts_line.copy()
+        begins[0] = True
+        begins[1:] |= ends[:-1]
+        if n.min() == n.max() == 1:
+            part, opens = first, begins
+        else:
+            settled = begins.copy()
+            settled[1:] |= n[:-1] > 0
+            begins = begins[np.maximum.accumulate(np.where(settled, np.arange(len(ids)), 0))]
+            of_chunk = np.repeat(np.arange(len(ids)), n)
+            nth = np.arange(len(of_chunk)) - np.repeat(np.cumsum(n) - n, n)
+            part, line, opens = first[of_chunk] + nth, line[of_chunk], (nth == 0) & begins[of_chunk]
+        number = self.number[part]
+        name = self.title[part] & ~opens
+        unit = self.named_unit[part] & ~name
+        unit[:1] = False
+        unit[1:] &= number[:-1] & (line[1:] == line[:-1])
+        codes = self.codes[part]
+        codes[unit] = self.unit
+        codes[name] = self.name
         return codes, Words(self.strings, part), number | name | unit
 
 
+def _put(array: np.ndarray, at: int, values: np.ndarray | list[bool]) -> np.ndarray:
+    """``array`` with ``values`` from place ``at`` on, doubled until they fit."""
+    while at + len(values) > len(array):
+        array = np.concatenate([array, np.zeros_like(array)])
+    array[at : at + len(values)] = values
+    return array
+
+
 def _hashed(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
