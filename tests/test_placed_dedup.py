@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from conftest import SF_DIR
-from pitlane.operators import silver
+from pitlane.operators import silver, silver_local
 from pitlane.operators.dedup import latest_by
+from pitlane.plans.lake import Lake
 from pitlane.schemas import PLACE
 from pitlane.session import PARTITIONS, SHUFFLED_BYTES, SMALL_SHUFFLED, STORED_BYTES_EACH, split_size, stored_bytes
-from pitlane.sources import starmap
+from pitlane.sources import bronze, starmap
 
 CASES = {
     "market_listings": silver.silver_listings,
@@ -86,3 +87,14 @@ def test_tasks_of_medallion_jobs_read_small_shares_of_shuffles(spark):
         assert spark.conf.get(PARTITIONS, None) is None and spark.conf.get(SHUFFLED_BYTES) == own
     finally:
         split_size(spark, widening=True)
+
+
+def test_placed_flat_listings_are_deduplicated_where_they_are(spark):
+    lake = Lake(spark, SF_DIR)
+    with _without_broadcasts(spark):
+        kept = silver_local.silver_listings_local(lake.raw_flat("market_listings"))
+        assert "Exchange" not in _above_joins(kept) and PLACE not in kept.columns
+        flat = bronze.bronze_nested_to_json(bronze.bronze_drop_internal(lake.raw("market_listings")))
+        anywhere = silver_local.silver_listings_local(flat)
+        assert kept.columns == anywhere.columns
+        assert kept.count() > 0 and kept.exceptAll(anywhere).count() == anywhere.exceptAll(kept).count() == 0
