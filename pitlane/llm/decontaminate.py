@@ -58,6 +58,17 @@ def _capitalised(word: str) -> bool:
     return word[0].isupper() and len(word) > 1 and word[1:].islower()
 
 
+def _chunk(chunk: str) -> tuple[list[tuple[str, str, bool]], bool]:
+    """The parts of what stands between blanks: template word, own word, capitalised; and whether it ends a sentence."""
+    parts = []
+    for part in _PART.findall(chunk):
+        if part[0].isdigit():
+            parts.append((NUM, part, False))
+        else:
+            parts.append((part.lower(), part.lower(), _capitalised(part)))
+    return parts, _STOP.search(chunk) is not None
+
+
 class Words:
     """The words of a text, looked up when asked for."""
 
@@ -106,13 +117,13 @@ class Templates:
                 number.append(False)
                 title.append(_capitalised(word))
                 continue
-            parts = _PART.findall(chunk)
+            parts, stop = _chunk(chunk)
             n_parts.append(len(parts))
-            ends.append(_STOP.search(chunk) is not None)
-            for part in parts:
-                number.append(part[0].isdigit())
-                own.append(part if number[-1] else part.lower())
-                title.append(not number[-1] and _capitalised(part))
+            ends.append(stop)
+            for template, part, capitalised in parts:
+                number.append(template == NUM)
+                own.append(part)
+                title.append(capitalised)
         n, at = len(self.ids), len(self.strings)
         self.ids.update(zip(new, range(n, n + len(new))))
         self.strings += own
